@@ -194,8 +194,10 @@ def model_ctes() -> str:
     return ",\n".join(parts)
 
 
-def with_models(select_sql: str) -> str:
-    return f"with {model_ctes()}\n{select_sql}"
+def with_models(select_sql: str, extra_ctes: str = "") -> str:
+    """``select_sql`` over the model CTEs, optionally after more CTEs of its own."""
+    extra = f",\n{extra_ctes}" if extra_ctes else ""
+    return f"with {model_ctes()}{extra}\n{select_sql}"
 
 
 def table(model: str) -> str:
