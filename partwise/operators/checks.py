@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partwise.operators.joins import key_counts, orphans
@@ -161,63 +161,68 @@ CHECKS: tuple[Check, ...] = tuple(
 )
 
 
-def violation(check: Check) -> Column:
-    """Row predicate of a row-level check (true = the row violates it)."""
-    c = F.col(check.column)
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _literal(value: str | float) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return f"cast({float(value)!r} as double)"
+
+
+def violation(check: Check) -> str:
+    """SQL predicate of a row-level check (true = the row violates it)."""
+    c = _q(check.column)
     if check.kind == NOT_NULL:
-        return c.isNull()
+        return f"{c} is null"
     if check.kind == BETWEEN:
-        return c.isNull() | (c < F.lit(check.min_value)) | (c > F.lit(check.max_value))
+        return f"{c} is null or {c} < {_literal(check.min_value)} or {c} > {_literal(check.max_value)}"
     if check.kind == ACCEPTED:
-        return F.coalesce(~c.isin(*check.values), F.lit(False))
+        return f"coalesce({c} not in ({', '.join(_literal(v) for v in check.values)}), false)"
     raise ValueError(f"not a row-level check: {check.kind}")
 
 
-def _status(failures: Column) -> Column:
-    return F.when(failures > 0, F.lit("fail")).otherwise(F.lit("pass"))
+def _result(pos: int, check: Check, failures: str, failing_rows: str) -> str:
+    """named_struct of one result row; ``failures``/``failing_rows`` are SQL."""
+    return (
+        f"named_struct('position', {pos}, 'model', {_literal(check.model)}, "
+        f"'column_name', {_literal(check.column)}, 'test_name', {_literal(check.kind)}, "
+        f"'check_id', {_literal(check.check_id)}, "
+        f"'failures', cast({failures} as bigint), 'failing_rows', cast({failing_rows} as bigint), "
+        f"'status', case when {failures} > 0 then 'fail' else 'pass' end)"
+    )
 
 
-def _result(pos: int, check: Check, failures: Column, failing_rows: Column) -> Column:
-    return F.struct(
-        F.lit(pos).alias("position"),
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.kind).alias("test_name"),
-        F.lit(check.check_id).alias("check_id"),
-        failures.cast("long").alias("failures"),
-        failing_rows.cast("long").alias("failing_rows"),
-        _status(failures).alias("status"),
-    )
+def _explode_results(df: DataFrame, cells: list[str]) -> DataFrame:
+    return df.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def _row_level(table: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame:
     """All row-level checks of one table in a single aggregate pass."""
     aggs, cells = [], []
     for pos, check in numbered:
-        rows = F.count_if(violation(check))
-        aggs.append(rows.alias(f"r{pos}"))
+        aggs.append(f"count_if({violation(check)}) as r{pos}")
+        failures = f"r{pos}"
         if check.kind == ACCEPTED:
-            c = F.col(check.column)
-            aggs.append(F.count_distinct(F.when(~c.isin(*check.values), c)).alias(f"d{pos}"))
-            failures = F.col(f"d{pos}")
-        else:
-            failures = F.col(f"r{pos}")
-        cells.append(_result(pos, check, failures, F.col(f"r{pos}")))
-    return table.agg(*aggs).select(F.explode(F.array(*cells)).alias("r")).select("r.*")
+            c = _q(check.column)
+            values = ", ".join(_literal(v) for v in check.values)
+            aggs.append(f"count(distinct case when {c} not in ({values}) then {c} end) as d{pos}")
+            failures = f"d{pos}"
+        cells.append(_result(pos, check, failures, f"r{pos}"))
+    return _explode_results(table.selectExpr(*aggs), cells)
 
 
 def _unique(table: DataFrame, pos: int, check: Check) -> DataFrame:
-    dupes = key_counts(table, check.column).filter(F.col("n") > 1)
-    return dupes.agg(F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
-        _result(pos, check, F.col("k"), F.col("n")).alias("r")
-    ).select("r.*")
+    dupes = key_counts(table, check.column).filter("n > 1")
+    totals = dupes.selectExpr("count(1) as k", "coalesce(sum(n), 0) as n")
+    return _explode_results(totals, [_result(pos, check, "k", "n")])
 
 
 def _relationship(child: DataFrame, parent: DataFrame, pos: int, check: Check) -> DataFrame:
     missing = orphans(child, check.column, parent, check.to_field)
-    return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
-        _result(pos, check, F.col("n"), F.col("n")).alias("r")
-    ).select("r.*")
+    totals = missing.selectExpr("coalesce(sum(n), 0) as n")
+    return _explode_results(totals, [_result(pos, check, "n", "n")])
 
 
 def run_checks(

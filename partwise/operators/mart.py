@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from partwise.functions import quality as Q
 from partwise.functions import rules as R
-from partwise.operators.material import with_material
+from partwise.operators.rollups import POPULATION_COLUMNS
 
 FLAG_COLUMNS = [
     "part_id",
@@ -65,15 +65,12 @@ GOLD_COLUMNS = [
 ]
 
 
-def scored_parts(
-    population: DataFrame,
-    cmm_roll: DataFrame,
-    torque_roll: DataFrame,
-    certs: DataFrame,
-    broadcast_limit: int | None = None,
-) -> DataFrame:
-    """Every part with its rollups, certificate, flags, cause and score."""
-    parts = with_material(population, certs, broadcast_limit)
+def scored_parts(parts: DataFrame, cmm_roll: DataFrame, torque_roll: DataFrame) -> DataFrame:
+    """Every part with its rollups, certificate, flags, cause and score.
+
+    ``parts`` is the population with its certificate columns
+    (:func:`partwise.operators.material.with_material`).
+    """
     cmm = cmm_roll.drop("production_date").withColumn("_has_cmm", F.lit(True))
     torque = torque_roll.drop("production_date").withColumn("_has_torque", F.lit(True))
     joined = parts.join(cmm, "part_id", "left").join(torque, "part_id", "left")
@@ -85,7 +82,7 @@ def scored_parts(
     missing = F.col("_has_cmm").isNull() | F.col("_has_torque").isNull()
 
     filled = joined.select(
-        *[F.col(c) for c in population.columns],
+        *[F.col(c) for c in POPULATION_COLUMNS],
         F.col("supplier_id"),
         F.coalesce(F.col("inspected_dimension_count"), F.lit(0).cast("long")).alias("inspected_dimension_count"),
         F.coalesce(F.col("failed_dimension_count"), F.lit(0).cast("long")).alias("failed_dimension_count"),

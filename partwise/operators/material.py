@@ -44,7 +44,7 @@ def with_material(population: DataFrame, certs: DataFrame, broadcast_limit: int
     joined = population.join(broadcast_if_small(cert, broadcast_limit), "batch_id", "left")
     has_cert = F.coalesce(F.col("_has_cert"), F.lit(False))
     return joined.select(
-        *[c for c in population.columns],
+        *population.columns,
         *CERT_COLUMNS,
         Q.material_deviation(has_cert).alias("any_material_deviation"),
         Q.material_reason(has_cert).alias("material_failure_reason"),

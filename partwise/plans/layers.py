@@ -64,13 +64,15 @@ def build_layers(typed_sources: dict[str, DataFrame], broadcast_limit: int | Non
     population = rollups.part_population(process)
     cmm_q = rollups.cmm_rollup(typed_sources["cmm_inspection"])
     torque_q = rollups.torque_rollup(typed_sources["torque_audit"])
+    # One certificate lookup feeds both Silver material quality and Gold.
+    parts = material.with_material(population, certs, broadcast_limit)
     return Layers(
         bronze=dict(typed_sources),
         population=population,
         cmm_quality=cmm_q,
         torque_quality=torque_q,
-        material_quality=material.material_quality(population, certs, broadcast_limit),
-        scored=mart.scored_parts(population, cmm_q, torque_q, certs, broadcast_limit),
+        material_quality=parts.select(*material.MATERIAL_COLUMNS),
+        scored=mart.scored_parts(parts, cmm_q, torque_q),
     )
 
 

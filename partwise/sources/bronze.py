@@ -19,7 +19,7 @@ number of groups is the number of schema versions, not of days.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -30,28 +30,31 @@ from partwise.sources.schemas import SOURCE_SCHEMAS, UPPERCASED
 _TIMESTAMP_TYPES = ("timestamp_ntz", "timestamp")
 
 
-def _typed_column(df: DataFrame, name: str, kind: str) -> Column:
-    if name not in df.columns:
-        return F.lit(None).cast(kind).alias(name)
-    current = df.schema[name].dataType
-    col = F.col(name)
-    if kind in _TIMESTAMP_TYPES and isinstance(current, (T.LongType, T.IntegerType)):
+def _typed_expr(name: str, kind: str, current: T.DataType | None, upper: bool) -> str:
+    if current is None:
+        expr = f"cast(null as {kind})"
+    elif kind in _TIMESTAMP_TYPES and isinstance(current, (T.LongType, T.IntegerType)):
         # INT64 TIMESTAMP(NANOS) read as epoch nanoseconds (nanosAsLong); the
         # session zone is UTC, so the wall-clock value is kept.
-        col = F.timestamp_micros(F.floor(col / F.lit(1000)).cast("long"))
-    return col.cast(kind).alias(name)
+        expr = f"cast(timestamp_micros(cast(floor(`{name}` / 1000) as bigint)) as {kind})"
+    else:
+        expr = f"cast(`{name}` as {kind})"
+    if upper:
+        expr = f"upper({expr})"
+    return f"{expr} as `{name}`"
 
 
 def typed(df: DataFrame, source: str) -> DataFrame:
-    """Project a raw extract onto the declared Bronze schema of ``source``."""
+    """Project a raw extract onto the declared Bronze schema of ``source``.
+
+    Columns match by name; missing ones become typed NULLs, extra ones are
+    dropped. Built as one ``selectExpr`` so the plan is analysed once.
+    """
     upper = UPPERCASED.get(source, ())
-    cols = []
-    for name, kind in SOURCE_SCHEMAS[source]:
-        c = _typed_column(df, name, kind)
-        if name in upper:
-            c = F.upper(c).alias(name)
-        cols.append(c)
-    return df.select(*cols)
+    current = {f.name: f.dataType for f in df.schema.fields}
+    return df.selectExpr(
+        *[_typed_expr(name, kind, current.get(name), name in upper) for name, kind in SOURCE_SCHEMAS[source]]
+    )
 
 
 def source_path(root: str, source: str) -> str:

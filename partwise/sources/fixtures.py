@@ -11,156 +11,62 @@ whole benchmark table by a fixed rule (see FIXTURES.md):
 
 The two filters shape the data (four joints, missing certificates); they are
 not sampling. The frames look like raw extract files: dates as ISO text,
-pass/fail in mixed case, so the typed Bronze projection does real work.
+CMM pass/fail in lower case, so the typed Bronze projection does real work.
 
-``FIXTURE_SQL`` is the same derivation for DuckDB, used by the oracle. Write
-doubles as ``5e-2``: ``0.05`` is a decimal in both engines.
+Each rule is one SELECT template rendered for Spark SQL and for DuckDB (the
+oracle); only type names and the table reference differ. Doubles are written
+with an exponent because ``0.05`` is a decimal in both engines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-
-def _s(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _iso(c: Column) -> Column:
-    return c.cast("date").cast("string")
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def process_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    return o.select(
-        F.col("o_orderdate").cast("timestamp_ntz").alias("process_ts"),
-        _iso(F.col("o_orderdate")).alias("production_date"),
-        F.concat(F.lit("PART-"), _s(key)).alias("part_id"),
-        F.col("o_orderpriority").alias("part_model"),
-        F.concat(F.lit("LINE-"), F.col("o_orderstatus")).alias("line_id"),
-        F.when(key % 2 == 0, F.lit("A")).otherwise(F.lit("B")).alias("shift"),
-        F.concat(F.lit("CNC-0"), _s(cust % 8 + 1)).alias("machine_id"),
-        F.concat(F.lit("MAT-"), _s(cust)).alias("batch_id"),
-        (F.lit(8000.0) + key % 6001).alias("spindle_speed"),
-        (F.lit(560.0) + key % 180).alias("feed_rate"),
-        (F.lit(24.0) + (key % 121) / F.lit(10.0)).alias("coolant_temp"),
-        (F.lit(80.0) + (cust % 300) / F.lit(10.0)).alias("cycle_time"),
-    )
-
-
-def cmm_inspection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    line, qty = F.col("l_linenumber"), F.col("l_quantity")
-    nominal = F.lit(10.0) * line
-    return li.select(
-        F.col("l_shipdate").cast("timestamp_ntz").alias("inspection_ts"),
-        _iso(F.col("l_shipdate")).alias("production_date"),
-        F.concat(F.lit("PART-"), _s(F.col("l_orderkey"))).alias("part_id"),
-        F.concat(F.lit("DIM-"), _s(line)).alias("dimension_name"),
-        (nominal + (qty - F.lit(25.0)) / F.lit(490.0)).alias("measured_value"),
-        nominal.alias("nominal"),
-        F.when(line == 7, F.lit(0.0)).otherwise(F.lit(0.05)).alias("tolerance"),
-        (nominal - F.lit(0.05)).alias("lower_spec_limit"),
-        (nominal + F.lit(0.05)).alias("upper_spec_limit"),
-        F.when(F.abs(qty - F.lit(25.0)) <= F.lit(24.0), F.lit("pass"))
-        .otherwise(F.lit("fail"))
-        .alias("pass_fail"),
-    )
-
-
-def torque_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") <= 4)
-    target = F.lit(65.0)
-    return li.select(
-        F.col("l_shipdate").cast("timestamp_ntz").alias("audit_ts"),
-        _iso(F.col("l_shipdate")).alias("production_date"),
-        F.concat(F.lit("PART-"), _s(F.col("l_orderkey"))).alias("part_id"),
-        F.concat(F.lit("J-0"), _s(F.col("l_linenumber"))).alias("joint_id"),
-        target.alias("target_torque"),
-        (target * (F.lit(1.0) + (F.col("l_tax") - F.lit(0.04)))).alias("actual_torque"),
-        (F.lit(70.0) + (F.col("l_quantity") - F.lit(25.0)) / F.lit(5.0)).alias("angle"),
-        (target * F.lit(0.95)).alias("torque_lower_limit"),
-        (target * F.lit(1.05)).alias("torque_upper_limit"),
-        F.lit(62.0).alias("angle_lower_limit"),
-        F.lit(78.0).alias("angle_upper_limit"),
-        F.when((F.col("l_tax") < F.lit(0.005)) & (F.col("l_discount") < F.lit(0.005)), F.lit("FAIL"))
-        .otherwise(F.lit("PASS"))
-        .alias("pass_fail"),
-    )
-
-
-def supplier_material_certs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") % 20 != 0)
-    hardness = F.lit(178.0) + F.col("p_size") * F.lit(1.05)
-    tensile = F.lit(570.0) + F.col("p_partkey") % 197
-    return p.select(
-        F.concat(F.lit("MAT-"), _s(F.col("p_partkey"))).alias("batch_id"),
-        F.concat(F.lit("SUP-"), F.col("p_brand")).alias("supplier_id"),
-        hardness.alias("hardness"),
-        tensile.alias("tensile_strength"),
-        F.lit("2026-06-01").alias("cert_date"),
-        F.lit(180.0).alias("hardness_min_spec"),
-        F.lit(230.0).alias("hardness_max_spec"),
-        F.lit(580.0).alias("tensile_min_spec"),
-        F.lit(760.0).alias("tensile_max_spec"),
-        (~hardness.between(180.0, 230.0) | ~tensile.between(580.0, 760.0)).alias("material_deviation"),
-    )
-
-
-RAW_SOURCES = {
-    "process_parameters": process_parameters,
-    "cmm_inspection": cmm_inspection,
-    "torque_audit": torque_audit,
-    "supplier_material_certs": supplier_material_certs,
-}
-
-
-def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in RAW_SOURCES.items()}
-
-
-# The same derivation in DuckDB SQL, one CTE per raw source.
-FIXTURE_SQL = {
-    "process_parameters": """
+# (source table, SELECT template). ``{src}`` is the table, ``{string}`` and
+# ``{timestamp}`` the engine's names for text and zone-less timestamps.
+FIXTURES: dict[str, tuple[str, str]] = {
+    "process_parameters": (
+        "orders",
+        """
     select
-        cast(o_orderdate as timestamp) as process_ts,
-        cast(cast(o_orderdate as date) as varchar) as production_date,
-        'PART-' || cast(o_orderkey as varchar) as part_id,
+        cast(o_orderdate as {timestamp}) as process_ts,
+        cast(cast(o_orderdate as date) as {string}) as production_date,
+        'PART-' || cast(o_orderkey as {string}) as part_id,
         o_orderpriority as part_model,
         'LINE-' || o_orderstatus as line_id,
         case when o_orderkey % 2 = 0 then 'A' else 'B' end as shift,
-        'CNC-0' || cast(o_custkey % 8 + 1 as varchar) as machine_id,
-        'MAT-' || cast(o_custkey as varchar) as batch_id,
+        'CNC-0' || cast(o_custkey % 8 + 1 as {string}) as machine_id,
+        'MAT-' || cast(o_custkey as {string}) as batch_id,
         8000e0 + o_orderkey % 6001 as spindle_speed,
         560e0 + o_orderkey % 180 as feed_rate,
         24e0 + (o_orderkey % 121) / 10e0 as coolant_temp,
         80e0 + (o_custkey % 300) / 10e0 as cycle_time
-    from orders""",
-    "cmm_inspection": """
+    from {src}""",
+    ),
+    "cmm_inspection": (
+        "lineitem",
+        """
     select
-        cast(l_shipdate as timestamp) as inspection_ts,
-        cast(cast(l_shipdate as date) as varchar) as production_date,
-        'PART-' || cast(l_orderkey as varchar) as part_id,
-        'DIM-' || cast(l_linenumber as varchar) as dimension_name,
+        cast(l_shipdate as {timestamp}) as inspection_ts,
+        cast(cast(l_shipdate as date) as {string}) as production_date,
+        'PART-' || cast(l_orderkey as {string}) as part_id,
+        'DIM-' || cast(l_linenumber as {string}) as dimension_name,
         10e0 * l_linenumber + (l_quantity - 25e0) / 490e0 as measured_value,
         10e0 * l_linenumber as nominal,
         case when l_linenumber = 7 then 0e0 else 5e-2 end as tolerance,
         10e0 * l_linenumber - 5e-2 as lower_spec_limit,
         10e0 * l_linenumber + 5e-2 as upper_spec_limit,
         case when abs(l_quantity - 25e0) <= 24e0 then 'pass' else 'fail' end as pass_fail
-    from lineitem""",
-    "torque_audit": """
+    from {src}""",
+    ),
+    "torque_audit": (
+        "lineitem",
+        """
     select
-        cast(l_shipdate as timestamp) as audit_ts,
-        cast(cast(l_shipdate as date) as varchar) as production_date,
-        'PART-' || cast(l_orderkey as varchar) as part_id,
-        'J-0' || cast(l_linenumber as varchar) as joint_id,
+        cast(l_shipdate as {timestamp}) as audit_ts,
+        cast(cast(l_shipdate as date) as {string}) as production_date,
+        'PART-' || cast(l_orderkey as {string}) as part_id,
+        'J-0' || cast(l_linenumber as {string}) as joint_id,
         65e0 as target_torque,
         65e0 * (1e0 + (l_tax - 4e-2)) as actual_torque,
         70e0 + (l_quantity - 25e0) / 5e0 as angle,
@@ -169,11 +75,14 @@ FIXTURE_SQL = {
         62e0 as angle_lower_limit,
         78e0 as angle_upper_limit,
         case when l_tax < 5e-3 and l_discount < 5e-3 then 'FAIL' else 'PASS' end as pass_fail
-    from lineitem
+    from {src}
     where l_linenumber <= 4""",
-    "supplier_material_certs": """
+    ),
+    "supplier_material_certs": (
+        "part",
+        """
     select
-        'MAT-' || cast(p_partkey as varchar) as batch_id,
+        'MAT-' || cast(p_partkey as {string}) as batch_id,
         'SUP-' || p_brand as supplier_id,
         178e0 + p_size * 105e-2 as hardness,
         570e0 + p_partkey % 197 as tensile_strength,
@@ -184,6 +93,30 @@ FIXTURE_SQL = {
         760e0 as tensile_max_spec,
         not (178e0 + p_size * 105e-2 between 180e0 and 230e0)
             or not (570e0 + p_partkey % 197 between 580e0 and 760e0) as material_deviation
-    from part
+    from {src}
     where p_partkey % 20 <> 0""",
+    ),
+}
+
+_SPARK_TYPES = {"string": "string", "timestamp": "timestamp_ntz"}
+_DUCKDB_TYPES = {"string": "varchar", "timestamp": "timestamp"}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def raw_source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    table, template = FIXTURES[source]
+    text = template.format(src="{src}", **_SPARK_TYPES)
+    return spark.sql(text, src=read_table(spark, sf_dir, table))
+
+
+def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {source: raw_source(spark, sf_dir, source) for source in FIXTURES}
+
+
+# The same derivation for DuckDB, where the tables are registered views.
+FIXTURE_SQL = {
+    source: template.format(src=table, **_DUCKDB_TYPES) for source, (table, template) in FIXTURES.items()
 }
