@@ -146,8 +146,7 @@ def _correlation_sql() -> str:
 
 @register("correlation_matrix", _correlation_sql())
 def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = _gold(spark, sf_dir).withColumn("defect_flag", F.col("defect_flag").cast("int"))
-    return reports.correlation_matrix(gold)
+    return reports.correlation_matrix(_gold(spark, sf_dir))
 
 
 _SELECTED = (

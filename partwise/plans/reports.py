@@ -101,40 +101,41 @@ def correlation_pairs(columns=R.CORRELATION_COLUMNS) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
 
 
-def pearson(a: Column, b: Column) -> Column:
+def pearson_sql(a: str, b: str) -> str:
     """Pearson r over rows where both are non-NULL; NULL for a constant side.
 
     ``corr`` raises a division error under ANSI for a constant column; the
     guarded ratio returns NULL instead (pandas returns NaN there).
     """
-    a_paired = F.when(b.isNotNull(), a)
-    b_paired = F.when(a.isNotNull(), b)
-    denom = F.stddev_pop(a_paired) * F.stddev_pop(b_paired)
-    return F.covar_pop(a, b) / F.nullif(denom, F.lit(0.0))
+    a, b = f"`{a}`", f"`{b}`"
+    return (
+        f"covar_pop({a}, {b}) / nullif(stddev_pop(case when {b} is not null then {a} end)"
+        f" * stddev_pop(case when {a} is not null then {b} end), 0)"
+    )
 
 
 def correlation_matrix(gold: DataFrame, columns=R.CORRELATION_COLUMNS, digits=R.CORRELATION_DIGITS) -> DataFrame:
     """Long-form Pearson matrix (row_variable, column_variable, correlation).
 
-    One global aggregate computes every pair with pairwise NULL deletion; Spark
-    merges the per-partition moments, so the pass is as parallel as the scan.
+    One global aggregate computes every pair with pairwise NULL deletion;
+    Spark merges per-partition moments, so the pass is as parallel as the scan
+    and only one row per task reaches the final merge.
     """
-    numeric = gold.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    types = dict(gold.dtypes)
+
+    def as_double(c: str) -> str:
+        inner = f"cast(`{c}` as int)" if types.get(c) == "boolean" else f"`{c}`"
+        return f"cast({inner} as double) as `{c}`"
+
+    numeric = gold.selectExpr(*[as_double(c) for c in columns])
     pairs = correlation_pairs(columns)
-    stats = numeric.agg(
-        *[F.round(pearson(F.col(a), F.col(b)), digits).alias(f"r__{a}__{b}") for a, b in pairs]
-    )
-    cells = []
-    for a, b in pairs:
-        for x, y in {(a, b), (b, a)}:
-            cells.append(
-                F.struct(
-                    F.lit(x).alias("row_variable"),
-                    F.lit(y).alias("column_variable"),
-                    F.col(f"r__{a}__{b}").alias("correlation"),
-                )
-            )
-    return stats.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    stats = numeric.selectExpr(*[f"round({pearson_sql(a, b)}, {digits}) as `r__{a}__{b}`" for a, b in pairs])
+    cells = [
+        f"named_struct('row_variable', '{x}', 'column_variable', '{y}', 'correlation', `r__{a}__{b}`)"
+        for a, b in pairs
+        for x, y in sorted({(a, b), (b, a)})
+    ]
+    return stats.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 # ---------------------------------------------------------------- part trace
