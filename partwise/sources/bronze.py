@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 from pyspark.errors.exceptions.base import PySparkException
+from py4j.protocol import Py4JJavaError
 
 from partwise.sources.schemas import SOURCE_SCHEMAS, UPPERCASED
 
@@ -127,8 +128,8 @@ def read_bronze(spark: SparkSession, root: str, source: str, layout: str | None
     layout = layout or detect_layout(spark, root, source)
     try:
         return typed(read_raw(spark, root, source, layout), source)
-    except (AnalysisException, PySparkException) as exc:
-        if "CANNOT_MERGE_SCHEMAS" not in str(exc) and "merging schemas" not in str(exc).lower():
+    except (AnalysisException, PySparkException, Py4JJavaError) as exc:
+        if "CANNOT_MERGE_SCHEMAS" not in str(exc):
             raise
     files = _reader(spark, base, layout, merge=False).parquet(_glob(base, layout)).inputFiles()
     parts = [
