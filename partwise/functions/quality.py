@@ -32,11 +32,6 @@ def torque_error_ratio(actual="actual_torque", target="target_torque") -> Column
     return ratio_to(F.abs(col(actual) - col(target)), target)
 
 
-def is_fail(verdict="pass_fail") -> Column:
-    """True for FAIL, false otherwise; a NULL verdict counts as not failed."""
-    return F.coalesce(col(verdict) == F.lit(R.FAIL), F.lit(False))
-
-
 def sorted_distinct_join(value: Column, sep: str = R.LIST_SEPARATOR) -> Column:
     """Aggregate: distinct non-NULL values sorted by bytes and joined; NULL if none.
 
@@ -44,8 +39,8 @@ def sorted_distinct_join(value: Column, sep: str = R.LIST_SEPARATOR) -> Column:
     is bounded by the distinct values of that group (dimension or joint names
     of one part), not by its row count.
     """
-    values = F.array_sort(F.collect_set(value))
-    return F.when(F.size(values) > 0, F.array_join(values, sep))
+    values = F.collect_set(value)
+    return F.when(F.size(values) > 0, F.array_join(F.sort_array(values), sep))
 
 
 def outside(value: Column, low: Column, high: Column) -> Column:

@@ -1,9 +1,9 @@
 """The Bronze -> Silver -> Gold model as lazy DataFrames.
 
 ``build_layers`` wires the operators together; nothing runs until an action.
-``materialize`` writes Silver and Gold (full refresh, one folder per model)
-and returns layers that read the written tables, which also cuts the lineage
-before reports and checks reuse them.
+``materialize`` writes Silver and Gold (full refresh, one folder per model,
+folder = layer) and returns layers that read the written tables, which also
+cuts the lineage before reports and checks reuse them.
 """
 
 from __future__ import annotations
@@ -90,34 +90,51 @@ def from_bronze(spark: SparkSession, root: str) -> Layers:
     return build_layers(B.read_all(spark, root))
 
 
-def materialize(spark: SparkSession, layers: Layers, out_dir: str) -> Layers:
-    """Write Silver and Gold as Parquet (full refresh) and read them back.
-
-    Gold is clustered by ``production_date`` on write so date-range reports
-    skip files; Silver keeps the part-grain layout of its aggregation.
+def materialize(
+    spark: SparkSession,
+    typed: dict[str, DataFrame],
+    out_dir: str,
+    broadcast_limit: int | None = None,
+) -> Layers:
+    """Build and write Silver and Gold (full refresh) in dependency order.
+
+    Each Silver rollup is computed once and written; Gold is built from the
+    written Silver tables and the flags from written Gold, so no layer is
+    recomputed and every layer boundary cuts the lineage (a lost executor
+    recomputes from the last written layer, not from the sources). Gold is
+    sorted by (production_date, part_id) within files so date filters and
+    part lookups skip row groups.
     """
     out_dir = out_dir.rstrip("/")
-    tables = layers.tables()
-    for name in SILVER_MODELS + GOLD_MODELS:
-        df = tables[name]
-        writer = df.write.mode("overwrite")
-        if name in GOLD_MODELS:
-            writer = df.sortWithinPartitions("production_date", "part_id").write.mode("overwrite")
-        writer.parquet(f"{out_dir}/{layer_of(name)}/{name}")
-
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{out_dir}/{layer_of(name)}/{name}")
-
-    population = read("silver_part_population")
+
+    def path(name: str) -> str:
+        return f"{out_dir}/{layer_of(name)}/{name}"
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(path(name))
+        return spark.read.parquet(path(name))
+
+    certs = typed["supplier_material_certs"]
+    population = write("silver_part_population", rollups.part_population(typed["process_parameters"]))
+    cmm_q = write("silver_cmm_quality", rollups.cmm_rollup(typed["cmm_inspection"]))
+    torque_q = write("silver_torque_quality", rollups.torque_rollup(typed["torque_audit"]))
+    parts = material.with_material(population, certs, broadcast_limit)
+    material_q = write("silver_material_quality", parts.select(*material.MATERIAL_COLUMNS))
+    gold = write(
+        "mart_part_quality_summary",
+        mart.part_quality_summary(mart.scored_parts(parts, cmm_q, torque_q)).sortWithinPartitions(
+            "production_date", "part_id"
+        ),
+    )
     stored = Layers(
-        bronze=layers.bronze,
+        bronze=dict(typed),
         population=population,
-        cmm_quality=read("silver_cmm_quality"),
-        torque_quality=read("silver_torque_quality"),
-        material_quality=read("silver_material_quality"),
-        scored=read("mart_part_quality_summary"),
+        cmm_quality=cmm_q,
+        torque_quality=torque_q,
+        material_quality=material_q,
+        scored=gold,
     )
-    stored.flags = read("silver_part_quality_flags")
+    stored.flags = write("silver_part_quality_flags", mart.quality_flags(gold))
     return stored
 
 

@@ -97,6 +97,9 @@ def failing_dimensions(gold: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- correlation
+CORRELATION_PAIRS_PER_PASS = 10
+
+
 def correlation_pairs(columns=R.CORRELATION_COLUMNS) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
 
@@ -117,9 +120,9 @@ def pearson_sql(a: str, b: str) -> str:
 def correlation_matrix(gold: DataFrame, columns=R.CORRELATION_COLUMNS, digits=R.CORRELATION_DIGITS) -> DataFrame:
     """Long-form Pearson matrix (row_variable, column_variable, correlation).
 
-    One global aggregate computes every pair with pairwise NULL deletion;
-    Spark merges per-partition moments, so the pass is as parallel as the scan
-    and only one row per task reaches the final merge.
+    Global aggregates over a 10-column projection compute every pair with
+    pairwise NULL deletion; Spark merges per-partition moments, so each pass
+    is as parallel as the scan and one row per task reaches the final merge.
     """
     types = dict(gold.dtypes)
 
@@ -129,13 +132,22 @@ def correlation_matrix(gold: DataFrame, columns=R.CORRELATION_COLUMNS, digits=R.
 
     numeric = gold.selectExpr(*[as_double(c) for c in columns])
     pairs = correlation_pairs(columns)
-    stats = numeric.selectExpr(*[f"round({pearson_sql(a, b)}, {digits}) as `r__{a}__{b}`" for a, b in pairs])
-    cells = [
-        f"named_struct('row_variable', '{x}', 'column_variable', '{y}', 'correlation', `r__{a}__{b}`)"
-        for a, b in pairs
-        for x, y in sorted({(a, b), (b, a)})
-    ]
-    return stats.selectExpr(f"inline(array({', '.join(cells)}))")
+    parts = []
+    # A few pairs per aggregate: one operator with every moment of every pair
+    # compiles into oversized code and runs several times slower.
+    for start in range(0, len(pairs), CORRELATION_PAIRS_PER_PASS):
+        chunk = pairs[start : start + CORRELATION_PAIRS_PER_PASS]
+        stats = numeric.selectExpr(*[f"round({pearson_sql(a, b)}, {digits}) as `r__{a}__{b}`" for a, b in chunk])
+        cells = [
+            f"named_struct('row_variable', '{x}', 'column_variable', '{y}', 'correlation', `r__{a}__{b}`)"
+            for a, b in chunk
+            for x, y in sorted({(a, b), (b, a)})
+        ]
+        parts.append(stats.selectExpr(f"inline(array({', '.join(cells)}))"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 # ---------------------------------------------------------------- part trace
