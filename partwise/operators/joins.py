@@ -12,7 +12,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (file bytes scaled by the projection)."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))
     except Exception:  # pragma: no cover - plan without statistics
         return None
 

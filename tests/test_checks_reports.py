@@ -167,3 +167,18 @@ def test_part_trace_defaults_to_smallest_defective_part(spark):
     assert explicit["cert"].count() == 0 and explicit["process"].count() == 1
     fields = reports.summary_fields(trace["summary"]).collect()
     assert len(fields) == 30 and fields[0]["field"] == "production_date"
+
+
+def test_broadcast_only_below_size_limit(spark):
+    from partwise.operators.joins import broadcast_if_small, estimated_bytes
+
+    certs = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    size = estimated_bytes(certs)
+    assert size is not None and size > 0
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+
+    assert hinted(broadcast_if_small(certs, limit=size + 1))
+    assert not hinted(broadcast_if_small(certs, limit=size - 1))
+    assert not hinted(broadcast_if_small(certs, limit=0))
