@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming: incremental Gold refresh over landed Bronze days."""

@@ -1,0 +1,58 @@
+"""Incremental Gold refresh over landed Bronze days."""
+
+from __future__ import annotations
+
+import os
+
+from conftest import RAW_DDL, cert_row, cmm_row, process_row, torque_row
+
+from partwise.sources import sinks
+from partwise.streaming.refresh import start_gold_refresh
+
+
+def _land(spark, root, day, process=(), cmm=(), torque=(), certs=()):
+    data = {
+        "process_parameters": [r[:1] + (day,) + r[2:] for r in process],
+        "cmm_inspection": [r[:1] + (day,) + r[2:] for r in cmm],
+        "torque_audit": [r[:1] + (day,) + r[2:] for r in torque],
+    }
+    frames = {k: spark.createDataFrame(v, RAW_DDL[k]) for k, v in data.items() if v}
+    if frames:
+        sinks.load_sources(spark, frames, root)
+    if certs:
+        sinks.load_sources(
+            spark, {"supplier_material_certs": spark.createDataFrame(list(certs), RAW_DDL["supplier_material_certs"])},
+            root, production_date=day,
+        )
+
+
+def _gold(spark, path):
+    return {r["part_id"]: r for r in spark.read.parquet(path).collect()}
+
+
+def test_refresh_recomputes_only_touched_days(spark, scratch):
+    root, gold_path, ckpt = (os.path.join(scratch, n) for n in ("lake", "gold", "ckpt"))
+    _land(spark, root, "2026-06-10", process=[process_row("A")], cmm=[cmm_row("A")], torque=[torque_row("A")],
+          certs=[cert_row("B1")])
+    _land(spark, root, "2026-06-11", process=[process_row("B")], cmm=[cmm_row("B")], torque=[torque_row("B")])
+    start_gold_refresh(spark, root, gold_path, checkpoint=ckpt).awaitTermination()
+    gold = _gold(spark, gold_path)
+    assert {k: v["defect_root_cause"] for k, v in gold.items()} == {"A": "none", "B": "none"}
+    day10 = sorted(os.listdir(os.path.join(gold_path, "production_date=2026-06-10")))
+
+    # A re-delivered CMM extract for day 11 with a failure: only day 11 changes.
+    _land(spark, root, "2026-06-11", cmm=[cmm_row("B", verdict="FAIL")])
+    start_gold_refresh(spark, root, gold_path, checkpoint=ckpt).awaitTermination()
+    gold = _gold(spark, gold_path)
+    assert gold["B"]["defect_root_cause"] == "dimension"
+    assert gold["A"]["defect_root_cause"] == "none"
+    assert sorted(os.listdir(os.path.join(gold_path, "production_date=2026-06-10"))) == day10
+
+    # A corrected certificate for batch B1 (re-landed under its day) touches
+    # the days of every part of the batch.
+    _land(spark, root, "2026-06-10", certs=[cert_row("B1", hardness=250.0)])
+    start_gold_refresh(spark, root, gold_path, checkpoint=ckpt).awaitTermination()
+    rows = spark.read.parquet(gold_path).collect()
+    assert len(rows) == 2
+    assert {r["part_id"]: r["material_failure_reason"] for r in rows} == {"A": "hardness_high", "B": "hardness_high"}
+    assert {r["part_id"]: r["defect_root_cause"] for r in rows} == {"A": "material", "B": "dimension"}
