@@ -197,3 +197,23 @@ def part_trace_process(spark: SparkSession, sf_dir: str) -> DataFrame:
 def part_trace_cert(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = from_testdata(spark, sf_dir)
     return reports.part_trace(layers.gold, layers.bronze)["cert"]
+
+
+def _fields_sql() -> str:
+    from partwise.operators.mart import GOLD_COLUMNS
+
+    fields = [c for c in GOLD_COLUMNS if c != "part_id"]
+    selects = [
+        f"select part_id, {i} as position, '{c}' as field, cast({c} as varchar) as value from trace_row"
+        for i, c in enumerate(fields)
+    ]
+    return with_models(
+        "\nunion all\n".join(selects),
+        f"trace_row as (select * from {GOLD} where part_id in {_SELECTED})",
+    )
+
+
+@register("part_trace_fields", _fields_sql())
+def part_trace_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = from_testdata(spark, sf_dir)
+    return reports.summary_fields(reports.part_trace(layers.gold, layers.bronze)["summary"])
