@@ -138,6 +138,37 @@ def materialize(
     return stored
 
 
+def register_views(layers: Layers, prefix: str = "") -> list[str]:
+    """Temp views named after the models (Bronze views over the sources,
+    Silver and Gold over whatever the layers hold), for SQL access such as
+    ``spark.sql("select * from mart_part_quality_summary")``."""
+    names = []
+    for name, df in layers.tables().items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names
+
+
+def save_tables(spark: SparkSession, layers: Layers, location: str) -> list[str]:
+    """Silver and Gold as catalog tables in one database per layer
+    (``silver.silver_cmm_quality``, ``gold.mart_part_quality_summary``), stored
+    as Parquet under ``location`` (full refresh)."""
+    saved = []
+    tables = layers.tables()
+    for name in SILVER_MODELS + GOLD_MODELS:
+        layer = layer_of(name)
+        spark.sql(f"create database if not exists {layer}")
+        (
+            tables[name]
+            .write.mode("overwrite")
+            .format("parquet")
+            .option("path", f"{location.rstrip('/')}/{layer}/{name}")
+            .saveAsTable(f"{layer}.{name}")
+        )
+        saved.append(f"{layer}.{name}")
+    return saved
+
+
 def layer_of(model: str) -> str:
     """Schema (folder) of a model: its name's layer prefix; Gold marts go to gold."""
     if model.startswith("bronze_"):

@@ -33,6 +33,11 @@ def filtered_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.filter_summary(_gold(spark, sf_dir), FILTER_START, FILTER_END, FILTER_MACHINE)
 
 
+@register("gold_ordered", with_models(f"select * from {GOLD} order by production_date, part_id"))
+def gold_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.summary_ordered(_gold(spark, sf_dir))
+
+
 @register(
     "filtered_defects_by_cause",
     with_models(

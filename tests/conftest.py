@@ -16,7 +16,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[4]", shuffle_partitions=4, app_name="partwise-tests")
+    session = build_session(
+        "local[4]",
+        shuffle_partitions=4,
+        app_name="partwise-tests",
+        extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="partwise-test-warehouse-")},
+    )
     if not session.conf.get("spark.checkpoint.dir", None):
         session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="partwise-test-ckpt-"))
     yield session

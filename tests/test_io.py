@@ -107,3 +107,20 @@ def test_load_and_rebuild_gold_from_files(spark, scratch):
     gold = {r["part_id"]: r for r in from_bronze(spark, scratch).gold.collect()}
     assert gold["P1"]["defect_root_cause"] == "none"
     assert gold["P2"]["defect_root_cause"] == "dimension"
+
+
+def test_views_and_layer_tables(spark, scratch):
+    from conftest import layers_of
+
+    from partwise.plans.layers import register_views, save_tables
+
+    layers = layers_of(
+        spark, process=[process_row("P1")], cmm=[cmm_row("P1")], torque=[torque_row("P1")], certs=[cert_row()]
+    )
+    names = register_views(layers, prefix="t_")
+    assert "t_mart_part_quality_summary" in names and len(names) == 10
+    assert spark.sql("select defect_root_cause from t_mart_part_quality_summary").collect()[0][0] == "none"
+    saved = save_tables(spark, layers, scratch)
+    assert saved[-1] == "gold.mart_part_quality_summary"
+    assert spark.table("silver.silver_cmm_quality").count() == 1
+    assert os.path.isdir(os.path.join(scratch, "gold", "mart_part_quality_summary"))
