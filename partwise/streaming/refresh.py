@@ -5,7 +5,9 @@ full rebuild per landed day rereads every day; this module instead watches
 the Bronze folders with file streams and, per micro-batch, recomputes Gold
 only for the production days the new files touch:
 
-* part-grain extracts (process log, CMM, torque) touch their own days;
+* process-log rows touch their own production day;
+* CMM and torque rows touch the production day of their part (looked up in
+  the process log by part_id, whatever day folder the rows landed in);
 * a certificate touches the days of every part of its batch.
 
 Gold is partitioned by ``production_date`` and written with dynamic partition
@@ -32,7 +34,7 @@ from partwise.sources import bronze as B
 
 PART_GRAIN = ("process_parameters", "cmm_inspection", "torque_audit")
 CERTS = "supplier_material_certs"
-TOUCH_SCHEMA = "production_date date, batch_id string"
+TOUCH_SCHEMA = "production_date date, part_id string, batch_id string"
 
 
 def gold_for_days(spark: SparkSession, root: str, days: DataFrame) -> DataFrame:
@@ -49,12 +51,15 @@ def gold_for_days(spark: SparkSession, root: str, days: DataFrame) -> DataFrame:
 
 
 def touched_days(spark: SparkSession, root: str, touches: DataFrame) -> DataFrame:
-    """Days named directly, plus the days of parts whose batch got a certificate."""
+    """Days named directly, plus the production days of touched parts and of
+    the parts whose batch got a certificate."""
     direct = touches.filter(F.col("production_date").isNotNull()).select("production_date")
+    parts = touches.filter(F.col("part_id").isNotNull()).select("part_id").distinct()
     batches = touches.filter(F.col("batch_id").isNotNull()).select("batch_id").distinct()
     process = B.read_bronze(spark, root, "process_parameters")
+    via_parts = process.join(parts, "part_id", "left_semi").select("production_date")
     via_certs = process.join(batches, "batch_id", "left_semi").select("production_date")
-    return direct.unionByName(via_certs).distinct()
+    return direct.unionByName(via_parts).unionByName(via_certs).distinct()
 
 
 def refresh(spark: SparkSession, root: str, gold_path: str, touches: DataFrame) -> None:
@@ -77,9 +82,16 @@ def _touch_stream(spark: SparkSession, root: str, source: str) -> DataFrame:
     path = B.source_path(root, source)
     schema = spark.read.option("basePath", path).parquet(path).schema
     stream = spark.readStream.schema(schema).option("basePath", path).parquet(path)
+    none_date, none_text = F.lit(None).cast("date"), F.lit(None).cast("string")
     if source == CERTS:
-        return stream.select(F.lit(None).cast("date").alias("production_date"), F.col("batch_id").cast("string"))
-    return stream.select(F.col("production_date").cast("date"), F.lit(None).cast("string").alias("batch_id"))
+        return stream.select(
+            none_date.alias("production_date"), none_text.alias("part_id"), F.col("batch_id").cast("string")
+        )
+    if source == "process_parameters":
+        return stream.select(
+            F.col("production_date").cast("date"), none_text.alias("part_id"), none_text.alias("batch_id")
+        )
+    return stream.select(none_date.alias("production_date"), F.col("part_id").cast("string"), none_text.alias("batch_id"))
 
 
 def start_gold_refresh(

@@ -48,6 +48,14 @@ def test_refresh_recomputes_only_touched_days(spark, scratch):
     assert gold["A"]["defect_root_cause"] == "none"
     assert sorted(os.listdir(os.path.join(gold_path, "production_date=2026-06-10"))) == day10
 
+    # Late CMM rows for part A landing under another day's folder refresh
+    # part A's own day.
+    _land(spark, root, "2026-06-12", cmm=[cmm_row("A", "late", verdict="FAIL")])
+    start_gold_refresh(spark, root, gold_path, checkpoint=ckpt).awaitTermination()
+    gold = _gold(spark, gold_path)
+    assert gold["A"]["failing_dimension_names"] == "late"
+    assert len(gold) == 2
+
     # A corrected certificate for batch B1 (re-landed under its day) touches
     # the days of every part of the batch.
     _land(spark, root, "2026-06-10", certs=[cert_row("B1", hardness=250.0)])
@@ -55,4 +63,5 @@ def test_refresh_recomputes_only_touched_days(spark, scratch):
     rows = spark.read.parquet(gold_path).collect()
     assert len(rows) == 2
     assert {r["part_id"]: r["material_failure_reason"] for r in rows} == {"A": "hardness_high", "B": "hardness_high"}
-    assert {r["part_id"]: r["defect_root_cause"] for r in rows} == {"A": "material", "B": "dimension"}
+    assert {r["part_id"]: r["defect_root_cause"] for r in rows} == {"A": "dimension", "B": "dimension"}
+    assert {r["part_id"]: r["composite_quality_score"] for r in rows} == {"A": 65, "B": 65}
