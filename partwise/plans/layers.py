@@ -8,6 +8,7 @@ cuts the lineage before reports and checks reuse them.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -115,9 +116,18 @@ def materialize(
         return spark.read.parquet(path(name))
 
     certs = typed["supplier_material_certs"]
-    population = write("silver_part_population", rollups.part_population(typed["process_parameters"]))
-    cmm_q = write("silver_cmm_quality", rollups.cmm_rollup(typed["cmm_inspection"]))
-    torque_q = write("silver_torque_quality", rollups.torque_rollup(typed["torque_audit"]))
+    # The three Silver tables read disjoint sources: submit their jobs
+    # together so small stages share the executors instead of queueing.
+    independent = {
+        "silver_part_population": rollups.part_population(typed["process_parameters"]),
+        "silver_cmm_quality": rollups.cmm_rollup(typed["cmm_inspection"]),
+        "silver_torque_quality": rollups.torque_rollup(typed["torque_audit"]),
+    }
+    with ThreadPoolExecutor(max_workers=len(independent)) as pool:
+        done = dict(zip(independent, pool.map(lambda item: write(*item), independent.items())))
+    population = done["silver_part_population"]
+    cmm_q = done["silver_cmm_quality"]
+    torque_q = done["silver_torque_quality"]
     parts = material.with_material(population, certs, broadcast_limit)
     material_q = write("silver_material_quality", parts.select(*material.MATERIAL_COLUMNS))
     gold = write(

@@ -124,3 +124,27 @@ def test_views_and_layer_tables(spark, scratch):
     assert saved[-1] == "gold.mart_part_quality_summary"
     assert spark.table("silver.silver_cmm_quality").count() == 1
     assert os.path.isdir(os.path.join(scratch, "gold", "mart_part_quality_summary"))
+
+
+def test_materialize_writes_each_layer_and_matches_lazy_gold(spark, scratch):
+    from conftest import frames
+
+    from partwise.plans.layers import build_layers, materialize, typed_sources
+
+    typed = typed_sources(
+        frames(
+            spark,
+            process=[process_row("P1"), process_row("P2", batch="NONE")],
+            cmm=[cmm_row("P1", verdict="FAIL"), cmm_row("P2")],
+            torque=[torque_row("P1")],
+            certs=[cert_row()],
+        )
+    )
+    stored = materialize(spark, typed, scratch)
+    for layer, name in [("silver", "silver_cmm_quality"), ("silver", "silver_part_quality_flags"),
+                        ("gold", "mart_part_quality_summary")]:
+        assert os.path.isdir(os.path.join(scratch, layer, name))
+    lazy = build_layers(typed)
+    assert sorted(map(tuple, stored.gold.collect())) == sorted(map(tuple, lazy.gold.collect()))
+    assert sorted(map(tuple, stored.flags.collect())) == sorted(map(tuple, lazy.flags.collect()))
+    assert stored.material_quality.count() == 2
