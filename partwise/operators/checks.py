@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partwise.operators.joins import key_counts, orphans
+from partwise.operators.joins import key_counts, orphans, union_all
 
 NOT_NULL = "not_null"
 UNIQUE = "unique"
@@ -247,10 +247,7 @@ def run_checks(
     if not parts:
         spark = next(iter(tables.values())).sparkSession
         return spark.createDataFrame([], RESULT_SCHEMA)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.orderBy("position")
+    return union_all(parts).orderBy("position")
 
 
 class DataQualityError(RuntimeError):

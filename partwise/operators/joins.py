@@ -56,3 +56,19 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     counts = key_counts(child, child_key)
     parents = parent.select(F.col(parent_key).alias(child_key)).distinct()
     return counts.join(parents, child_key, "left_anti")
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """By-name union of many frames as a balanced tree.
+
+    Each union is analysed when it is built; a left-deep chain re-analyses the
+    growing plan at every step, a balanced tree keeps that to log depth.
+    """
+    if not frames:
+        raise ValueError("nothing to union")
+    level = list(frames)
+    while len(level) > 1:
+        level = [
+            level[i].unionByName(level[i + 1]) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)
+        ]
+    return level[0]
