@@ -57,108 +57,116 @@ class Check:
         return f"{self.kind}__{self.model}__{self.column}{target}"
 
 
-def _nn(model: str, *columns: str) -> list[Check]:
-    return [Check(model, c, NOT_NULL) for c in columns]
-
-
-def _between(model: str, column: str, low: float, high: float) -> Check:
-    return Check(model, column, BETWEEN, min_value=float(low), max_value=float(high))
-
-
-def _ref(model: str, column: str, to_model: str, to_field: str) -> Check:
-    return Check(model, column, RELATIONSHIPS, to_model=to_model, to_field=to_field)
-
+# FIXED VALUES: the declared checks, one per line, in declaration order:
+# (model, column, test, arguments). Arguments are the accepted values, the
+# (min, max) range, or the (parent model, parent column) of a relationship.
+DECLARED_CHECKS: tuple[tuple[str, str, str, tuple], ...] = (
+    ("bronze_process_parameters", "part_id", "not_null", ()),
+    ("bronze_process_parameters", "part_id", "unique", ()),
+    ("bronze_process_parameters", "production_date", "not_null", ()),
+    ("bronze_process_parameters", "machine_id", "not_null", ()),
+    ("bronze_process_parameters", "batch_id", "not_null", ()),
+    ("bronze_process_parameters", "batch_id", "relationships", ("bronze_supplier_material_certs", "batch_id")),
+    ("bronze_process_parameters", "spindle_speed", "not_null", ()),
+    ("bronze_process_parameters", "spindle_speed", "measurement_between", (8000, 14000)),
+    ("bronze_process_parameters", "feed_rate", "not_null", ()),
+    ("bronze_process_parameters", "feed_rate", "measurement_between", (300, 1000)),
+    ("bronze_process_parameters", "coolant_temp", "not_null", ()),
+    ("bronze_process_parameters", "coolant_temp", "measurement_between", (18, 45)),
+    ("bronze_process_parameters", "cycle_time", "not_null", ()),
+    ("bronze_process_parameters", "cycle_time", "measurement_between", (45, 180)),
+    ("bronze_cmm_inspection", "part_id", "not_null", ()),
+    ("bronze_cmm_inspection", "part_id", "relationships", ("bronze_process_parameters", "part_id")),
+    ("bronze_cmm_inspection", "dimension_name", "not_null", ()),
+    ("bronze_cmm_inspection", "measured_value", "not_null", ()),
+    ("bronze_cmm_inspection", "measured_value", "measurement_between", (0, 200)),
+    ("bronze_cmm_inspection", "nominal", "not_null", ()),
+    ("bronze_cmm_inspection", "nominal", "measurement_between", (0, 200)),
+    ("bronze_cmm_inspection", "tolerance", "not_null", ()),
+    ("bronze_cmm_inspection", "tolerance", "measurement_between", (0.001, 1)),
+    ("bronze_cmm_inspection", "pass_fail", "not_null", ()),
+    ("bronze_cmm_inspection", "pass_fail", "accepted_values", ("PASS", "FAIL")),
+    ("bronze_torque_audit", "part_id", "not_null", ()),
+    ("bronze_torque_audit", "part_id", "relationships", ("bronze_process_parameters", "part_id")),
+    ("bronze_torque_audit", "joint_id", "not_null", ()),
+    ("bronze_torque_audit", "target_torque", "not_null", ()),
+    ("bronze_torque_audit", "target_torque", "measurement_between", (20, 100)),
+    ("bronze_torque_audit", "actual_torque", "not_null", ()),
+    ("bronze_torque_audit", "actual_torque", "measurement_between", (20, 100)),
+    ("bronze_torque_audit", "angle", "not_null", ()),
+    ("bronze_torque_audit", "angle", "measurement_between", (25, 95)),
+    ("bronze_torque_audit", "pass_fail", "not_null", ()),
+    ("bronze_torque_audit", "pass_fail", "accepted_values", ("PASS", "FAIL")),
+    ("bronze_supplier_material_certs", "batch_id", "not_null", ()),
+    ("bronze_supplier_material_certs", "batch_id", "unique", ()),
+    ("bronze_supplier_material_certs", "supplier_id", "not_null", ()),
+    ("bronze_supplier_material_certs", "hardness", "not_null", ()),
+    ("bronze_supplier_material_certs", "hardness", "measurement_between", (120, 280)),
+    ("bronze_supplier_material_certs", "tensile_strength", "not_null", ()),
+    ("bronze_supplier_material_certs", "tensile_strength", "measurement_between", (450, 900)),
+    ("bronze_supplier_material_certs", "cert_date", "not_null", ()),
+    ("silver_part_population", "part_id", "not_null", ()),
+    ("silver_part_population", "part_id", "unique", ()),
+    ("silver_part_population", "production_date", "not_null", ()),
+    ("silver_part_population", "batch_id", "not_null", ()),
+    ("silver_part_population", "spindle_speed", "measurement_between", (8000, 14000)),
+    ("silver_part_population", "feed_rate", "measurement_between", (300, 1000)),
+    ("silver_part_population", "coolant_temp", "measurement_between", (18, 45)),
+    ("silver_part_population", "cycle_time", "measurement_between", (45, 180)),
+    ("silver_cmm_quality", "part_id", "not_null", ()),
+    ("silver_cmm_quality", "part_id", "unique", ()),
+    ("silver_cmm_quality", "part_id", "relationships", ("silver_part_population", "part_id")),
+    ("silver_cmm_quality", "inspected_dimension_count", "measurement_between", (1, 20)),
+    ("silver_cmm_quality", "failed_dimension_count", "measurement_between", (0, 20)),
+    ("silver_torque_quality", "part_id", "not_null", ()),
+    ("silver_torque_quality", "part_id", "unique", ()),
+    ("silver_torque_quality", "part_id", "relationships", ("silver_part_population", "part_id")),
+    ("silver_torque_quality", "audited_joint_count", "measurement_between", (1, 20)),
+    ("silver_torque_quality", "failed_joint_count", "measurement_between", (0, 20)),
+    ("silver_material_quality", "part_id", "not_null", ()),
+    ("silver_material_quality", "part_id", "unique", ()),
+    ("silver_material_quality", "part_id", "relationships", ("silver_part_population", "part_id")),
+    ("silver_material_quality", "batch_id", "not_null", ()),
+    ("silver_material_quality", "hardness", "measurement_between", (120, 280)),
+    ("silver_material_quality", "tensile_strength", "measurement_between", (450, 900)),
+    ("silver_part_quality_flags", "part_id", "not_null", ()),
+    ("silver_part_quality_flags", "part_id", "unique", ()),
+    ("silver_part_quality_flags", "part_id", "relationships", ("silver_part_population", "part_id")),
+    ("silver_part_quality_flags", "defect_flag", "not_null", ()),
+    ("silver_part_quality_flags", "defect_root_cause", "not_null", ()),
+    ("silver_part_quality_flags", "defect_root_cause", "accepted_values",
+     ("dimension", "torque", "material", "unknown", "none")),
+    ("mart_part_quality_summary", "part_id", "not_null", ()),
+    ("mart_part_quality_summary", "part_id", "unique", ()),
+    ("mart_part_quality_summary", "production_date", "not_null", ()),
+    ("mart_part_quality_summary", "machine_id", "not_null", ()),
+    ("mart_part_quality_summary", "batch_id", "not_null", ()),
+    ("mart_part_quality_summary", "spindle_speed", "measurement_between", (8000, 14000)),
+    ("mart_part_quality_summary", "feed_rate", "measurement_between", (300, 1000)),
+    ("mart_part_quality_summary", "coolant_temp", "measurement_between", (18, 45)),
+    ("mart_part_quality_summary", "cycle_time", "measurement_between", (45, 180)),
+    ("mart_part_quality_summary", "hardness", "measurement_between", (120, 280)),
+    ("mart_part_quality_summary", "tensile_strength", "measurement_between", (450, 900)),
+    ("mart_part_quality_summary", "defect_flag", "not_null", ()),
+    ("mart_part_quality_summary", "defect_root_cause", "not_null", ()),
+    ("mart_part_quality_summary", "defect_root_cause", "accepted_values",
+     ("dimension", "torque", "material", "unknown", "none")),
+    ("mart_part_quality_summary", "composite_quality_score", "not_null", ()),
+    ("mart_part_quality_summary", "composite_quality_score", "measurement_between", (0, 100)),
+)
 
-def _accepted(model: str, column: str, values: tuple[str, ...]) -> Check:
-    return Check(model, column, ACCEPTED, values=values)
 
+def _check(model: str, column: str, kind: str, args: tuple) -> Check:
+    if kind == BETWEEN:
+        return Check(model, column, kind, min_value=float(args[0]), max_value=float(args[1]))
+    if kind == ACCEPTED:
+        return Check(model, column, kind, values=tuple(args))
+    if kind == RELATIONSHIPS:
+        return Check(model, column, kind, to_model=args[0], to_field=args[1])
+    return Check(model, column, kind)
 
-# FIXED VALUES: the declared checks of each model, in declaration order.
-_PF = ("PASS", "FAIL")
-_CAUSES = ("dimension", "torque", "material", "unknown", "none")
-_BP, _BC, _BT, _BM = (
-    "bronze_process_parameters",
-    "bronze_cmm_inspection",
-    "bronze_torque_audit",
-    "bronze_supplier_material_certs",
-)
-_SP, _SC, _ST, _SM, _SF, _G = (
-    "silver_part_population",
-    "silver_cmm_quality",
-    "silver_torque_quality",
-    "silver_material_quality",
-    "silver_part_quality_flags",
-    "mart_part_quality_summary",
-)
 
-CHECKS: tuple[Check, ...] = tuple(
-    [
-        # bronze_process_parameters
-        *_nn(_BP, "part_id"), Check(_BP, "part_id", UNIQUE),
-        *_nn(_BP, "production_date", "machine_id", "batch_id"),
-        _ref(_BP, "batch_id", _BM, "batch_id"),
-        *_nn(_BP, "spindle_speed"), _between(_BP, "spindle_speed", 8000, 14000),
-        *_nn(_BP, "feed_rate"), _between(_BP, "feed_rate", 300, 1000),
-        *_nn(_BP, "coolant_temp"), _between(_BP, "coolant_temp", 18, 45),
-        *_nn(_BP, "cycle_time"), _between(_BP, "cycle_time", 45, 180),
-        # bronze_cmm_inspection
-        *_nn(_BC, "part_id"), _ref(_BC, "part_id", _BP, "part_id"),
-        *_nn(_BC, "dimension_name"),
-        *_nn(_BC, "measured_value"), _between(_BC, "measured_value", 0, 200),
-        *_nn(_BC, "nominal"), _between(_BC, "nominal", 0, 200),
-        *_nn(_BC, "tolerance"), _between(_BC, "tolerance", 0.001, 1),
-        *_nn(_BC, "pass_fail"), _accepted(_BC, "pass_fail", _PF),
-        # bronze_torque_audit
-        *_nn(_BT, "part_id"), _ref(_BT, "part_id", _BP, "part_id"),
-        *_nn(_BT, "joint_id"),
-        *_nn(_BT, "target_torque"), _between(_BT, "target_torque", 20, 100),
-        *_nn(_BT, "actual_torque"), _between(_BT, "actual_torque", 20, 100),
-        *_nn(_BT, "angle"), _between(_BT, "angle", 25, 95),
-        *_nn(_BT, "pass_fail"), _accepted(_BT, "pass_fail", _PF),
-        # bronze_supplier_material_certs
-        *_nn(_BM, "batch_id"), Check(_BM, "batch_id", UNIQUE),
-        *_nn(_BM, "supplier_id"),
-        *_nn(_BM, "hardness"), _between(_BM, "hardness", 120, 280),
-        *_nn(_BM, "tensile_strength"), _between(_BM, "tensile_strength", 450, 900),
-        *_nn(_BM, "cert_date"),
-        # silver_part_population
-        *_nn(_SP, "part_id"), Check(_SP, "part_id", UNIQUE),
-        *_nn(_SP, "production_date", "batch_id"),
-        _between(_SP, "spindle_speed", 8000, 14000),
-        _between(_SP, "feed_rate", 300, 1000),
-        _between(_SP, "coolant_temp", 18, 45),
-        _between(_SP, "cycle_time", 45, 180),
-        # silver_cmm_quality
-        *_nn(_SC, "part_id"), Check(_SC, "part_id", UNIQUE), _ref(_SC, "part_id", _SP, "part_id"),
-        _between(_SC, "inspected_dimension_count", 1, 20),
-        _between(_SC, "failed_dimension_count", 0, 20),
-        # silver_torque_quality
-        *_nn(_ST, "part_id"), Check(_ST, "part_id", UNIQUE), _ref(_ST, "part_id", _SP, "part_id"),
-        _between(_ST, "audited_joint_count", 1, 20),
-        _between(_ST, "failed_joint_count", 0, 20),
-        # silver_material_quality
-        *_nn(_SM, "part_id"), Check(_SM, "part_id", UNIQUE), _ref(_SM, "part_id", _SP, "part_id"),
-        *_nn(_SM, "batch_id"),
-        _between(_SM, "hardness", 120, 280),
-        _between(_SM, "tensile_strength", 450, 900),
-        # silver_part_quality_flags
-        *_nn(_SF, "part_id"), Check(_SF, "part_id", UNIQUE), _ref(_SF, "part_id", _SP, "part_id"),
-        *_nn(_SF, "defect_flag"),
-        *_nn(_SF, "defect_root_cause"), _accepted(_SF, "defect_root_cause", _CAUSES),
-        # mart_part_quality_summary
-        *_nn(_G, "part_id"), Check(_G, "part_id", UNIQUE),
-        *_nn(_G, "production_date", "machine_id", "batch_id"),
-        _between(_G, "spindle_speed", 8000, 14000),
-        _between(_G, "feed_rate", 300, 1000),
-        _between(_G, "coolant_temp", 18, 45),
-        _between(_G, "cycle_time", 45, 180),
-        _between(_G, "hardness", 120, 280),
-        _between(_G, "tensile_strength", 450, 900),
-        *_nn(_G, "defect_flag"),
-        *_nn(_G, "defect_root_cause"), _accepted(_G, "defect_root_cause", _CAUSES),
-        *_nn(_G, "composite_quality_score"), _between(_G, "composite_quality_score", 0, 100),
-    ]
-)
+CHECKS: tuple[Check, ...] = tuple(_check(*row) for row in DECLARED_CHECKS)
 
 
 def _q(name: str) -> str:
@@ -260,7 +268,10 @@ def assert_unique_keys(tables: dict[str, DataFrame]) -> None:
     Duplicate keys would multiply rows through the part-grain joins, so the
     build stops instead. Runs two partially aggregated key counts.
     """
-    keys = (Check(_BP, "part_id", UNIQUE), Check(_BM, "batch_id", UNIQUE))
+    keys = (
+        Check("bronze_process_parameters", "part_id", UNIQUE),
+        Check("bronze_supplier_material_certs", "batch_id", UNIQUE),
+    )
     result = run_checks(tables, keys).filter("failures > 0").collect()
     if result:
         detail = ", ".join(f"{r.model}.{r.column_name}: {r.failures} duplicated keys" for r in result)
