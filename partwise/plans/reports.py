@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partwise.functions import rules as R
+from partwise.operators.joins import broadcast_if_small, union_all
 
 
 # ---------------------------------------------------------------- filters
@@ -152,10 +153,7 @@ def correlation_matrix(gold: DataFrame, columns=R.CORRELATION_COLUMNS, digits=R.
             for x, y in sorted({(a, b), (b, a)})
         ]
         parts.append(stats.selectExpr(f"inline(array({', '.join(cells)}))"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return union_all(parts)
 
 
 # ---------------------------------------------------------------- part trace
@@ -199,7 +197,7 @@ def part_trace(
         torque = bronze["torque_audit"].join(sel, "part_id", "left_semi")
         process = bronze["process_parameters"].join(sel, "part_id", "left_semi")
     batch = summary.select("batch_id").distinct()
-    cert = bronze["supplier_material_certs"].join(F.broadcast(batch), "batch_id", "left_semi")
+    cert = bronze["supplier_material_certs"].join(broadcast_if_small(batch), "batch_id", "left_semi")
     return {
         "summary": summary,
         "cmm": cmm.orderBy(F.asc_nulls_last("dimension_name")),

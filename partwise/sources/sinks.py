@@ -18,6 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partwise.operators.joins import broadcast_if_small
 from partwise.sources.bronze import source_path
 from partwise.sources.schemas import SOURCES
 
@@ -66,13 +67,14 @@ def manifest(spark: SparkSession, root: str, loaded: dict[str, DataFrame]) -> Da
     """(source, production_date, rows, relative_path) for the days just loaded.
 
     Counts come from the written files: the scan reads no columns (row counts
-    only), and a semi join on the loaded days prunes every other folder.
+    only), and a semi join on the loaded days (broadcast when its estimate is
+    small, as it is for any calendar range) prunes every other folder.
     """
     parts = []
     for source, days in loaded.items():
         written = spark.read.parquet(source_path(root, source))
         counted = (
-            written.join(F.broadcast(days), PARTITION_COLUMN, "left_semi")
+            written.join(broadcast_if_small(days), PARTITION_COLUMN, "left_semi")
             .groupBy(PARTITION_COLUMN)
             .agg(F.count(F.lit(1)).alias("rows"))
         )
