@@ -22,7 +22,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from partwise.operators.joins import key_counts, orphans, union_all
 
