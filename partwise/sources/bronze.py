@@ -115,19 +115,32 @@ def _schema_groups(spark: SparkSession, files: list[str]) -> list[list[str]]:
     return [row["paths"] for row in grouped.orderBy("signature").collect()]
 
 
-def read_raw(spark: SparkSession, root: str, source: str, layout: str | None = None) -> DataFrame:
+def read_raw(
+    spark: SparkSession, root: str, source: str, layout: str | None = None, merge_schema: bool = True
+) -> DataFrame:
     """Raw by-name union of every day of ``source`` (no casts yet)."""
     base = source_path(root, source)
     layout = layout or detect_layout(spark, root, source)
-    return _reader(spark, base, layout, merge=True).parquet(_glob(base, layout))
+    return _reader(spark, base, layout, merge=merge_schema).parquet(_glob(base, layout))
 
 
-def read_bronze(spark: SparkSession, root: str, source: str, layout: str | None = None) -> DataFrame:
-    """Typed Bronze relation of ``source`` over all days under ``root``."""
+def read_bronze(
+    spark: SparkSession,
+    root: str,
+    source: str,
+    layout: str | None = None,
+    merge_schema: bool = True,
+) -> DataFrame:
+    """Typed Bronze relation of ``source`` over all days under ``root``.
+
+    ``merge_schema`` (default) reads every file footer in a distributed pass so
+    columns added or dropped on some days are matched by name. Pipelines whose
+    writers never drift can turn it off and read one footer instead.
+    """
     base = source_path(root, source)
     layout = layout or detect_layout(spark, root, source)
     try:
-        return typed(read_raw(spark, root, source, layout), source)
+        return typed(read_raw(spark, root, source, layout, merge_schema), source)
     except (AnalysisException, PySparkException, Py4JJavaError) as exc:
         if "CANNOT_MERGE_SCHEMAS" not in str(exc):
             raise
@@ -142,5 +155,5 @@ def read_bronze(spark: SparkSession, root: str, source: str, layout: str | None
     return out
 
 
-def read_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {source: read_bronze(spark, root, source) for source in SOURCE_SCHEMAS}
+def read_all(spark: SparkSession, root: str, merge_schema: bool = True) -> dict[str, DataFrame]:
+    return {source: read_bronze(spark, root, source, merge_schema=merge_schema) for source in SOURCE_SCHEMAS}
