@@ -164,13 +164,6 @@ def default_trace_part(gold: DataFrame) -> DataFrame:
     ).filter(F.col("part_id").isNotNull())
 
 
-def _selected(gold: DataFrame, part_id: str | None) -> DataFrame:
-    if part_id is None:
-        # Exactly one row: broadcasting it is bounded by construction.
-        return F.broadcast(default_trace_part(gold))
-    return gold.sparkSession.createDataFrame([(part_id,)], "part_id string")
-
-
 def part_trace(
     gold: DataFrame,
     bronze: dict[str, DataFrame],
@@ -179,30 +172,24 @@ def part_trace(
     """Gold row of one part plus its CMM, torque and process rows and the
     certificate of its batch.
 
-    With an explicit ``part_id`` the lookups are literal predicates that reach
-    the Parquet scans (row-group skipping on sorted files). Without one, the
-    default part is computed by an aggregate and joined, so nothing is
-    collected.
+    Without ``part_id`` the default part (smallest defective, else smallest)
+    is found by one aggregate over Gold and only that key is fetched. Every
+    lookup is then a literal predicate that reaches the Parquet scans, where
+    key-sorted files let it skip row groups; a join against a one-row frame
+    would scan every file.
     """
-    if part_id is not None:
-        key = F.col("part_id") == F.lit(part_id)
-        summary = gold.filter(key)
-        cmm = bronze["cmm_inspection"].filter(key)
-        torque = bronze["torque_audit"].filter(key)
-        process = bronze["process_parameters"].filter(key)
-    else:
-        sel = _selected(gold, None)
-        summary = gold.join(sel, "part_id", "left_semi")
-        cmm = bronze["cmm_inspection"].join(sel, "part_id", "left_semi")
-        torque = bronze["torque_audit"].join(sel, "part_id", "left_semi")
-        process = bronze["process_parameters"].join(sel, "part_id", "left_semi")
+    if part_id is None:
+        row = default_trace_part(gold).first()
+        part_id = row["part_id"] if row else None
+    key = F.col("part_id") == F.lit(part_id)
+    summary = gold.filter(key)
     batch = summary.select("batch_id").distinct()
     cert = bronze["supplier_material_certs"].join(broadcast_if_small(batch), "batch_id", "left_semi")
     return {
         "summary": summary,
-        "cmm": cmm.orderBy(F.asc_nulls_last("dimension_name")),
-        "torque": torque.orderBy(F.asc_nulls_last("joint_id")),
-        "process": process,
+        "cmm": bronze["cmm_inspection"].filter(key).orderBy(F.asc_nulls_last("dimension_name")),
+        "torque": bronze["torque_audit"].filter(key).orderBy(F.asc_nulls_last("joint_id")),
+        "process": bronze["process_parameters"].filter(key),
         "cert": cert,
     }
 
