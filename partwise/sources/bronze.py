@@ -20,7 +20,6 @@ number of groups is the number of schema versions, not of days.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 from pyspark.errors.exceptions.base import PySparkException
@@ -104,15 +103,18 @@ def _schema_groups(spark: SparkSession, files: list[str]) -> list[list[str]]:
             yield pd.DataFrame({"path": pdf["path"], "signature": sigs})
 
     paths = spark.createDataFrame([(f,) for f in files], "path string")
-    grouped = (
+    found = (
         paths.repartition(max(1, min(len(files), spark.sparkContext.defaultParallelism)))
         .mapInPandas(signatures, "path string, signature string")
-        .groupBy("signature")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+        .collect()
     )
-    # One row per schema version; the file list is metadata the file index
-    # already holds on the driver.
-    return [row["paths"] for row in grouped.orderBy("signature").collect()]
+    # (path, signature) pairs are file metadata: the listing that produced the
+    # paths already lives on the driver. Grouping them here keeps every task
+    # to its own files.
+    groups: dict[str, list[str]] = {}
+    for row in found:
+        groups.setdefault(row["signature"], []).append(row["path"])
+    return [sorted(groups[sig]) for sig in sorted(groups)]
 
 
 def read_raw(
