@@ -1,8 +1,9 @@
 """Landing daily extracts as Bronze Parquet, and the load manifest.
 
 Layout: ``<root>/bronze/<source>/production_date=<YYYY-MM-DD>/part-*.parquet``.
-Writes use dynamic partition overwrite, so loading a day again replaces that
-day and leaves every other day alone (a rerun is idempotent).
+Loading a day again replaces that day and leaves every other day alone (a
+rerun is idempotent): a single-day load overwrites the day's folder, a
+multi-day load uses dynamic partition overwrite.
 
 Extracts carry their production day except certificates, which land under the
 load day given by the caller. Rows are range-partitioned by (day, key) before
@@ -46,12 +47,26 @@ def write_bronze(
     root: str,
     production_date: dt.date | str | None = None,
 ) -> str:
-    """Write one source extract (one or many days) under ``root``; returns the path."""
+    """Write one source extract under ``root``; returns the source path.
+
+    With ``production_date`` the extract is that day's load: it replaces the
+    day's folder whole, so an empty extract empties the day. Without it the
+    rows land under their own days and only those days are replaced.
+    """
     if source not in SOURCES:
         raise ValueError(f"unknown source {source!r}")
     out = source_path(root, source)
     key = SORT_KEY[source]
-    staged = _with_day(frame, production_date)
+    if production_date is not None:
+        day = dt.date.fromisoformat(str(production_date)[:10]).isoformat()
+        (
+            frame.drop(PARTITION_COLUMN)
+            .sortWithinPartitions(key)
+            .write.mode("overwrite")
+            .parquet(f"{out}/{PARTITION_COLUMN}={day}")
+        )
+        return out
+    staged = _with_day(frame, None)
     (
         staged.repartitionByRange(PARTITION_COLUMN, key)
         .sortWithinPartitions(PARTITION_COLUMN, key)

@@ -148,3 +148,42 @@ def test_materialize_writes_each_layer_and_matches_lazy_gold(spark, scratch):
     assert sorted(map(tuple, stored.gold.collect())) == sorted(map(tuple, lazy.gold.collect()))
     assert sorted(map(tuple, stored.flags.collect())) == sorted(map(tuple, lazy.flags.collect()))
     assert stored.material_quality.count() == 2
+
+
+def test_daily_run_lands_rebuilds_and_checks(spark, scratch):
+    import pytest
+
+    from partwise.operators.checks import DataQualityError
+    from partwise.plans.daily import run_daily
+
+    def day_frames(day, parts, verdict="PASS"):
+        return {
+            "process_parameters": spark.createDataFrame(
+                [process_row(p, day=day) for p in parts], RAW_DDL["process_parameters"]
+            ),
+            "cmm_inspection": spark.createDataFrame(
+                [cmm_row(p, verdict=verdict) for p in parts], RAW_DDL["cmm_inspection"]
+            ),
+            "torque_audit": spark.createDataFrame([torque_row(p) for p in parts], RAW_DDL["torque_audit"]),
+            "supplier_material_certs": spark.createDataFrame([cert_row()], RAW_DDL["supplier_material_certs"]),
+        }
+
+    first = run_daily(spark, day_frames("2026-06-10", ["A1", "A2"]), scratch, "2026-06-10")
+    assert {r["source"] for r in first.manifest.collect()} == {
+        "process_parameters", "cmm_inspection", "torque_audit", "supplier_material_certs"
+    }
+    assert first.layers.gold.count() == 2
+    # Day two lands the same certificate batch again under its own day, which
+    # duplicates the batch key: the gate stops the build.
+    with pytest.raises(DataQualityError):
+        run_daily(spark, day_frames("2026-06-11", ["B1"]), scratch, "2026-06-11")
+    # Rerunning day two with an empty certificate extract replaces the day's
+    # certificates, so the build goes through.
+    frames = day_frames("2026-06-11", ["B1"], verdict="FAIL")
+    frames["supplier_material_certs"] = spark.createDataFrame([], RAW_DDL["supplier_material_certs"])
+    second = run_daily(spark, frames, scratch, "2026-06-11")
+    gold = {r["part_id"]: r["defect_root_cause"] for r in second.layers.gold.collect()}
+    assert gold == {"A1": "none", "A2": "none", "B1": "dimension"}
+    results = second.checks.collect()
+    assert len(results) == 90
+    assert all(r["status"] == "pass" for r in results if r["test_name"] == "unique")
