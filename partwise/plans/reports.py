@@ -126,6 +126,15 @@ def pearson_sql(a: str, b: str) -> str:
     )
 
 
+def signed_round(expr: str, digits: int) -> str:
+    """``round`` that keeps the sign of a negative value rounding to zero.
+
+    Spark's ``round`` turns -0.0004 into 0.0; the report's engine and pandas
+    give -0.0, which is what the matrix shows.
+    """
+    return f"case when round({expr}, {digits}) = 0 and {expr} < 0 then -0.0D else round({expr}, {digits}) end"
+
+
 def correlation_matrix(gold: DataFrame, columns=R.CORRELATION_COLUMNS, digits=R.CORRELATION_DIGITS) -> DataFrame:
     """Long-form Pearson matrix (row_variable, column_variable, correlation).
 
@@ -146,7 +155,8 @@ def correlation_matrix(gold: DataFrame, columns=R.CORRELATION_COLUMNS, digits=R.
     # compiles into oversized code and runs several times slower.
     for start in range(0, len(pairs), CORRELATION_PAIRS_PER_PASS):
         chunk = pairs[start : start + CORRELATION_PAIRS_PER_PASS]
-        stats = numeric.selectExpr(*[f"round({pearson_sql(a, b)}, {digits}) as `r__{a}__{b}`" for a, b in chunk])
+        raw = numeric.selectExpr(*[f"{pearson_sql(a, b)} as `r__{a}__{b}`" for a, b in chunk])
+        stats = raw.selectExpr(*[f"{signed_round(f'`r__{a}__{b}`', digits)} as `r__{a}__{b}`" for a, b in chunk])
         cells = [
             f"named_struct('row_variable', '{x}', 'column_variable', '{y}', 'correlation', `r__{a}__{b}`)"
             for a, b in chunk

@@ -182,3 +182,12 @@ def test_broadcast_only_below_size_limit(spark):
     assert hinted(broadcast_if_small(certs, limit=size + 1))
     assert not hinted(broadcast_if_small(certs, limit=size - 1))
     assert not hinted(broadcast_if_small(certs, limit=0))
+
+
+def test_signed_round_keeps_negative_zero(spark):
+    import math
+
+    expr = reports.signed_round("x", 3)
+    got = [r[0] for r in spark.sql(f"select {expr} from values (-0.0004D), (0.0004D), (-0.0006D), (0.1235D) t(x)").collect()]
+    assert [math.copysign(1.0, v) for v in got[:2]] == [-1.0, 1.0]
+    assert got[0] == 0.0 and got[2] == -0.001 and got[3] == 0.124
