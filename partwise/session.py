@@ -55,12 +55,12 @@ def build_session(
     return configure(spark)
 
 
-def shared_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh folder under the cluster's shared checkpoint directory.
+def shared_base(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint directory (``spark.checkpoint.dir``).
 
-    The folder named by ``spark.checkpoint.dir`` is visible to every executor,
-    so written tables and checkpoints there survive the loss of an executor.
-    Only when the session has none (local tests) is one created and set.
+    It is visible to every executor, so written tables and checkpoints there
+    survive the loss of an executor. Only when the session has none (local
+    tests) is one created and set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -71,4 +71,9 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name or 'partwise'}-{uuid.uuid4().hex[:12]}"
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, name: str | None = None) -> str:
+    """A fresh folder under the shared checkpoint directory."""
+    return f"{shared_base(spark)}/{name or 'partwise'}-{uuid.uuid4().hex[:12]}"
