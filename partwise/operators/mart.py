@@ -1,11 +1,12 @@
 """Part-grain flags and the Gold part quality summary.
 
-One join pass builds both: the population (with its certificate) is joined
-left with the CMM and torque rollups on ``part_id``. The rollups come out of
-their aggregation already hash-partitioned by ``part_id``, so the sort-merge
-joins need one shuffle of the population and none of the rollups beyond their
-own aggregation. Flags and Gold are projections of the same joined frame; no
-second join to a flags relation is needed.
+One join pass builds both: the population is joined left with the CMM and
+torque rollups on ``part_id``, then with its batch's certificate. The rollups
+come out of their aggregation already hash-partitioned by ``part_id`` (or are
+read from tables bucketed by it), so the sort-merge joins need at most one
+shuffle of the population and none of the rollups. Flags and Gold are
+projections of the same joined frame; no second join to a flags relation is
+needed.
 
 Keys are expected unique (one process row per part, one certificate per
 batch); :func:`partwise.operators.checks.assert_unique_keys` is the gate.
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from partwise.functions import quality as Q
 from partwise.functions import rules as R
+from partwise.operators.material import with_material
 from partwise.operators.rollups import POPULATION_COLUMNS
 
 FLAG_COLUMNS = [
@@ -65,15 +67,24 @@ GOLD_COLUMNS = [
 ]
 
 
-def scored_parts(parts: DataFrame, cmm_roll: DataFrame, torque_roll: DataFrame) -> DataFrame:
+def scored_parts(
+    population: DataFrame,
+    cmm_roll: DataFrame,
+    torque_roll: DataFrame,
+    certs: DataFrame,
+    broadcast_limit: int | None = None,
+) -> DataFrame:
     """Every part with its rollups, certificate, flags, cause and score.
 
-    ``parts`` is the population with its certificate columns
-    (:func:`partwise.operators.material.with_material`).
+    The part-grain joins on ``part_id`` come first, the certificate lookup on
+    ``batch_id`` last: all inputs of the first joins are partitioned (or
+    bucketed) by ``part_id``, and a lookup between them would move the
+    population to ``batch_id`` and back.
     """
     cmm = cmm_roll.drop("production_date").withColumn("_has_cmm", F.lit(True))
     torque = torque_roll.drop("production_date").withColumn("_has_torque", F.lit(True))
-    joined = parts.join(cmm, "part_id", "left").join(torque, "part_id", "left")
+    by_part = population.join(cmm, "part_id", "left").join(torque, "part_id", "left")
+    joined = with_material(by_part, certs, broadcast_limit)
 
     any_dim = F.coalesce(F.col("any_dimension_out_of_tolerance"), F.lit(False))
     any_torque = F.coalesce(F.col("any_torque_failure"), F.lit(False))

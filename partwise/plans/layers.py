@@ -26,6 +26,8 @@ SILVER_MODELS = (
     "silver_part_quality_flags",
 )
 GOLD_MODELS = ("mart_part_quality_summary",)
+# Part-grain Silver tables that Gold joins on part_id.
+BUCKETED_MODELS = ("silver_part_population", "silver_cmm_quality", "silver_torque_quality")
 
 
 @dataclass
@@ -65,15 +67,13 @@ def build_layers(typed_sources: dict[str, DataFrame], broadcast_limit: int | Non
     population = rollups.part_population(process)
     cmm_q = rollups.cmm_rollup(typed_sources["cmm_inspection"])
     torque_q = rollups.torque_rollup(typed_sources["torque_audit"])
-    # One certificate lookup feeds both Silver material quality and Gold.
-    parts = material.with_material(population, certs, broadcast_limit)
     return Layers(
         bronze=dict(typed_sources),
         population=population,
         cmm_quality=cmm_q,
         torque_quality=torque_q,
-        material_quality=parts.select(*material.MATERIAL_COLUMNS),
-        scored=mart.scored_parts(parts, cmm_q, torque_q),
+        material_quality=material.material_quality(population, certs, broadcast_limit),
+        scored=mart.scored_parts(population, cmm_q, torque_q, certs, broadcast_limit),
     )
 
 
@@ -96,15 +96,20 @@ def materialize(
     typed: dict[str, DataFrame],
     out_dir: str,
     broadcast_limit: int | None = None,
+    buckets: int | None = None,
 ) -> Layers:
     """Build and write Silver and Gold (full refresh) in dependency order.
 
-    Each Silver rollup is computed once and written; Gold is built from the
+    Each Silver table is computed once and written; Gold is built from the
     written Silver tables and the flags from written Gold, so no layer is
     recomputed and every layer boundary cuts the lineage (a lost executor
     recomputes from the last written layer, not from the sources). Gold is
     sorted by (production_date, part_id) within files so date filters and
     part lookups skip row groups.
+
+    With ``buckets`` the part-grain Silver tables are saved as catalog tables
+    (database ``silver``) bucketed and sorted by ``part_id`` into that many
+    buckets; Gold's joins then read them without any shuffle.
     """
     out_dir = out_dir.rstrip("/")
 
@@ -112,6 +117,18 @@ def materialize(
         return f"{out_dir}/{layer_of(name)}/{name}"
 
     def write(name: str, df: DataFrame) -> DataFrame:
+        if buckets and name in BUCKETED_MODELS:
+            layer = layer_of(name)
+            spark.sql(f"create database if not exists {layer}")
+            (
+                df.write.mode("overwrite")
+                .format("parquet")
+                .option("path", path(name))
+                .bucketBy(buckets, "part_id")
+                .sortBy("part_id")
+                .saveAsTable(f"{layer}.{name}")
+            )
+            return spark.table(f"{layer}.{name}")
         df.write.mode("overwrite").parquet(path(name))
         return spark.read.parquet(path(name))
 
@@ -128,13 +145,12 @@ def materialize(
     population = done["silver_part_population"]
     cmm_q = done["silver_cmm_quality"]
     torque_q = done["silver_torque_quality"]
-    parts = material.with_material(population, certs, broadcast_limit)
-    material_q = write("silver_material_quality", parts.select(*material.MATERIAL_COLUMNS))
+    material_q = write("silver_material_quality", material.material_quality(population, certs, broadcast_limit))
     gold = write(
         "mart_part_quality_summary",
-        mart.part_quality_summary(mart.scored_parts(parts, cmm_q, torque_q)).sortWithinPartitions(
-            "production_date", "part_id"
-        ),
+        mart.part_quality_summary(
+            mart.scored_parts(population, cmm_q, torque_q, certs, broadcast_limit)
+        ).sortWithinPartitions("production_date", "part_id"),
     )
     stored = Layers(
         bronze=dict(typed),

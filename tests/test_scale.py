@@ -87,3 +87,34 @@ def test_hot_day_is_written_by_several_tasks(spark, scratch):
     hot = os.path.join(scratch, "bronze", "process_parameters", "production_date=2026-06-11")
     files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
     assert len(files) > 1
+
+
+def test_gold_over_bucketed_silver_needs_no_part_shuffle(spark, scratch):
+    from conftest import cert_row, cmm_row, frames, process_row, torque_row
+
+    from partwise.operators import mart
+    from partwise.plans.layers import build_layers, materialize, typed_sources
+
+    parts = [f"P{i:03d}" for i in range(40)]
+    typed = typed_sources(
+        frames(
+            spark,
+            process=[process_row(p, batch="B1" if i % 2 else "B2") for i, p in enumerate(parts)],
+            cmm=[cmm_row(p, verdict="FAIL" if i % 7 == 0 else "PASS") for i, p in enumerate(parts)],
+            torque=[torque_row(p) for p in parts[:-3]],
+            certs=[cert_row("B1"), cert_row("B2", hardness=240.0)],
+        )
+    )
+    stored = materialize(spark, typed, scratch, buckets=4)
+    lazy = build_layers(typed)
+    assert sorted(map(tuple, stored.gold.collect())) == sorted(map(tuple, lazy.gold.collect()))
+    with conf(
+        spark,
+        **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"},
+    ):
+        gold = mart.scored_parts(
+            stored.population, stored.cmm_quality, stored.torque_quality, typed["supplier_material_certs"], 0
+        )
+        plan = gold._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(part_id" not in plan
+    assert plan.count("SortMergeJoin") == 3
