@@ -11,9 +11,10 @@ Five kinds, each counting what its test query returns:
 * ``measurement_between``: rows that are NULL, below min or above max (both
   ends valid).
 
-Execution: all row-level checks of one table run as one aggregate pass;
-``unique`` is a partially aggregated key count; ``relationships`` reduces both
-sides to distinct keys before an anti join. No check moves a group of rows
+Execution: all not_null and range checks of one table run as one aggregate
+pass; ``accepted_values`` filters bad values and groups them (partial
+aggregate); ``unique`` is a partially aggregated key count; ``relationships``
+reduces both sides to distinct keys before an anti join. No check moves a group of rows
 into one task, so a key holding a third of a table costs one row per map task.
 """
 
@@ -31,7 +32,7 @@ ACCEPTED = "accepted_values"
 RELATIONSHIPS = "relationships"
 BETWEEN = "measurement_between"
 KINDS = (NOT_NULL, UNIQUE, ACCEPTED, RELATIONSHIPS, BETWEEN)
-ROW_KINDS = (NOT_NULL, ACCEPTED, BETWEEN)
+ROW_KINDS = (NOT_NULL, BETWEEN)
 
 RESULT_SCHEMA = (
     "position int, model string, column_name string, test_name string, check_id string, "
@@ -206,20 +207,21 @@ def _explode_results(df: DataFrame, cells: list[str]) -> DataFrame:
 
 
 def _row_level(table: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame:
-    """All row-level checks of one table in a single aggregate pass."""
-    aggs, cells = [], []
-    for pos, check in numbered:
-        aggs.append(f"count_if({violation(check)}) as r{pos}")
-        failures = f"r{pos}"
-        if check.kind == ACCEPTED:
-            c = _q(check.column)
-            values = ", ".join(_literal(v) for v in check.values)
-            aggs.append(f"count(distinct case when {c} not in ({values}) then {c} end) as d{pos}")
-            failures = f"d{pos}"
-        cells.append(_result(pos, check, failures, f"r{pos}"))
+    """All not_null and range checks of one table in a single aggregate pass."""
+    aggs = [f"count_if({violation(check)}) as r{pos}" for pos, check in numbered]
+    cells = [_result(pos, check, f"r{pos}", f"r{pos}") for pos, check in numbered]
     return _explode_results(table.selectExpr(*aggs), cells)
 
 
+def _accepted(table: DataFrame, pos: int, check: Check) -> DataFrame:
+    """Distinct bad values and their rows: filter, then a partial group-by on
+    the value. A distinct count inside the table's main aggregate would make
+    Spark expand every row of the table."""
+    bad = table.filter(violation(check)).groupBy(check.column).count()
+    totals = bad.selectExpr("count(1) as k", "coalesce(sum(`count`), 0) as n")
+    return _explode_results(totals, [_result(pos, check, "k", "n")])
+
+
 def _unique(table: DataFrame, pos: int, check: Check) -> DataFrame:
     dupes = key_counts(table, check.column).filter("n > 1")
     totals = dupes.selectExpr("count(1) as k", "coalesce(sum(n), 0) as n")
@@ -247,7 +249,9 @@ def run_checks(
         if row_checks:
             parts.append(_row_level(tables[model], row_checks))
     for pos, check in numbered:
-        if check.kind == UNIQUE:
+        if check.kind == ACCEPTED:
+            parts.append(_accepted(tables[check.model], pos, check))
+        elif check.kind == UNIQUE:
             parts.append(_unique(tables[check.model], pos, check))
         elif check.kind == RELATIONSHIPS:
             parts.append(_relationship(tables[check.model], tables[check.to_model], pos, check))
