@@ -88,11 +88,17 @@ def manifest(spark: SparkSession, root: str, loaded: dict[str, DataFrame]) -> Da
     parts = []
     for source, days in loaded.items():
         written = spark.read.parquet(source_path(root, source))
-        counted = (
-            written.join(broadcast_if_small(days), PARTITION_COLUMN, "left_semi")
+        day_keys = days.select(F.col(PARTITION_COLUMN).cast("date").alias(PARTITION_COLUMN)).distinct()
+        per_day = (
+            written.select(F.col(PARTITION_COLUMN).cast("date").alias(PARTITION_COLUMN))
+            .join(broadcast_if_small(day_keys), PARTITION_COLUMN, "left_semi")
             .groupBy(PARTITION_COLUMN)
             .agg(F.count(F.lit(1)).alias("rows"))
         )
+        # A day whose extract was empty still gets its row, with 0 rows.
+        counted = day_keys.join(per_day, PARTITION_COLUMN, "left").select(
+            PARTITION_COLUMN, F.coalesce(F.col("rows"), F.lit(0).cast("long")).alias("rows")
+        )
         parts.append(
             counted.select(
                 F.lit(source).alias("source"),

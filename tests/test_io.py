@@ -182,6 +182,10 @@ def test_daily_run_lands_rebuilds_and_checks(spark, scratch):
     frames = day_frames("2026-06-11", ["B1"], verdict="FAIL")
     frames["supplier_material_certs"] = spark.createDataFrame([], RAW_DDL["supplier_material_certs"])
     second = run_daily(spark, frames, scratch, "2026-06-11")
+    counts = {r["source"]: r["rows"] for r in second.manifest.collect()}
+    assert counts == {
+        "process_parameters": 1, "cmm_inspection": 1, "torque_audit": 1, "supplier_material_certs": 0
+    }
     gold = {r["part_id"]: r["defect_root_cause"] for r in second.layers.gold.collect()}
     assert gold == {"A1": "none", "A2": "none", "B1": "dimension"}
     results = second.checks.collect()
