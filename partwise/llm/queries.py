@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from partwise.llm import packing, simhash, token_counts, token_store
+from partwise.llm import licenses, line_rules, packing, simhash, token_counts, token_store
 from partwise.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -27,10 +27,20 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return line_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and license notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document in sequences of at most 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=2, capacity=4096)
 
 
-QUERIES = {"op1_token_store": op1_token_store, "op2_token_counts": op2_token_counts, "op3_simhash": op3_simhash, "op10_packing": op10_packing}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {"op1_token_store": op1_token_store, "op2_token_counts": op2_token_counts, "op3_simhash": op3_simhash, "op7_quality_rules": op7_quality_rules, "op9_license_scan": op9_license_scan, "op10_packing": op10_packing}
+ORACLE_SQL: dict[str, str] = {"op7_quality_rules": line_rules.oracle_sql(), "op9_license_scan": licenses.oracle_sql()}
