@@ -134,3 +134,28 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
 
 def as_long(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
+
+
+#: Bits of a key filter: 8 MB, whatever the number of keys.
+FILTER_BITS = 26
+
+
+def key_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """Bitmap of the low FILTER_BITS bits of the longs in ``column``.
+
+    Of fixed size: its words (2**20 at most) are put together on the executors
+    and collected. A key that is not in the bitmap is surely not in ``keys``;
+    callers join what passes.
+    """
+    low = F.col(column).bitwiseAND((1 << FILTER_BITS) - 1)
+    words = keys.select(F.shiftright(low, 6).alias("w"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    found = words.toPandas()
+    bitmap = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    bitmap[found["w"].to_numpy(np.int64)] = found["b"].to_numpy(np.int64).view(np.uint64)
+    return bitmap
+
+
+def passes(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which unsigned 64-bit keys may be among those of the bitmap."""
+    low = keys & np.uint64((1 << FILTER_BITS) - 1)
+    return (bitmap[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) == 1

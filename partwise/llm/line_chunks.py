@@ -1,0 +1,147 @@
+"""Line dedup by content-defined chunks of lines.
+
+Lines with a word are hashed; a rolling hash over two neighbouring line hashes
+is taken at every line, and a chunk ends where it is smaller than at the lines
+before and after. So a boundary depends on four neighbouring lines alone and
+comes back wherever they do, however far a passage is shifted. Chunks have 2 to
+MAX_LINES lines (a document of one line is a chunk of its own, never removed).
+
+Chunk hashes are counted over all documents; the first occurrence, by (doc_id,
+hash of the text, chunk), stays, and a later one is removed if its bytes equal
+those of the first. Only the bytes of chunks whose hash repeats are shuffled,
+which a fixed-size key filter decides where the texts are read.
+
+Cases: NULL text stays NULL (no lines). A NULL doc_id comes before all others.
+Rows equal in doc_id and text get the same result; other rows sharing a doc_id
+are told apart by their text. Blank lines inside a removed chunk go with it,
+others stay. An empty table gives no rows. All columns are kept, whatever their
+names. A text is held whole in its task.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from partwise.llm.common import column, key_filter, passes, stored, utf8
+
+MAX_LINES = 64
+_MASK = (1 << 64) - 1
+_ID = ["doc_id", "text_hash"]
+
+
+def chunks(text: bytes) -> list[tuple[int, int, int]]:
+    """(first line, line after the last, lines with a word) of each chunk; lines are those that \\n splits."""
+    lines = text.split(b"\n")
+    at = [i for i, line in enumerate(lines) if line.strip()]
+    n = len(at)
+    if n == 0:
+        return []
+    h = [xxhash.xxh64_intdigest(lines[i]) for i in at]
+    roll = [0] + [((h[i - 1] * 0x9E3779B97F4A7C15 + h[i]) * 0xD6E8FEB86659FD93 & _MASK) >> 16 for i in range(1, n)]
+    out, first = [], 0
+    for i in range(1, n - 2):
+        least = (i == 1 or roll[i] < roll[i - 1]) and roll[i] < roll[i + 1]
+        if (least and i - first >= 1) or (i - first + 1 >= MAX_LINES):
+            out.append((at[first], at[i] + 1, i - first + 1))
+            first = i + 1
+    out.append((at[first], at[-1] + 1, n - first))
+    return out
+
+
+def _bodies(text: bytes) -> Iterator[tuple[int, bytes]]:
+    """(number, bytes) of each chunk of two lines or more: its lines with a word."""
+    lines = text.split(b"\n")
+    for number, (first, end, n) in enumerate(chunks(text)):
+        if n > 1:
+            yield number, b"\n".join(line for line in lines[first:end] if line.strip())
+
+
+def _chunk_rows(wanted=None):
+    """Chunk keys of every text, with their bytes if a key filter is given that they pass."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = None if wanted is None else wanted.value
+        for batch in batches:
+            ids, hashes, numbers, keys, bodies = [], [], [], [], []
+            for doc_id, text_hash, text in zip(*(column(batch, c).to_pylist() for c in (*_ID, "text"))):
+                for number, body in _bodies(text):
+                    ids.append(doc_id)
+                    hashes.append(text_hash)
+                    numbers.append(number)
+                    keys.append(xxhash.xxh64_intdigest(body, 7))
+                    if bitmap is not None:
+                        bodies.append(body)
+            key = np.array(keys, np.uint64)
+            cols = [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(numbers, pa.int32()), pa.array(key.view(np.int64))]
+            if bitmap is None:
+                yield pa.RecordBatch.from_arrays(cols, [*_ID, "chunk", "key"])
+            else:
+                found = pa.RecordBatch.from_arrays([*cols, pa.array(bodies, pa.binary())], [*_ID, "chunk", "key", "body"])
+                yield found.filter(pa.array(passes(bitmap, key))) if len(key) else found
+
+    return read
+
+
+def repeated_chunks(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, chunk) of chunks to remove: equal to an earlier one byte by byte."""
+    spark = docs.sparkSession
+    schema = "doc_id bigint, text_hash bigint, chunk int, key bigint"
+    place = F.struct(*_ID, "chunk")
+    keys = docs.mapInArrow(_chunk_rows(), schema).groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    repeated = stored(keys.filter("first != last").select("key", "first"), "line-keys")
+    wanted = spark.sparkContext.broadcast(key_filter(repeated, "key"))
+    again = docs.mapInArrow(_chunk_rows(wanted), schema + ", body binary")
+    again = stored(again.join(repeated, "key").withColumn("is_first", place == F.col("first")).drop("first"), "line-bodies")
+    kept = again.filter("is_first").groupBy("key").agg(F.first("body").alias("kept"))
+    later = again.filter("not is_first").join(kept, "key").filter("body = kept")
+    return later.select(*_ID, "chunk")
+
+
+def _without(schema_names: list[str]):
+    """Take the chunks listed in ``gone`` out of the text."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, total, removed = [], [], []
+            for raw, gone in zip(column(batch, "__raw"), column(batch, "__gone")):
+                text, drop = raw.as_py(), gone.as_py()
+                lines = None if text is None else text.split(b"\n")
+                total.append(0 if lines is None else sum(1 for x in lines if x.strip()))
+                if not drop:
+                    texts.append(text)
+                    removed.append(0)
+                    continue
+                drop, out, at, lost = set(drop), [], 0, 0
+                for number, (first, end, n) in enumerate(chunks(text)):
+                    out += lines[at:first]
+                    at = end
+                    if number in drop:
+                        lost += n
+                    else:
+                        out += lines[first:end]
+                texts.append(b"\n".join(out + lines[at:]))
+                removed.append(lost)
+            cols = {"__n": pa.array(total, pa.int64()), "__removed": pa.array(removed, pa.int64()), "text": pa.array(texts, pa.binary()).cast(pa.string())}
+            yield pa.RecordBatch.from_arrays([cols[c] if c in cols else column(batch, c) for c in schema_names], schema_names)
+
+    return read
+
+
+def dedup_lines(docs: DataFrame, lines: str = "n_lines", removed: str = "n_removed_lines") -> DataFrame:
+    """``docs`` with repeated chunks taken out of ``text``, and two more columns: lines with a word, and those removed."""
+    identity = [F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")]
+    gone = repeated_chunks(docs.select(*identity, utf8().alias("text")))
+    gone = gone.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.collect_set("chunk").alias("__gone"))
+    rows = docs.withColumn("__text_hash", identity[1]).withColumn("__raw", F.col("text").cast("binary"))
+    joined = rows.drop("text").join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left")
+    joined = joined.drop("__id", "__hash", "__text_hash")
+    out = StructType([*docs.schema.fields, StructField("__n", LongType()), StructField("__removed", LongType())])
+    done = joined.mapInArrow(_without(out.fieldNames()), out)
+    return done.withColumnsRenamed({"__n": lines, "__removed": removed})

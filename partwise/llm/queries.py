@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from partwise.llm import licenses, line_rules, packing, simhash, token_counts, token_store
+from partwise.llm import licenses, line_chunks, line_rules, packing, simhash, token_counts, token_store
 from partwise.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -27,6 +28,16 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, those removed as repeated chunks, and a digest of the text left."""
+    done = line_chunks.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    left = F.coalesce("text", F.lit(""))
+    return done.select(
+        "doc_id", "n_lines", "n_removed_lines", F.char_length(left).cast("bigint").alias("n_chars"), F.crc32(left.cast("binary")).alias("text_crc32"),
+        (F.col("n_lines") == F.col("n_removed_lines")).alias("nothing_left"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return line_rules.judge(table(spark, sf_dir, "documents"))
@@ -42,5 +53,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=2, capacity=4096)
 
 
-QUERIES = {"op1_token_store": op1_token_store, "op2_token_counts": op2_token_counts, "op3_simhash": op3_simhash, "op7_quality_rules": op7_quality_rules, "op9_license_scan": op9_license_scan, "op10_packing": op10_packing}
+QUERIES = {"op1_token_store": op1_token_store, "op2_token_counts": op2_token_counts, "op3_simhash": op3_simhash, "op5_line_dedup": op5_line_dedup, "op7_quality_rules": op7_quality_rules, "op9_license_scan": op9_license_scan, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {"op7_quality_rules": line_rules.oracle_sql(), "op9_license_scan": licenses.oracle_sql()}

@@ -1,0 +1,77 @@
+"""Line dedup against a brute-force pass over documents in order."""
+
+from __future__ import annotations
+
+import random
+
+from partwise.llm import line_chunks
+
+
+def brute(rows):
+    """Texts after removal: rows in (doc_id, hash order irrelevant here) order, chunks by their bytes."""
+    seen, out = {}, {}
+    for doc_id, text in sorted(rows, key=lambda r: r[0]):
+        if text is None:
+            out[doc_id] = (None, 0)
+            continue
+        raw = text.encode()
+        lines, keep, at, lost = raw.split(b"\n"), [], 0, 0
+        for first, end, n in line_chunks.chunks(raw):
+            body = b"\n".join(x for x in lines[first:end] if x.strip())
+            keep += lines[at:first]
+            at = end
+            if n > 1 and body in seen:
+                lost += n
+            else:
+                keep += lines[first:end]
+                seen[body] = True
+        out[doc_id] = (b"\n".join(keep + lines[at:]).decode(), lost)
+    return out
+
+
+def corpus():
+    rng = random.Random(11)
+    line = lambda: " ".join(rng.choice(["ab", "cd", "é", "fgh", "ij"]) for _ in range(6)) + str(rng.random())
+    passage = [line() for _ in range(14)]
+    rows = []
+    for i in range(60):
+        own = [line() for _ in range(rng.choice([1, 2, 5, 9]))]
+        if i % 3 == 0:
+            cut = rng.randrange(len(own) + 1)
+            own = own[:cut] + passage + own[cut:]
+        if i % 5 == 0:
+            own.insert(1, "")
+        rows.append((i, "\n".join(own)))
+    rows += [(100, rows[3][1]), (101, rows[4][1]), (102, None), (103, ""), (104, "\n\n"), (105, "one line"), (106, "one line"), (107, "same\n" * 300), (108, "same\n" * 300)]
+    return rows, passage
+
+
+def test_removal(spark):
+    rows, passage = corpus()
+    docs = spark.createDataFrame([(d, t, "x", d, [1]) for d, t in rows], "doc_id bigint, text string, key string, n_lines int, gone array<int>")
+    got = {r.doc_id: r for r in line_chunks.dedup_lines(docs, "all_lines", "removed").collect()}
+    want = brute(rows)
+    assert {d: (r.text, r.removed) for d, r in got.items()} == want
+    assert got[0].key == "x" and got[7].n_lines == 7
+    assert got[100].text.strip() == "" and got[106].text == "one line" and got[108].text.strip() == ""
+    holders = [d for d in range(0, 60, 3)]
+    assert sum(passage[7] in (got[d].text or "") for d in holders) == 1
+
+
+def test_chunk_shape():
+    rows, _ = corpus()
+    for _, text in rows:
+        found = line_chunks.chunks((text or "").encode())
+        words = sum(1 for x in (text or "").split("\n") if x.strip())
+        assert sum(n for *_, n in found) == words and all(1 < n <= line_chunks.MAX_LINES + 2 or words < 2 for *_, n in found)
+
+
+def test_identical_rows(spark):
+    text = "a1\nb2\nc3\nd4"
+    docs = spark.createDataFrame([(1, text), (1, text), (2, text), (None, text), (None, "z\ny")], "doc_id bigint, text string")
+    got = sorted((r.doc_id or 0, r.n_removed_lines) for r in line_chunks.dedup_lines(docs).collect())
+    assert got == [(0, 0), (0, 0), (1, 4), (1, 4), (2, 4)]
+
+
+def test_empty(spark):
+    assert line_chunks.dedup_lines(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0

@@ -38,14 +38,14 @@ def test_base(spark):
 
 
 def test_shared_lines(spark):
-    body = lambda i: " ".join(f"d{i}w{k}" for k in range(70))
+    body = lambda i: " ".join(f"d{i}w{k}" for k in range(200))
     boiler = "\n".join(" ".join(f"shared{j}x{k}" for k in range(12)) for j in range(6))
     rows = [(i, f"{body(i)}\n{boiler if i < 40 else ''}", "a") for i in range(300)]
     rows += [(1000 + i, f"few own words {i}\n{boiler.upper()}", "a") for i in range(5)]  # depleted, in another case
     rows += [(2000 + i, body(5000), "a") for i in range(60)]  # copies of one text are one document
     rows += [(3000, f"few own words\n{boiler}", "b")]  # not frequent in this host
     got = {r.doc_id: r for r in line_rules.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
-    assert all(got[i].kept and got[i].words_left == 70 for i in range(300))
+    assert all(got[i].kept and got[i].words_left == 200 for i in range(300))
     assert not any(got[1000 + i].kept or got[1000 + i].base_failed for i in range(5))
     assert all(got[2000 + i].kept for i in range(60)) and got[3000].kept
 
