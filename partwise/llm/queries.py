@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import licenses, line_chunks, line_rules, packing, simhash, token_counts, token_store
+from partwise.llm import decontaminate, licenses, line_chunks, line_rules, packing, simhash, token_counts, token_store
 from partwise.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -28,6 +28,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test items held by documents: where, how long, how many words equal. Documents without a leak have no row."""
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start_word", "n_words", "n_matched")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, those removed as repeated chunks, and a digest of the text left."""
     done = line_chunks.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -53,5 +59,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=2, capacity=4096)
 
 
-QUERIES = {"op1_token_store": op1_token_store, "op2_token_counts": op2_token_counts, "op3_simhash": op3_simhash, "op5_line_dedup": op5_line_dedup, "op7_quality_rules": op7_quality_rules, "op9_license_scan": op9_license_scan, "op10_packing": op10_packing}
+QUERIES = {"op1_token_store": op1_token_store, "op2_token_counts": op2_token_counts, "op3_simhash": op3_simhash, "op4_decontaminate": op4_decontaminate, "op5_line_dedup": op5_line_dedup, "op7_quality_rules": op7_quality_rules, "op9_license_scan": op9_license_scan, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {"op7_quality_rules": line_rules.oracle_sql(), "op9_license_scan": licenses.oracle_sql()}
