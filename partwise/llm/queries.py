@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import decontaminate, licenses, line_chunks, line_rules, packing, simhash, token_counts, token_store
+from partwise.llm import decontaminate, licenses, line_chunks, line_rules, packing, quality, simhash, token_counts, token_store
 from partwise.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -49,6 +49,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base phrases and license notices in every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
@@ -59,5 +64,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=2, capacity=4096)
 
 
-QUERIES = {"op1_token_store": op1_token_store, "op2_token_counts": op2_token_counts, "op3_simhash": op3_simhash, "op4_decontaminate": op4_decontaminate, "op5_line_dedup": op5_line_dedup, "op7_quality_rules": op7_quality_rules, "op9_license_scan": op9_license_scan, "op10_packing": op10_packing}
+QUERIES = {"op1_token_store": op1_token_store, "op2_token_counts": op2_token_counts, "op3_simhash": op3_simhash, "op4_decontaminate": op4_decontaminate, "op5_line_dedup": op5_line_dedup, "op7_quality_rules": op7_quality_rules, "op8_quality_classifier": op8_quality_classifier, "op9_license_scan": op9_license_scan, "op10_packing": op10_packing}
 ORACLE_SQL: dict[str, str] = {"op7_quality_rules": line_rules.oracle_sql(), "op9_license_scan": licenses.oracle_sql()}
