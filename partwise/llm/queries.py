@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import decontaminate, licenses, line_chunks, line_rules, packing, quality, simhash, token_counts, token_store
+from partwise.llm import decontaminate, html_blocks, licenses, line_chunks, line_rules, packing, quality, simhash, token_counts, token_store
 from partwise.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -44,6 +44,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return line_rules.judge(table(spark, sf_dir, "documents"))
@@ -64,5 +69,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=2, capacity=4096)
 
 
-QUERIES = {"op1_token_store": op1_token_store, "op2_token_counts": op2_token_counts, "op3_simhash": op3_simhash, "op4_decontaminate": op4_decontaminate, "op5_line_dedup": op5_line_dedup, "op7_quality_rules": op7_quality_rules, "op8_quality_classifier": op8_quality_classifier, "op9_license_scan": op9_license_scan, "op10_packing": op10_packing}
+QUERIES = {
+    "op1_token_store": op1_token_store,
+    "op2_token_counts": op2_token_counts,
+    "op3_simhash": op3_simhash,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_html_text": op6_html_text,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_license_scan": op9_license_scan,
+    "op10_packing": op10_packing,
+}
 ORACLE_SQL: dict[str, str] = {"op7_quality_rules": line_rules.oracle_sql(), "op9_license_scan": licenses.oracle_sql()}

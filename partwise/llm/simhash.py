@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from partwise.llm.common import LOWER, column, stored, utf8
 from partwise.llm.components import components
+from partwise.operators.joins import broadcast_if_small
 
 SEED = 42
 #: Distinct fingerprints of one anchor that a task compares at once.
@@ -73,14 +74,18 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``; fp is the fingerprint as a signed long."""
+    """(doc_id, text_hash, fp): one row per row of ``docs``; fp is the fingerprint as a signed long."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), shingle) for t in column(batch, "text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(found)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "text_hash"), pa.array(found)], ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8().alias("text")).mapInArrow(read, "doc_id bigint, fp bigint")
+    return docs.select(*_keyed(), utf8().alias("text")).mapInArrow(read, "doc_id bigint, text_hash bigint, fp bigint")
+
+
+def _keyed() -> list:
+    return [F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")]
 
 
 @cache
@@ -318,13 +323,34 @@ def links(distinct: DataFrame, distance: int = 3, crowd: int = CROWD) -> DataFra
     return found.distinct()
 
 
+def _groups(docs: DataFrame, shingle: int, distance: int, crowd: int) -> DataFrame:
+    """(doc_id, text_hash, fp, root): root is the same for all rows of a group."""
+    fps = stored(fingerprints(docs, shingle), "simhash-fp")
+    distinct = fps.select("fp").distinct()
+    linked = components(links(distinct, distance, crowd).select(F.col("a").alias("hi"), F.col("b").alias("lo")))
+    return fps.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, crowd: int = CROWD) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs``."""
-    fps = stored(fingerprints(docs, shingle), "simhash-fp")
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = components(links(distinct, distance, crowd).select(F.col("a").alias("hi"), F.col("b").alias("lo"))).withColumnRenamed("node", "fp")
-    rooted = distinct.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = rooted.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    shown = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return fps.join(of_fp, "fp").select("doc_id", shown.alias("fingerprint"), "component_id")
+    rows = _groups(docs, shingle, distance, crowd)
+    ids = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(ids, "root").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3, crowd: int = CROWD) -> DataFrame:
+    """The row of smallest doc_id of each group (of equal ids the one of smallest text hash); columns as they are."""
+    rows = stored(_groups(docs, shingle, distance, crowd).groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")), "simhash-groups")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = rows.groupBy("root").agg(F.min(place).alias("best"))
+    lost = rows.join(best, "root").filter(place != F.col("best"))
+    doc_id, text_hash = _keyed()
+    keyed = docs.withColumns({"__id": doc_id, "__hash": text_hash})
+    same = lambda found: F.col("__id").eqNullSafe(found["doc_id"]) & (F.col("__hash") == found["text_hash"])
+    lost = stored(lost.select("doc_id", "text_hash"), "simhash-lost")
+    kept = keyed.join(broadcast_if_small(lost), same(lost), "left_anti")
+    twice = rows.filter("n > 1").select("doc_id", "text_hash")
+    if not twice.isEmpty():  # rows equal in id and text: one of them
+        single = kept.join(twice, same(twice), "left_anti")
+        kept = single.unionByName(kept.join(twice, same(twice), "left_semi").dropDuplicates(["__id", "__hash"]))
+    return kept.drop("__id", "__hash")
