@@ -1,13 +1,10 @@
-"""Join helpers: size-checked broadcast and skew-safe key checks."""
+"""Join helpers: size-checked broadcast and skew-safe key counts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
-
-
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (file bytes scaled by the projection)."""
     try:
@@ -18,12 +15,8 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        value = int(str(conf).rstrip("bB"))
-    except ValueError:
-        value = DEFAULT_BROADCAST_LIMIT
-    return value if value > 0 else 0
+    """The session's broadcast threshold in bytes, in whatever unit it was set; 0 if it is off."""
+    return max(0, int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -47,17 +40,6 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child keys (with their row counts) that have no parent row.
-
-    Both sides are reduced to distinct keys before the anti join, so a key
-    holding a third of all child rows ships one row per map task.
-    """
-    counts = key_counts(child, child_key)
-    parents = parent.select(F.col(parent_key).alias(child_key)).distinct()
-    return counts.join(parents, child_key, "left_anti")
-
-
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """By-name union of many frames as a balanced tree.
 

@@ -21,6 +21,9 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Per-part name sets are small; keep them in the hash map of a task instead
+    # of sorting its rows once it holds 128 parts.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "200000",
     # Nanosecond timestamps written by pandas arrive as epoch-nanos longs and
     # are converted in the typed Bronze projection.
     "spark.sql.legacy.parquet.nanosAsLong": "true",
@@ -59,17 +62,18 @@ def shared_base(spark: SparkSession) -> str:
     """The cluster's shared checkpoint directory (``spark.checkpoint.dir``).
 
     It is visible to every executor, so written tables and checkpoints there
-    survive the loss of an executor. Only when the session has none (local
-    tests) is one created and set.
+    survive the loss of an executor. A session without one is an error, except
+    on a local master (tests), where all tasks share this machine's disk.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext._jsc.sc()
+    if not base and context.getCheckpointDir().isDefined():
+        base = context.getCheckpointDir().get()
     if not base:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = jdir.get() if jdir.isDefined() else None
-    if not base:
+        if not context.isLocal():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="partwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+    if context.getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 

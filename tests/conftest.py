@@ -22,8 +22,6 @@ def spark():
         app_name="partwise-tests",
         extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="partwise-test-warehouse-")},
     )
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="partwise-test-ckpt-"))
     yield session
     session.stop()
 
