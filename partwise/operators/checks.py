@@ -11,11 +11,10 @@ Five kinds, each counting what its test query returns:
 * ``measurement_between``: rows that are NULL, below min or above max (both
   ends valid).
 
-Execution: all not_null and range checks of one table run as one aggregate
-pass; ``accepted_values`` filters bad values and groups them (partial
-aggregate); ``unique`` is a partially aggregated key count; ``relationships``
-reduces both sides to distinct keys before an anti join. No check moves a group of rows
-into one task, so a key holding a third of a table costs one row per map task.
+Execution: the not_null, range and accepted_values checks of one table are one
+pass; ``unique`` and ``relationships`` of all tables are read from one frame of
+key counts. Both aggregate before they shuffle: a key holding a third of a
+table costs one row per map task.
 """
 
 from __future__ import annotations
@@ -23,8 +22,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from partwise.operators.joins import key_counts, orphans, union_all
+from partwise.operators.joins import key_counts, union_all
 
 NOT_NULL = "not_null"
 UNIQUE = "unique"
@@ -206,32 +206,62 @@ def _explode_results(df: DataFrame, cells: list[str]) -> DataFrame:
     return df.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
-def _row_level(table: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame:
-    """All not_null and range checks of one table in a single aggregate pass."""
-    aggs = [f"count_if({violation(check)}) as r{pos}" for pos, check in numbered]
-    cells = [_result(pos, check, f"r{pos}", f"r{pos}") for pos, check in numbered]
-    return _explode_results(table.selectExpr(*aggs), cells)
-
-
-def _accepted(table: DataFrame, pos: int, check: Check) -> DataFrame:
-    """Distinct bad values and their rows: filter, then a partial group-by on
-    the value. A distinct count inside the table's main aggregate would make
-    Spark expand every row of the table."""
-    bad = table.filter(violation(check)).groupBy(check.column).count()
-    totals = bad.selectExpr("count(1) as k", "coalesce(sum(`count`), 0) as n")
-    return _explode_results(totals, [_result(pos, check, "k", "n")])
+def _table_pass(table: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame:
+    """All row-level checks of one table in a single pass.
 
+    Rows are counted by their bad values of the accepted_values columns (NULL
+    for good ones), so the second, tiny aggregate has the distinct bad values
+    as well; a distinct count over the rows would make Spark expand them all.
+    """
+    accepted = [(pos, check) for pos, check in numbered if check.kind == ACCEPTED]
+    counted = [(pos, check) for pos, check in numbered if check.kind != ACCEPTED]
+    bad = [f"case when {violation(check)} then {_q(check.column)} end as v{pos}" for pos, check in accepted]
+    flags = [f"cast({violation(check)} as int) as f{pos}" for pos, check in counted]
+    groups = table.selectExpr(*bad, *flags, "1 as one").groupBy(*[f"v{pos}" for pos, _ in accepted]).agg(
+        F.count("one").alias("n"), *[F.sum(f"f{pos}").alias(f"r{pos}") for pos, _ in counted]
+    )
+    totals = groups.selectExpr(
+        *[f"coalesce(sum(r{pos}), 0) as r{pos}" for pos, _ in counted],
+        *[f"count(distinct v{pos}) as k{pos}" for pos, _ in accepted],
+        *[f"coalesce(sum(n) filter (where v{pos} is not null), 0) as n{pos}" for pos, _ in accepted],
+    )
+    cells = [_result(pos, check, f"r{pos}", f"r{pos}") for pos, check in counted]
+    cells += [_result(pos, check, f"k{pos}", f"n{pos}") for pos, check in accepted]
+    return _explode_results(totals, cells)
 
-def _unique(table: DataFrame, pos: int, check: Check) -> DataFrame:
-    dupes = key_counts(table, check.column).filter("n > 1")
-    totals = dupes.selectExpr("count(1) as k", "coalesce(sum(n), 0) as n")
-    return _explode_results(totals, [_result(pos, check, "k", "n")])
 
+def _key_pass(tables: dict[str, DataFrame], numbered: list[tuple[int, Check]]) -> DataFrame:
+    """All unique and relationship checks from one frame of keys.
 
-def _relationship(child: DataFrame, parent: DataFrame, pos: int, check: Check) -> DataFrame:
-    missing = orphans(child, check.column, parent, check.to_field)
-    totals = missing.selectExpr("coalesce(sum(n), 0) as n")
-    return _explode_results(totals, [_result(pos, check, "n", "n")])
+    Every table gives (domain, key, tag, n): its rows by key, counted before the
+    shuffle. Per key the counts of all tables stand side by side, and each check
+    is a sum over keys. A key column and what it refers to share a domain.
+    """
+    tags: dict[tuple[str, str], int] = {}
+    domain = {}
+    for _, check in numbered:
+        own = (check.model, check.column)
+        tags.setdefault(own, len(tags))
+        domain[own] = domain.get(own, check.column)
+        if check.kind == RELATIONSHIPS:
+            other = (check.to_model, check.to_field)
+            tags.setdefault(other, len(tags))
+            domain[own] = domain[other] = domain.get(other, check.to_field)
+    counts = [
+        key_counts(tables[model], column).select(F.lit(domain[model, column]).alias("domain"), F.col(column).cast("string").alias("key"), F.lit(tag).alias("tag"), "n")
+        for (model, column), tag in tags.items()
+    ]
+    by_key = union_all(counts).groupBy("domain", "key").agg(*[F.expr(f"sum(n) filter (where tag = {tag})").alias(f"n{tag}") for tag in tags.values()])
+    sums, cells = [], []
+    for pos, check in numbered:
+        n = f"n{tags[check.model, check.column]}"
+        if check.kind == UNIQUE:
+            sums += [f"count_if({n} > 1) as k{pos}", f"coalesce(sum({n}) filter (where {n} > 1), 0) as s{pos}"]
+        else:
+            parent = f"n{tags[check.to_model, check.to_field]}"
+            sums += [f"coalesce(sum({n}) filter (where {parent} is null), 0) as k{pos}", f"coalesce(sum({n}) filter (where {parent} is null), 0) as s{pos}"]
+        cells.append(_result(pos, check, f"k{pos}", f"s{pos}"))
+    return _explode_results(by_key.selectExpr(*sums), cells)
 
 
 def run_checks(
@@ -243,18 +273,11 @@ def run_checks(
     check_id, failures, failing_rows, status ('pass' when failures = 0)."""
     numbered = [(i, c) for i, c in enumerate(checks, start=1) if kinds is None or c.kind in kinds]
     parts: list[DataFrame] = []
-    models = list(dict.fromkeys(c.model for _, c in numbered))
-    for model in models:
-        row_checks = [(i, c) for i, c in numbered if c.model == model and c.kind in ROW_KINDS]
-        if row_checks:
-            parts.append(_row_level(tables[model], row_checks))
-    for pos, check in numbered:
-        if check.kind == ACCEPTED:
-            parts.append(_accepted(tables[check.model], pos, check))
-        elif check.kind == UNIQUE:
-            parts.append(_unique(tables[check.model], pos, check))
-        elif check.kind == RELATIONSHIPS:
-            parts.append(_relationship(tables[check.model], tables[check.to_model], pos, check))
+    rows = [(i, c) for i, c in numbered if c.kind in (*ROW_KINDS, ACCEPTED)]
+    for model in dict.fromkeys(c.model for _, c in rows):
+        parts.append(_table_pass(tables[model], [(i, c) for i, c in rows if c.model == model]))
+    if keys := [(i, c) for i, c in numbered if c.kind in (UNIQUE, RELATIONSHIPS)]:
+        parts.append(_key_pass(tables, keys))
     if not parts:
         spark = next(iter(tables.values())).sparkSession
         return spark.createDataFrame([], RESULT_SCHEMA)

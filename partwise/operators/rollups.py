@@ -51,26 +51,18 @@ def _verdict_rollup(
 ) -> DataFrame:
     failed = F.col("pass_fail") == F.lit(R.FAIL)
     keyed = rows.filter(F.col("part_id").isNotNull() & F.col(item).isNotNull())
-    # Counts and maxima: a codegen'd hash aggregate over every row.
-    counts = keyed.groupBy("part_id").agg(
-        F.min("production_date").alias("production_date"),
-        F.count(F.lit(1)).alias(count_name),
-        F.count_if(failed).alias(failed_name),
-        F.round(F.max(ratio), digits).alias(max_name),
-    )
-    # Failing names: only FAIL rows (a small share) reach the set aggregate,
-    # which Spark runs as a sort-based object aggregate once a task holds
-    # more than a few keys. Both sides are partitioned by part_id, so the
-    # join adds no shuffle.
-    names = keyed.filter(failed).groupBy("part_id").agg(Q.sorted_distinct_join(F.col(item)).alias(list_name))
-    return counts.join(names, "part_id", "left").select(
-        "part_id",
-        "production_date",
-        count_name,
-        failed_name,
-        (F.col(failed_name) > 0).alias(any_name),
-        max_name,
-        list_name,
+    # One pass: failing names are collected beside the counts. Sets stay empty
+    # for parts without a failure and hold one part's names otherwise.
+    return (
+        keyed.groupBy("part_id")
+        .agg(
+            F.min("production_date").alias("production_date"),
+            F.count(F.lit(1)).alias(count_name),
+            F.count_if(failed).alias(failed_name),
+            F.round(F.max(ratio), digits).alias(max_name),
+            Q.sorted_distinct_join(F.when(failed, F.col(item))).alias(list_name),
+        )
+        .select("part_id", "production_date", count_name, failed_name, (F.col(failed_name) > 0).alias(any_name), max_name, list_name)
     )
 
 

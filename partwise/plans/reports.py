@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partwise.functions import rules as R
-from partwise.operators.joins import broadcast_if_small, union_all
 
 
 # ---------------------------------------------------------------- filters
@@ -55,15 +54,8 @@ def date_bounds(gold: DataFrame) -> DataFrame:
 def filter_options(gold: DataFrame) -> DataFrame:
     """Distinct non-NULL machines and root causes, as (filter_name, option_value)."""
 
-    def options(column: str) -> DataFrame:
-        return (
-            gold.select(F.col(column).alias("option_value"))
-            .filter(F.col("option_value").isNotNull())
-            .distinct()
-            .select(F.lit(column).alias("filter_name"), "option_value")
-        )
-
-    return options("machine_id").unionByName(options("defect_root_cause")).orderBy("filter_name", "option_value")
+    both = ", ".join(f"named_struct('filter_name', '{c}', 'option_value', cast(`{c}` as string))" for c in ("machine_id", "defect_root_cause"))
+    return gold.selectExpr(f"inline(array({both}))").filter("option_value is not null").distinct().orderBy("filter_name", "option_value")
 
 
 # ---------------------------------------------------------------- metrics
@@ -106,26 +98,10 @@ def failing_dimensions(gold: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- correlation
-CORRELATION_PAIRS_PER_PASS = 10
-
-
 def correlation_pairs(columns=R.CORRELATION_COLUMNS) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
 
 
-def pearson_sql(a: str, b: str) -> str:
-    """Pearson r over rows where both are non-NULL; NULL for a constant side.
-
-    ``corr`` raises a division error under ANSI for a constant column; the
-    guarded ratio returns NULL instead (pandas returns NaN there).
-    """
-    a, b = f"`{a}`", f"`{b}`"
-    return (
-        f"covar_pop({a}, {b}) / nullif(stddev_pop(case when {b} is not null then {a} end)"
-        f" * stddev_pop(case when {a} is not null then {b} end), 0)"
-    )
-
-
 def signed_round(expr: str, digits: int) -> str:
     """``round`` that keeps the sign of a negative value rounding to zero.
 
@@ -138,32 +114,24 @@ def signed_round(expr: str, digits: int) -> str:
 def correlation_matrix(gold: DataFrame, columns=R.CORRELATION_COLUMNS, digits=R.CORRELATION_DIGITS) -> DataFrame:
     """Long-form Pearson matrix (row_variable, column_variable, correlation).
 
-    Global aggregates over a 10-column projection compute every pair with
-    pairwise NULL deletion; Spark merges per-partition moments, so each pass
-    is as parallel as the scan and one row per task reaches the final merge.
+    One pass over Gold: each row gives its (pair, x, y), and the moments of a
+    pair are a partial aggregate, so a task hands on one row per pair. Rows
+    count where both values are present (NULL and NaN are missing); the result
+    is NULL where a side is constant or no row counts.
     """
     types = dict(gold.dtypes)
 
     def as_double(c: str) -> str:
         inner = f"cast(`{c}` as int)" if types.get(c) == "boolean" else f"`{c}`"
-        return f"cast({inner} as double) as `{c}`"
+        return f"nanvl(cast({inner} as double), cast(null as double)) as `{c}`"
 
-    numeric = gold.selectExpr(*[as_double(c) for c in columns])
     pairs = correlation_pairs(columns)
-    parts = []
-    # A few pairs per aggregate: one operator with every moment of every pair
-    # compiles into oversized code and runs several times slower.
-    for start in range(0, len(pairs), CORRELATION_PAIRS_PER_PASS):
-        chunk = pairs[start : start + CORRELATION_PAIRS_PER_PASS]
-        raw = numeric.selectExpr(*[f"{pearson_sql(a, b)} as `r__{a}__{b}`" for a, b in chunk])
-        stats = raw.selectExpr(*[f"{signed_round(f'`r__{a}__{b}`', digits)} as `r__{a}__{b}`" for a, b in chunk])
-        cells = [
-            f"named_struct('row_variable', '{x}', 'column_variable', '{y}', 'correlation', `r__{a}__{b}`)"
-            for a, b in chunk
-            for x, y in sorted({(a, b), (b, a)})
-        ]
-        parts.append(stats.selectExpr(f"inline(array({', '.join(cells)}))"))
-    return union_all(parts)
+    cells = ", ".join(f"named_struct('a', '{a}', 'b', '{b}', 'x', `{a}`, 'y', `{b}`)" for a, b in pairs)
+    rows = gold.selectExpr(*[as_double(c) for c in columns]).selectExpr(f"inline(array({cells}))").filter("x is not null and y is not null")
+    r = rows.groupBy("a", "b").agg(F.expr("covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0)").alias("r"))
+    # All pairs, also those without a row: a table of len(columns) ** 2 rows.
+    names = gold.sparkSession.createDataFrame([(x, y, a, b) for a, b in pairs for x, y in sorted({(a, b), (b, a)})], "row_variable string, column_variable string, a string, b string")
+    return names.join(r, ["a", "b"], "left").selectExpr("row_variable", "column_variable", f"{signed_round('r', digits)} as correlation")
 
 
 # ---------------------------------------------------------------- part trace
@@ -174,6 +142,11 @@ def default_trace_part(gold: DataFrame) -> DataFrame:
     ).filter(F.col("part_id").isNotNull())
 
 
+def part_options(gold: DataFrame) -> DataFrame:
+    """Parts that a trace can be asked for, in order."""
+    return gold.select("part_id").orderBy(F.asc_nulls_last("part_id"))
+
+
 def part_trace(
     gold: DataFrame,
     bronze: dict[str, DataFrame],
@@ -193,8 +166,9 @@ def part_trace(
         part_id = row["part_id"] if row else None
     key = F.col("part_id") == F.lit(part_id)
     summary = gold.filter(key)
-    batch = summary.select("batch_id").distinct()
-    cert = bronze["supplier_material_certs"].join(broadcast_if_small(batch), "batch_id", "left_semi")
+    # Gold has one row per part; its batch key is fetched for a literal lookup.
+    row = summary.select("batch_id").first()
+    cert = bronze["supplier_material_certs"].filter(F.col("batch_id") == F.lit(row["batch_id"] if row else None))
     return {
         "summary": summary,
         "cmm": bronze["cmm_inspection"].filter(key).orderBy(F.asc_nulls_last("dimension_name")),
