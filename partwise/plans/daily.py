@@ -15,7 +15,7 @@ from partwise.sources.schemas import BRONZE_MODEL
 
 @dataclass
 class DailyRun:
-    manifest: DataFrame  # (source, production_date, rows, relative_path)
+    manifest: DataFrame  # (source, load_day, rows, relative_path)
     layers: Layers  # Silver and Gold read from their written tables
     checks: DataFrame  # one row per declared check
 
@@ -24,14 +24,15 @@ def run_daily(
     spark: SparkSession,
     frames: dict[str, DataFrame],
     root: str,
-    production_date: dt.date | str,
+    load_day: dt.date | str,
     model_dir: str | None = None,
     gate_keys: bool = True,
 ) -> DailyRun:
-    """Land ``frames`` as the Bronze day ``production_date`` (a rerun of the day
-    replaces it), stop on duplicate part or batch keys, rebuild Silver and Gold
-    over every landed day and run the 90 checks on the written tables."""
-    manifest = sinks.load_sources(spark, frames, root, production_date=production_date)
+    """Land ``frames`` as the load of ``load_day`` (a rerun of the day replaces
+    it), stop on duplicate part or batch keys, rebuild Silver and Gold over all
+    loads and run the 90 checks on the written tables. The rebuild reads every
+    load each day; its cost grows with the lake, not with the day."""
+    manifest = sinks.load_sources(spark, frames, root, load_day)
     typed = bronze.read_all(spark, root)
     if gate_keys:
         checks.assert_unique_keys({BRONZE_MODEL[s]: df for s, df in typed.items()})

@@ -150,7 +150,10 @@ def materialize(
         "mart_part_quality_summary",
         mart.part_quality_summary(
             mart.scored_parts(population, cmm_q, torque_q, certs, broadcast_limit)
-        ).sortWithinPartitions("production_date", "part_id"),
+        )
+        # Files hold ranges of days, so date filters skip files and row groups.
+        .repartitionByRange("production_date", "part_id")
+        .sortWithinPartitions("production_date", "part_id"),
     )
     stored = Layers(
         bronze=dict(typed),

@@ -123,7 +123,7 @@ def failing_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.failing_dimensions(_gold(spark, sf_dir))
 
 
-def _correlation_sql() -> str:
+def _correlation_sql(where: str = "true") -> str:
     cols = R.CORRELATION_COLUMNS
     casts = ", ".join(
         f"cast(cast({c} as integer) as double) as {c}" if c == "defect_flag" else f"cast({c} as double) as {c}"
@@ -135,6 +135,7 @@ def _correlation_sql() -> str:
             f"round(covar_pop({a}, {b}) / nullif(stddev_pop(case when {b} is not null then {a} end)"
             f" * stddev_pop(case when {a} is not null then {b} end), 0), {R.CORRELATION_DIGITS}) as r__{a}__{b}"
         )
+    source = f"(select * from {GOLD} where {where})"
     cells = []
     for a, b in reports.correlation_pairs(cols):
         for x, y in sorted({(a, b), (b, a)}):
@@ -142,7 +143,7 @@ def _correlation_sql() -> str:
                 f"select '{x}' as row_variable, '{y}' as column_variable, r__{a}__{b} as correlation from corr_stats"
             )
     extra = (
-        f"corr_input as (select {casts} from {GOLD}),\n"
+        f"corr_input as (select {casts} from {source}),\n"
         f"corr_stats as (select {', '.join(aggs)} from corr_input)"
     )
     return with_models("\nunion all\n".join(cells), extra)
@@ -153,6 +154,60 @@ def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.correlation_matrix(_gold(spark, sf_dir))
 
 
+# The dashboard filters first and reports on what is left.
+_FILTERED = f"production_date between date '{FILTER_START}' and date '{FILTER_END}' and machine_id = '{FILTER_MACHINE}'"
+
+
+def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.filter_summary(_gold(spark, sf_dir), FILTER_START, FILTER_END, FILTER_MACHINE)
+
+
+@register(
+    "filtered_headline_metrics",
+    with_models(
+        f"""select count(*) as total_parts, count(*) filter (where defect_flag) as defect_parts,
+    (count(*) filter (where defect_flag)) / count(*) as defect_rate, avg(composite_quality_score) as avg_quality_score
+from {GOLD} where {_FILTERED}"""
+    ),
+)
+def filtered_headline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.headline_metrics(_filtered(spark, sf_dir))
+
+
+@register(
+    "filtered_defect_trend",
+    with_models(
+        f"""select production_date, avg(cast(defect_flag as integer)) as defect_rate, count(*) as parts,
+    avg(cast(defect_flag as integer)) * 100e0 as defect_rate_pct
+from {GOLD} where {_FILTERED} group by production_date order by production_date"""
+    ),
+)
+def filtered_defect_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.daily_defect_trend(_filtered(spark, sf_dir))
+
+
+@register(
+    "filtered_failing_dimensions",
+    with_models(
+        f"""select item as dimension_name, count(*) as failing_parts
+from bad_item join {GOLD} using (part_id) where kind = 'dimension' and {_FILTERED}
+group by item order by failing_parts desc, item"""
+    ),
+)
+def filtered_failing_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.failing_dimensions(_filtered(spark, sf_dir))
+
+
+@register("filtered_correlation_matrix", _correlation_sql(_FILTERED))
+def filtered_correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.correlation_matrix(_filtered(spark, sf_dir))
+
+
+@register("part_options", with_models(f"select part_id from {GOLD} order by part_id"))
+def part_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.part_options(_gold(spark, sf_dir))
+
+
 _SELECTED = (
     f"(select coalesce(min(part_id) filter (where defect_flag), min(part_id)) from {GOLD})"
 )

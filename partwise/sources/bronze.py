@@ -1,32 +1,36 @@
-"""Bronze: typed relations over daily Parquet extracts.
-
-Two folder layouts are read:
-
-* ``daily``: ``<root>/bronze/<source>/<YYYY-MM-DD>/<file>.parquet`` (one extract
-  file per day, the date also inside the file);
-* ``hive``: ``<root>/bronze/<source>/production_date=<YYYY-MM-DD>/part-*.parquet``
-  as written by :mod:`partwise.sources.sinks` (date only in the path, so day
-  filters prune folders).
-
-Files may drift: columns appear, vanish or change type between days. Columns
-are matched by name, missing ones become NULL, extra ones are dropped, and
-every column is cast to the declared type. Spark can merge added and removed
-columns itself (``mergeSchema``); a type change (int64 in one file, double in
-another) it cannot, so then files are grouped by their physical schema, each
-group is read and typed on its own, and the typed groups are unioned. The
-number of groups is the number of schema versions, not of days.
+"""Bronze: typed relations over Parquet extracts.
+
+Two folder layouts are read, also side by side under one root:
+
+* ``<root>/bronze/<source>/load_day=<YYYY-MM-DD>/part-*.parquet`` as written by
+  :mod:`partwise.sources.sinks`. Known columns have their declared types, so the
+  files are read with the declared schema and no footer is looked at.
+* ``<root>/bronze/<source>/<YYYY-MM-DD>/<file>.parquet``, extracts of other
+  writers. These may drift: columns appear, vanish or change type between days.
+
+Columns are matched by name, missing ones become NULL, extra ones are dropped,
+and every column is cast to the declared type. Spark merges added and removed
+columns itself (``mergeSchema``, a distributed pass over the footers). A type
+change (int64 in one file, double in another) it cannot merge; then the files
+themselves are the rows of a scan and each task casts what it reads, so the
+driver holds no list of files or schemas.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from collections.abc import Iterator
+
+import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.errors.exceptions.base import PySparkException
-from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from partwise.sources.schemas import SOURCE_SCHEMAS, UPPERCASED
+from partwise.sources.schemas import SOURCE_SCHEMAS, UPPERCASED, ddl
 
+LOAD_DAY = "load_day"
+_DATED = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
 _TIMESTAMP_TYPES = ("timestamp_ntz", "timestamp")
 
 
@@ -44,17 +48,24 @@ def _typed_expr(name: str, kind: str, current: T.DataType | None, upper: bool) -
     return f"{expr} as `{name}`"
 
 
+def _projection(df: DataFrame, source: str, upper: tuple[str, ...]) -> list[str]:
+    current = {f.name: f.dataType for f in df.schema.fields}
+    return [_typed_expr(name, kind, current.get(name), name in upper) for name, kind in SOURCE_SCHEMAS[source]]
+
+
 def typed(df: DataFrame, source: str) -> DataFrame:
     """Project a raw extract onto the declared Bronze schema of ``source``.
 
     Columns match by name; missing ones become typed NULLs, extra ones are
     dropped. Built as one ``selectExpr`` so the plan is analysed once.
     """
-    upper = UPPERCASED.get(source, ())
-    current = {f.name: f.dataType for f in df.schema.fields}
-    return df.selectExpr(
-        *[_typed_expr(name, kind, current.get(name), name in upper) for name, kind in SOURCE_SCHEMAS[source]]
-    )
+    return df.selectExpr(*_projection(df, source, UPPERCASED.get(source, ())))
+
+
+def declared(df: DataFrame, source: str) -> DataFrame:
+    """A raw extract with its known columns in their declared types; extra columns and values stay as they are."""
+    known = {name for name, _ in SOURCE_SCHEMAS[source]}
+    return df.selectExpr(*_projection(df, source, ()), *[f"`{c}`" for c in df.columns if c not in known])
 
 
 def source_path(root: str, source: str) -> str:
@@ -70,92 +81,66 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
 
 
-def detect_layout(spark: SparkSession, root: str, source: str) -> str:
-    names = _children(spark, source_path(root, source))
-    return "hive" if any("=" in n for n in names) else "daily"
+_ARROW_TYPES = {"timestamp_ntz": pa.timestamp("us"), "date": pa.date32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}
 
 
-def _reader(spark: SparkSession, base: str, layout: str, merge: bool):
-    reader = spark.read.option("mergeSchema", str(merge).lower())
-    if layout == "hive":
-        reader = reader.option("basePath", base)
-    return reader
+def _cast(values: pa.ChunkedArray, kind: str) -> pa.ChunkedArray:
+    if pa.types.is_dictionary(values.type):
+        values = values.cast(values.type.value_type)
+    if kind == "date" and pa.types.is_string(values.type):
+        values = values.cast(pa.timestamp("us"))
+    return values.cast(_ARROW_TYPES[kind], safe=False)
 
 
-def _glob(base: str, layout: str) -> str:
-    return f"{base}/*/*.parquet" if layout == "daily" else base
+def _read_drifted(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """Every file read and cast on its own by the task that gets it; a file is held whole."""
+    schema = SOURCE_SCHEMAS[source]
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
 
-def _schema_groups(spark: SparkSession, files: list[str]) -> list[list[str]]:
-    """Group files by physical schema; footers are read on the executors."""
-    import pandas as pd
+        for batch in batches:
+            for content in batch.column(0):
+                table = pq.read_table(pa.BufferReader(content.as_buffer()))
+                columns = [_cast(table[name], kind) if name in table.column_names else pa.nulls(table.num_rows, _ARROW_TYPES[kind]) for name, kind in schema]
+                yield from pa.table(columns, [name for name, _ in schema]).to_batches()
 
-    def signatures(batches):
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("content")
+    return files.mapInArrow(read, ddl(source))
 
-        for pdf in batches:
-            sigs = []
-            for uri in pdf["path"]:
-                fs, rel = pafs.FileSystem.from_uri(uri)
-                schema = pq.read_schema(rel, filesystem=fs)
-                sigs.append(";".join(f"{f.name}:{f.type}" for f in schema))
-            yield pd.DataFrame({"path": pdf["path"], "signature": sigs})
-
-    paths = spark.createDataFrame([(f,) for f in files], "path string")
-    found = (
-        paths.repartition(max(1, min(len(files), spark.sparkContext.defaultParallelism)))
-        .mapInPandas(signatures, "path string, signature string")
-        .collect()
-    )
-    # (path, signature) pairs are file metadata: the listing that produced the
-    # paths already lives on the driver. Grouping them here keeps every task
-    # to its own files.
-    groups: dict[str, list[str]] = {}
-    for row in found:
-        groups.setdefault(row["signature"], []).append(row["path"])
-    return [sorted(groups[sig]) for sig in sorted(groups)]
-
-
-def read_raw(
-    spark: SparkSession, root: str, source: str, layout: str | None = None, merge_schema: bool = True
-) -> DataFrame:
-    """Raw by-name union of every day of ``source`` (no casts yet)."""
-    base = source_path(root, source)
-    layout = layout or detect_layout(spark, root, source)
-    return _reader(spark, base, layout, merge=merge_schema).parquet(_glob(base, layout))
-
-
-def read_bronze(
-    spark: SparkSession,
-    root: str,
-    source: str,
-    layout: str | None = None,
-    merge_schema: bool = True,
-) -> DataFrame:
-    """Typed Bronze relation of ``source`` over all days under ``root``.
-
-    ``merge_schema`` (default) reads every file footer in a distributed pass so
-    columns added or dropped on some days are matched by name. Pipelines whose
-    writers never drift can turn it off and read one footer instead.
-    """
-    base = source_path(root, source)
-    layout = layout or detect_layout(spark, root, source)
+
+def _read_dated(spark: SparkSession, path: str, source: str, merge_schema: bool) -> DataFrame:
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    if not merge_schema:
+        # The files' own types, one of them read; columns it lacks are asked for as well.
+        own = reader.parquet(path).schema
+        held = {f.name for f in own.fields}
+        more = [f for f in T.StructType.fromDDL(ddl(source)).fields if f.name not in held]
+        return typed(spark.read.schema(T.StructType([*own.fields, *more])).parquet(path), source)
     try:
-        return typed(read_raw(spark, root, source, layout, merge_schema), source)
+        return typed(reader.parquet(path), source)
     except (AnalysisException, PySparkException, Py4JJavaError) as exc:
         if "CANNOT_MERGE_SCHEMAS" not in str(exc):
             raise
-    files = _reader(spark, base, layout, merge=False).parquet(_glob(base, layout)).inputFiles()
-    parts = [
-        typed(_reader(spark, base, layout, merge=True).parquet(*group), source)
-        for group in _schema_groups(spark, sorted(files))
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    return typed(_read_drifted(spark, path, source), source)
+
+
+def read_bronze(spark: SparkSession, root: str, source: str, merge_schema: bool = True) -> DataFrame:
+    """Typed Bronze relation of ``source`` over all loads under ``root``, in either layout.
+
+    ``merge_schema`` concerns dated folders of other writers only: where those
+    never drift it can be turned off, and one footer is read instead of all.
+    """
+    base = source_path(root, source)
+    names = _children(spark, base)
+    out = None
+    if any(n.startswith(f"{LOAD_DAY}=") for n in names):
+        out = typed(spark.read.schema(ddl(source)).parquet(f"{base}/{LOAD_DAY}=*"), source)
+    if not names or any("=" not in n for n in names):
+        dated = _read_dated(spark, f"{base}/{_DATED}/*.parquet", source, merge_schema)
+        out = dated if out is None else out.unionByName(dated)
     return out
 
 
 def read_all(spark: SparkSession, root: str, merge_schema: bool = True) -> dict[str, DataFrame]:
-    return {source: read_bronze(spark, root, source, merge_schema=merge_schema) for source in SOURCE_SCHEMAS}
+    return {source: read_bronze(spark, root, source, merge_schema) for source in SOURCE_SCHEMAS}

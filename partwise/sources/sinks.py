@@ -1,15 +1,16 @@
-"""Landing daily extracts as Bronze Parquet, and the load manifest.
-
-Layout: ``<root>/bronze/<source>/production_date=<YYYY-MM-DD>/part-*.parquet``.
-Loading a day again replaces that day and leaves every other day alone (a
-rerun is idempotent): a single-day load overwrites the day's folder, a
-multi-day load uses dynamic partition overwrite.
-
-Extracts carry their production day except certificates, which land under the
-load day given by the caller. Rows are range-partitioned by (day, key) before
-the write: a day holding a third of all rows is split over several tasks and
-files instead of landing in one, and files come out sorted by key so point
-lookups skip row groups.
+"""Landing extracts as Bronze Parquet by load day, and the load manifest.
+
+Layout: ``<root>/bronze/<source>/load_day=<YYYY-MM-DD>/part-*.parquet``. The
+load day is where an extract lands, nothing else: every row keeps its own
+production_date inside the file, so late rows stay late rows and certificates
+keep their cert_date. A load replaces exactly its load day; loading the day
+again, or with an empty extract, leaves every other day alone.
+
+Known columns are cast to their declared types before the write (extra ones are
+kept as they come), so files of this layout have one schema for all time and
+are read without looking at footers. Rows are range-partitioned by key: files
+hold ranges of keys, point lookups skip files and row groups, and a day holding
+many rows is written by many tasks.
 """
 
 from __future__ import annotations
@@ -19,132 +20,52 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.operators.joins import broadcast_if_small
-from partwise.sources.bronze import source_path
+from partwise.operators.joins import union_all
+from partwise.sources.bronze import LOAD_DAY, declared, source_path
 from partwise.sources.schemas import SOURCES
 
-PARTITION_COLUMN = "production_date"
 SORT_KEY = {
     "process_parameters": "part_id",
     "cmm_inspection": "part_id",
     "torque_audit": "part_id",
     "supplier_material_certs": "batch_id",
 }
-MANIFEST_SCHEMA = "source string, production_date date, rows bigint, relative_path string"
+MANIFEST_SCHEMA = "source string, load_day date, rows bigint, relative_path string"
 
 
-def _with_day(frame: DataFrame, production_date: dt.date | str | None) -> DataFrame:
-    if production_date is not None:
-        return frame.withColumn(PARTITION_COLUMN, F.lit(str(production_date)).cast("date"))
-    if PARTITION_COLUMN not in frame.columns:
-        raise ValueError("an extract without production_date needs the load day")
-    return frame.withColumn(PARTITION_COLUMN, F.col(PARTITION_COLUMN).cast("date"))
+def _iso(day: dt.date | str) -> str:
+    return dt.date.fromisoformat(str(day)[:10]).isoformat()
 
 
-def write_bronze(
-    frame: DataFrame,
-    source: str,
-    root: str,
-    production_date: dt.date | str | None = None,
-) -> str:
-    """Write one source extract under ``root``; returns the source path.
-
-    With ``production_date`` the extract is that day's load: it replaces the
-    day's folder whole, so an empty extract empties the day. Without it the
-    rows land under their own days and only those days are replaced.
-    """
+def write_bronze(frame: DataFrame, source: str, root: str, load_day: dt.date | str) -> str:
+    """Write one extract as the load of ``load_day``, in place of what that day held; returns its folder."""
     if source not in SOURCES:
         raise ValueError(f"unknown source {source!r}")
-    out = source_path(root, source)
+    out = f"{source_path(root, source)}/{LOAD_DAY}={_iso(load_day)}"
     key = SORT_KEY[source]
-    if production_date is not None:
-        day = dt.date.fromisoformat(str(production_date)[:10]).isoformat()
-        (
-            frame.drop(PARTITION_COLUMN)
-            .sortWithinPartitions(key)
-            .write.mode("overwrite")
-            .parquet(f"{out}/{PARTITION_COLUMN}={day}")
-        )
-        return out
-    staged = _with_day(frame, None)
-    (
-        staged.repartitionByRange(PARTITION_COLUMN, key)
-        .sortWithinPartitions(PARTITION_COLUMN, key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COLUMN)
-        .parquet(out)
-    )
-    return out
-
-
-def manifest(spark: SparkSession, root: str, loaded: dict[str, DataFrame]) -> DataFrame:
-    """(source, production_date, rows, relative_path) for the days just loaded.
-
-    Counts come from the written files: the scan reads no columns (row counts
-    only), and a semi join on the loaded days (broadcast when its estimate is
-    small, as it is for any calendar range) prunes every other folder.
-    """
-    parts = []
-    for source, days in loaded.items():
-        written = spark.read.parquet(source_path(root, source))
-        day_keys = days.select(F.col(PARTITION_COLUMN).cast("date").alias(PARTITION_COLUMN)).distinct()
-        per_day = (
-            written.select(F.col(PARTITION_COLUMN).cast("date").alias(PARTITION_COLUMN))
-            .join(broadcast_if_small(day_keys), PARTITION_COLUMN, "left_semi")
-            .groupBy(PARTITION_COLUMN)
-            .agg(F.count(F.lit(1)).alias("rows"))
-        )
-        # A day whose extract was empty still gets its row, with 0 rows.
-        counted = day_keys.join(per_day, PARTITION_COLUMN, "left").select(
-            PARTITION_COLUMN, F.coalesce(F.col("rows"), F.lit(0).cast("long")).alias("rows")
-        )
-        parts.append(
-            counted.select(
-                F.lit(source).alias("source"),
-                F.col(PARTITION_COLUMN).cast("date").alias(PARTITION_COLUMN),
-                "rows",
-                F.concat(
-                    F.lit(f"bronze/{source}/{PARTITION_COLUMN}="),
-                    F.date_format(PARTITION_COLUMN, "yyyy-MM-dd"),
-                ).alias("relative_path"),
-            )
-        )
-    if not parts:
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    known = declared(frame, source)
+    known.repartitionByRange(F.col(key)).sortWithinPartitions(key).write.mode("overwrite").parquet(out)
     return out
 
 
-def load_sources(
-    spark: SparkSession,
-    frames: dict[str, DataFrame],
-    root: str,
-    production_date: dt.date | str | None = None,
-    cert_day: dt.date | str | None = None,
-) -> DataFrame:
-    """Land the given source extracts as Bronze and return the manifest.
+def manifest(spark: SparkSession, root: str, sources: list[str], load_day: dt.date | str) -> DataFrame:
+    """(source, load_day, rows, relative_path) of one load, counted from the files it wrote.
 
-    ``production_date`` pins every extract to one load day (the daily job);
-    without it each row lands under its own production day and certificates
-    under ``cert_day`` (default: the certificate's own ``cert_date``).
+    The scan opens that day's folders only and reads no column (row counts of
+    the footers). An empty extract has its row, with 0.
     """
-    loaded = {}
+    day = _iso(load_day)
+    counts = [
+        spark.read.schema("_ string").parquet(f"{source_path(root, source)}/{LOAD_DAY}={day}")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(source).alias("source"), F.lit(day).cast("date").alias("load_day"), "rows", F.lit(f"bronze/{source}/{LOAD_DAY}={day}").alias("relative_path"))
+        for source in sources
+    ]
+    return union_all(counts) if counts else spark.createDataFrame([], MANIFEST_SCHEMA)
+
+
+def load_sources(spark: SparkSession, frames: dict[str, DataFrame], root: str, load_day: dt.date | str) -> DataFrame:
+    """Land the given extracts as the load of ``load_day`` and return the manifest."""
     for source, frame in frames.items():
-        day = production_date
-        if day is None and PARTITION_COLUMN not in frame.columns:
-            if cert_day is None:
-                frame = frame.withColumn(PARTITION_COLUMN, F.col("cert_date"))
-            else:
-                day = cert_day
-        write_bronze(frame, source, root, day)
-        if day is not None:
-            loaded[source] = spark.createDataFrame([(str(day),)], "d string").select(
-                F.col("d").cast("date").alias(PARTITION_COLUMN)
-            )
-        else:
-            # The loaded days; bounded by the number of days, not rows.
-            loaded[source] = frame.select(F.col(PARTITION_COLUMN).cast("date").alias(PARTITION_COLUMN)).distinct()
-    return manifest(spark, root, loaded)
+        write_bronze(frame, source, root, load_day)
+    return manifest(spark, root, list(frames), load_day)

@@ -191,3 +191,16 @@ def test_signed_round_keeps_negative_zero(spark):
     got = [r[0] for r in spark.sql(f"select {expr} from values (-0.0004D), (0.0004D), (-0.0006D), (0.1235D) t(x)").collect()]
     assert [math.copysign(1.0, v) for v in got[:2]] == [-1.0, 1.0]
     assert got[0] == 0.0 and got[2] == -0.001 and got[3] == 0.124
+
+
+def test_correlation_treats_nan_as_missing(spark):
+    import math
+
+    import pandas as pd
+
+    rows = [(1.0, 2.0), (2.0, 4.1), (3.0, 5.9), (4.0, float("nan")), (5.0, 10.2), (6.0, 11.8), (7.0, 14.1), (None, 3.0)]
+    gold = spark.createDataFrame(rows, "a double, b double")
+    got = {(r.row_variable, r.column_variable): r.correlation for r in reports.correlation_matrix(gold, ("a", "b")).collect()}
+    want = pd.DataFrame(rows, columns=["a", "b"]).astype(float).corr().round(3)
+    assert all(math.isclose(got[x, y], want.loc[x, y]) for x in "ab" for y in "ab")
+    assert {r.correlation for r in reports.correlation_matrix(gold.limit(0), ("a", "b")).collect()} == {None}

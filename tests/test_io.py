@@ -68,30 +68,70 @@ def test_daily_layout_compatible_drift_uses_merged_read(spark, scratch):
     assert rows["P1"]["shift"] == "A" and rows["P2"]["shift"] is None
 
 
-def test_same_day_written_twice_replaces_only_that_day(spark, scratch):
-    def process(parts, day):
-        return spark.createDataFrame([process_row(p, day=day) for p in parts], RAW_DDL["process_parameters"])
-
-    sinks.load_sources(spark, {"process_parameters": process(["A1", "A2"], "2026-06-10")}, scratch)
-    sinks.load_sources(spark, {"process_parameters": process(["B1"], "2026-06-11")}, scratch)
-    manifest = sinks.load_sources(spark, {"process_parameters": process(["B2", "B3", "B4"], "2026-06-11")}, scratch)
-    m = manifest.collect()
-    assert [(r["source"], str(r["production_date"]), r["rows"]) for r in m] == [
-        ("process_parameters", "2026-06-11", 3)
+def _process(spark, parts, day="2026-06-10"):
+    return spark.createDataFrame([process_row(p, day=day) for p in parts], RAW_DDL["process_parameters"])
+
+
+def _certs(spark, batches):
+    return spark.createDataFrame([cert_row(b) for b in batches], RAW_DDL["supplier_material_certs"])
+
+
+def _parts(spark, root):
+    return sorted((r["part_id"], str(r["production_date"])) for r in B.read_bronze(spark, root, "process_parameters").collect())
+
+
+def test_rerun_replaces_exactly_its_load_day(spark, scratch):
+    sinks.load_sources(spark, {"process_parameters": _process(spark, ["A1", "A2"])}, scratch, "2026-06-10")
+    sinks.load_sources(spark, {"process_parameters": _process(spark, ["B1"], "2026-06-11")}, scratch, "2026-06-11")
+    manifest = sinks.load_sources(spark, {"process_parameters": _process(spark, ["B2", "B3"], "2026-06-11")}, scratch, "2026-06-11")
+    assert [tuple(r) for r in manifest.collect()] == [
+        ("process_parameters", dt.date(2026, 6, 11), 2, "bronze/process_parameters/load_day=2026-06-11")
     ]
-    assert m[0]["relative_path"] == "bronze/process_parameters/production_date=2026-06-11"
-    assert B.detect_layout(spark, scratch, "process_parameters") == "hive"
-    parts = sorted(r["part_id"] for r in B.read_bronze(spark, scratch, "process_parameters").collect())
-    assert parts == ["A1", "A2", "B2", "B3", "B4"]
+    assert [p for p, _ in _parts(spark, scratch)] == ["A1", "A2", "B2", "B3"]
+    empty = sinks.load_sources(spark, {"process_parameters": _process(spark, []), "supplier_material_certs": _certs(spark, [])}, scratch, "2026-06-11")
+    assert {r["source"]: r["rows"] for r in empty.collect()} == {"process_parameters": 0, "supplier_material_certs": 0}
+    assert [p for p, _ in _parts(spark, scratch)] == ["A1", "A2"]
+
+
+def test_late_rows_keep_their_day_and_wipe_nothing(spark, scratch):
+    sinks.load_sources(spark, {"process_parameters": _process(spark, ["A", "C"], "2026-06-10")}, scratch, "2026-06-10")
+    sinks.load_sources(spark, {"process_parameters": _process(spark, ["late"], "2026-06-10")}, scratch, "2026-06-11")
+    assert _parts(spark, scratch) == [("A", "2026-06-10"), ("C", "2026-06-10"), ("late", "2026-06-10")]
+
+
+def test_certificates_of_overlapping_dates_survive_the_next_load(spark, scratch):
+    sinks.load_sources(spark, {"supplier_material_certs": _certs(spark, ["B1", "B2"])}, scratch, "2026-06-10")
+    sinks.load_sources(spark, {"supplier_material_certs": _certs(spark, ["B3"])}, scratch, "2026-06-11")
+    got = B.read_bronze(spark, scratch, "supplier_material_certs")
+    assert sorted(r["batch_id"] for r in got.collect()) == ["B1", "B2", "B3"]
+    assert "load_day" not in got.columns
+
+
+def test_rows_without_a_day_are_written_and_counted(spark, scratch):
+    frame = spark.createDataFrame([process_row("A", day=None), process_row("B")], RAW_DDL["process_parameters"])
+    manifest = sinks.load_sources(spark, {"process_parameters": frame}, scratch, "2026-06-10")
+    assert manifest.collect()[0]["rows"] == 2
+    assert _parts(spark, scratch) == [("A", "None"), ("B", "2026-06-11")]
+
+
+def test_both_layouts_under_one_root(spark, scratch):
+    _write_day(scratch, "process_parameters", "2026-06-09", _process_frame("2026-06-09", ["P1"], [10500]))
+    sinks.load_sources(spark, {"process_parameters": _process(spark, ["P2"])}, scratch, "2026-06-10")
+    for merge in (True, False):
+        got = {r["part_id"]: r["spindle_speed"] for r in B.read_bronze(spark, scratch, "process_parameters", merge).collect()}
+        assert got == {"P1": 10500.0, "P2": 10500.0}
+
+
+def test_one_footer_read_still_asks_for_all_declared_columns(spark, scratch):
+    _write_day(scratch, "process_parameters", "2026-06-10", _process_frame("2026-06-10", ["P1"], [1.0]).drop(columns=["shift"]))
+    _write_day(scratch, "process_parameters", "2026-06-11", _process_frame("2026-06-11", ["P2"], [2.0]))
+    rows = {r["part_id"]: r["shift"] for r in B.read_bronze(spark, scratch, "process_parameters", merge_schema=False).collect()}
+    assert rows == {"P1": None, "P2": "A"}
 
 
-def test_certificates_land_under_the_load_day(spark, scratch):
-    certs = spark.createDataFrame([cert_row("B1"), cert_row("B2")], RAW_DDL["supplier_material_certs"])
-    manifest = sinks.load_sources(spark, {"supplier_material_certs": certs}, scratch, production_date="2026-06-11")
-    assert [(str(r["production_date"]), r["rows"]) for r in manifest.collect()] == [("2026-06-11", 2)]
-    typed = B.read_bronze(spark, scratch, "supplier_material_certs")
-    assert "production_date" not in typed.columns
-    assert typed.count() == 2
+def test_extra_columns_stay_in_the_files(spark, scratch):
+    sinks.write_bronze(_process(spark, ["P1"]).selectExpr("*", "'x' as note"), "process_parameters", scratch, "2026-06-10")
+    assert spark.read.parquet(f"{scratch}/bronze/process_parameters/load_day=2026-06-10").first()["note"] == "x"
 
 
 def test_load_and_rebuild_gold_from_files(spark, scratch):
@@ -103,7 +143,7 @@ def test_load_and_rebuild_gold_from_files(spark, scratch):
         "torque_audit": spark.createDataFrame([torque_row("P1"), torque_row("P2")], RAW_DDL["torque_audit"]),
         "supplier_material_certs": spark.createDataFrame([cert_row()], RAW_DDL["supplier_material_certs"]),
     }
-    sinks.load_sources(spark, frames, scratch, production_date="2026-06-11")
+    sinks.load_sources(spark, frames, scratch, "2026-06-11")
     gold = {r["part_id"]: r for r in from_bronze(spark, scratch).gold.collect()}
     assert gold["P1"]["defect_root_cause"] == "none"
     assert gold["P2"]["defect_root_cause"] == "dimension"

@@ -64,29 +64,74 @@ def test_hot_batch_is_split_when_certificates_are_not_broadcast(spark):
     assert "SortMergeJoin(skew=true)" in plan
 
 
-def test_relationship_check_aggregates_before_the_anti_join(spark):
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_key_checks_aggregate_before_their_shuffles(spark):
     child = _population(spark).select("batch_id")
     parent = _certs(spark).select("batch_id")
-    spec = (C.Check("c", "batch_id", C.RELATIONSHIPS, to_model="p", to_field="batch_id"),)
+    spec = (C.Check("c", "batch_id", C.RELATIONSHIPS, to_model="p", to_field="batch_id"), C.Check("p", "batch_id", C.UNIQUE))
     df = C.run_checks({"c": child, "p": parent}, spec)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    anti = plan.index("LeftAnti")
-    # Below the anti join, each side is a partial aggregate before its shuffle.
-    assert "partial_count" in plan[anti:]
-    assert df.collect()[0]["failures"] == 0
+    assert _plan(df).count("partial_count") >= 2 and "Join" not in _plan(df)
+    assert [r["failures"] for r in df.collect()] == [0, 0]
 
 
-def test_hot_day_is_written_by_several_tasks(spark, scratch):
+def test_large_load_is_written_by_several_tasks(spark, scratch):
     from conftest import RAW_DDL, process_row
 
-    rows = [process_row(f"P{i:05d}", day="2026-06-11") for i in range(3000)]
-    rows += [process_row(f"Q{i:05d}", day=f"2026-06-{(i % 9) + 1:02d}") for i in range(300)]
-    frame = spark.createDataFrame(rows, RAW_DDL["process_parameters"]).repartition(8)
+    frame = spark.createDataFrame([process_row(f"P{i:05d}") for i in range(3000)], RAW_DDL["process_parameters"]).repartition(8)
     with conf(spark, **{"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-        sinks.write_bronze(frame, "process_parameters", scratch)
-    hot = os.path.join(scratch, "bronze", "process_parameters", "production_date=2026-06-11")
-    files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
+        folder = sinks.write_bronze(frame, "process_parameters", scratch, "2026-06-11")
+    files = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))
     assert len(files) > 1
+    ranges = [spark.read.parquet(f"{folder}/{f}").selectExpr("min(part_id)", "max(part_id)").first() for f in files]
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_one_scan_and_one_exchange_per_rollup(spark):
+    from partwise.plans.layers import from_testdata
+
+    layers = from_testdata(spark, "/root/testdata/sf0.001")
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        rollup, gold = _plan(layers.cmm_quality), _plan(layers.gold)
+    assert rollup.count("FileScan") == 1 and rollup.count("Exchange hashpartitioning") == 1
+    assert gold.count("FileScan") == 4
+
+
+def test_reports_read_gold_once(spark):
+    from partwise.plans import reports
+    from partwise.plans.layers import from_testdata
+
+    gold = from_testdata(spark, "/root/testdata/sf0.001").gold
+    scans = _plan(gold).count("FileScan")
+    assert _plan(reports.correlation_matrix(gold)).count("FileScan") <= scans
+    assert _plan(reports.filter_options(gold)).count("FileScan") <= scans
+
+
+def test_broadcast_limit_knows_units(spark):
+    from partwise.operators.joins import broadcast_limit
+
+    df = spark.range(1)
+    for text, want in (("10MB", 10 << 20), ("1m", 1 << 20), ("512k", 512 << 10), ("-1", 0), ("4096", 4096)):
+        with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": text}):
+            assert broadcast_limit(df) == want
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from unittest import mock
+
+    import pytest
+
+    from partwise.session import shared_base
+
+    cluster = mock.MagicMock()
+    cluster.conf.get.return_value = None
+    context = cluster.sparkContext._jsc.sc.return_value
+    context.isLocal.return_value = False
+    context.getCheckpointDir.return_value.isDefined.return_value = False
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_base(cluster)
 
 
 def test_gold_over_bucketed_silver_needs_no_part_shuffle(spark, scratch):
