@@ -8,8 +8,10 @@ from partwise.functions import rules as R
 from partwise.operators import checks as C
 from partwise.operators import verdicts as V
 from partwise.plans.catalog import register
-from partwise.plans.layers import from_testdata
+from partwise.plans.layers import from_testdata, materialize, typed_sources
 from partwise.plans.oracle import with_models
+from partwise.session import shared_dir
+from partwise.sources.fixtures import raw_sources
 
 
 def _num(v: float) -> str:
@@ -80,7 +82,14 @@ _check_query("dq_unique", (C.UNIQUE,))
 _check_query("dq_accepted_values", (C.ACCEPTED,))
 _check_query("dq_relationships", (C.RELATIONSHIPS,))
 _check_query("dq_measurement_between", (C.BETWEEN,))
-_check_query("dq_suite", None)
+
+
+@register("dq_suite", checks_sql(None))
+def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks on written tables, as the daily job runs them: no Silver or Gold table is computed twice."""
+    typed = typed_sources(raw_sources(spark, sf_dir))
+    return C.run_checks(materialize(spark, typed, shared_dir(spark, "partwise-model")).tables())
+
 
 
 # ---------------------------------------------------------------- verdicts

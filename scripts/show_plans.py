@@ -48,9 +48,15 @@ def main() -> None:
         "part_quality_summary": layers.gold,
         "failing_dimensions": reports.failing_dimensions(layers.gold),
         "daily_defect_trend": reports.daily_defect_trend(layers.gold),
+        "correlation_matrix": reports.correlation_matrix(layers.gold),
+        "filter_options": reports.filter_options(layers.gold),
+        "dq_suite": C.run_checks(layers.tables()),
         "dq_relationships": C.run_checks(layers.tables(), kinds=(C.RELATIONSHIPS,)),
         "dq_unique": C.run_checks(layers.tables(), kinds=(C.UNIQUE,)),
     }
+    for name, df in shown.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        print(f"{name}: {plan.count('FileScan')} scans, {len(re.findall('Exchange (?:hash|range|Single)', plan))} exchanges, {plan.count('Join ')} joins")
     for name, df in shown.items():
         print(f"== {name} ({'scale: no broadcast' if scale else 'as planned'})")
         print(outline(df))
