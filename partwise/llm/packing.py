@@ -4,8 +4,9 @@ A piece of length n belongs to reciprocal class j = capacity // n: j of its kind
 fill a bin, and every bin of class j takes exactly j pieces, whichever they are.
 So workers fill bins class by class as the pieces pass, without knowing of one
 another. What a worker cannot fill up at its end (under one bin a class) goes to
-a second round, one class to a worker, and the last open bin of each class (at
-most ``open_bound`` pieces in all, whatever the input) to first-fit by length.
+a further round, where the open bins of FAN workers meet class by class, until one
+group is left; the last open bin of each class (at most ``open_bound`` pieces in
+all, whatever the input) goes to first-fit by length.
 
 Plain harmonic packing pads a bin of class j by up to 1 / (j + 1). Documents may
 be cut, so a piece that would leave more than WASTE of its slot free is cut at
@@ -31,12 +32,16 @@ from pyspark.sql import functions as F
 from partwise.llm.common import column, stored, utf8
 from partwise.llm.wordbpe import encoder
 
+#: Workers whose open bins meet in the next round.
+FAN = 64
 #: Share of its slot that a piece may leave free without being cut.
 WASTE = 1 / 64
 
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = f"{PIECE}, sequence_id bigint, offset bigint"
-_SCHEMA = pa.schema([(f.split()[0], pa.int64()) for f in PACKED.split(", ")])
+_ROUND = f"{PACKED}, worker bigint"
+_NAMES = [f.split()[0] for f in PIECE.split(", ")]
+_SCHEMA = pa.schema([(f.split()[0], pa.int64()) for f in _ROUND.split(", ")])
 
 
 def cuts(n: int, capacity: int) -> list[int]:
@@ -60,28 +65,28 @@ def open_bound(capacity: int) -> int:
 
 
 class _Bins:
-    """Open bins of one worker: one a class."""
+    """Open bins of one worker: one a class and group of workers before it."""
 
     def __init__(self, capacity: int, first_id: int):
         self.capacity, self.next_id, self.bins = capacity, first_id, {}
 
-    def add(self, piece: tuple) -> list[tuple]:
+    def add(self, piece: tuple, worker: int) -> list[tuple]:
         """The rows of the bin that the piece fills, if it does."""
         j = self.capacity // piece[2]
-        held = self.bins.setdefault(j, [])
+        held = self.bins.setdefault((worker, j), [])
         held.append(piece)
-        return self.close(self.bins.pop(j)) if len(held) == j else []
+        return self.close(self.bins.pop((worker, j)), worker) if len(held) == j else []
 
-    def close(self, held: list[tuple]) -> list[tuple]:
+    def close(self, held: list[tuple], worker: int) -> list[tuple]:
         at, rows = 0, []
         for piece in held:
-            rows.append((*piece, self.next_id, at))
+            rows.append((*piece, self.next_id, at, worker))
             at += piece[2]
         self.next_id += 1
         return rows
 
     def left(self) -> list[tuple]:
-        return [(*piece, None, None) for held in self.bins.values() for piece in held]
+        return [(*piece, None, None, worker) for (worker, _), held in self.bins.items() for piece in held]
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -98,32 +103,32 @@ def pieces_packed(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer).ids, np.array([end_id], "<u4").tobytes()
-        bins = _Bins(capacity, _first_id(0))
+        bins, worker = _Bins(capacity, _first_id(0)), TaskContext.get().partitionId()
         for batch in batches:
             out = []
             for doc_id, text in zip(column(batch, "doc_id").to_pylist(), column(batch, "text")):
                 ids = encode(text.as_py()) + end
                 n, start = len(ids) // 4, 0
                 for length in cuts(n, capacity):
-                    out += bins.add((doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n))
+                    out += bins.add((doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n), worker)
                     start += length
             yield _rows(out)
         yield _rows(bins.left())
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8().alias("text")).mapInArrow(fill, PACKED)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8().alias("text")).mapInArrow(fill, _ROUND)
 
 
-def _refilled(pieces: DataFrame, capacity: int) -> DataFrame:
-    """Second round: the pieces of a class meet in one worker, which fills bins as they pass."""
+def _refilled(pieces: DataFrame, capacity: int, round_: int) -> DataFrame:
+    """Next round: the pieces of a class left by FAN workers meet, and bins are filled as they pass."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins = _Bins(capacity, _first_id(1))
+        bins = _Bins(capacity, _first_id(round_))
         for batch in batches:
-            yield _rows([row for piece in zip(*(c.to_pylist() for c in batch.columns)) for row in bins.add(piece)])
+            yield _rows([row for *piece, worker in zip(*(c.to_pylist() for c in batch.columns)) for row in bins.add(tuple(piece), worker)])
         yield _rows(bins.left())
 
-    by_class = pieces.select(*[f.split()[0] for f in PIECE.split(", ")]).repartition(F.expr(f"{capacity} div length"))
-    return by_class.mapInArrow(fill, PACKED)
+    met = pieces.select(*_NAMES, F.expr(f"worker div {FAN}").alias("worker"))
+    return met.repartition(F.expr(f"{capacity} div length"), F.col("worker")).mapInArrow(fill, _ROUND)
 
 
 def _first_fit(pieces: DataFrame, capacity: int) -> DataFrame:
@@ -139,11 +144,11 @@ def _first_fit(pieces: DataFrame, capacity: int) -> DataFrame:
             else:
                 at = len(room)
                 room = np.append(room, capacity)
-            out.append((*piece, (2 << 60) | at, capacity - int(room[at])))
+            out.append((*piece, (7 << 60) | at, capacity - int(room[at]), 0))
             room[at] -= piece[2]
         yield _rows(out)
 
-    return pieces.select(*[f.split()[0] for f in PIECE.split(", ")]).coalesce(1).mapInArrow(fill, PACKED)
+    return pieces.select(*_NAMES).coalesce(1).mapInArrow(fill, _ROUND)
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096) -> DataFrame:
@@ -151,7 +156,11 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096)
 
     Pieces of a document cover its ids once each; offsets in a sequence are gapless.
     """
-    first = stored(pieces_packed(docs, tokenizer, end_id, capacity), "packing-first")
-    second = stored(_refilled(first.filter("sequence_id is null"), capacity), "packing-second")
-    last = _first_fit(second.filter("sequence_id is null"), capacity)
-    return first.filter("sequence_id is not null").unionByName(second.filter("sequence_id is not null")).unionByName(last)
+    level = stored(pieces_packed(docs, tokenizer, end_id, capacity), "packing-round-0")
+    out, workers, round_ = level.filter("sequence_id is not null"), level.agg(F.max("worker")).first()[0] or 0, 0
+    while round_ == 0 or workers > 0:
+        round_, workers = round_ + 1, workers // FAN
+        level = stored(_refilled(level.filter("sequence_id is null"), capacity, round_), f"packing-round-{round_}")
+        out = out.unionByName(level.filter("sequence_id is not null"))
+    last = _first_fit(level.filter("sequence_id is null"), capacity)
+    return out.unionByName(last).drop("worker")

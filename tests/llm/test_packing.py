@@ -23,7 +23,9 @@ def test_cuts_cover(capacity):
         assert sum(got) == n and all(0 < x <= capacity for x in got)
 
 
-def test_pack(spark):
+@pytest.mark.parametrize("fan", [packing.FAN, 2])
+def test_pack(spark, monkeypatch, fan):
+    monkeypatch.setattr(packing, "FAN", fan)
     rng = random.Random(1)
     words = ["alpha", "beta,", "gamma", "Delta's", "x1", "émile"]
     rows = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([0, 1, 5, 40, 300, 900]))), i) for i in range(400)]
