@@ -33,7 +33,8 @@ from partwise.llm.common import column
 from partwise.llm.html_labels import PAGES
 
 # FIXED VALUES: HTML's element kinds, and words in class or id that tell what a container holds.
-HIDDEN = "head script style noscript template svg math iframe object select textarea button datalist canvas audio video title".split()
+RAW = "script style textarea title iframe".split()
+BOXES = "noscript template svg math object select button datalist canvas audio video".split()
 CONTAINERS = "article aside body details dialog div dl fieldset figure footer form header html main menu nav ol section table tbody td tr ul".split()
 BLOCKS = CONTAINERS + "address blockquote caption center dd dt figcaption h1 h2 h3 h4 h5 h6 hr label legend li option p pre summary th thead tfoot".split()
 HEADINGS = "h1 h2 h3 h4 h5 h6".split()
@@ -46,10 +47,12 @@ promoted promotion recommended register related replies reply respond reviews se
 widget widgets""".split()
 INSIDE_WORDS = "article body content entry main post story text".split()
 
+_ATTRIBUTES = r"""(?:[^<>"']|"[^"]*"|'[^']*')*+"""
+#: Comments; raw text, which runs to its end tag or the end of the page; boxes, which need their end tag; tags; broken tags.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|select|textarea|button|datalist|canvas|audio|video|title)\b"
-    r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9]*)(?P<rest>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|<[/!?a-z][^<>]*(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(RAW)})\b{_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<box>{'|'.join(BOXES)})\b{_ATTRIBUTES}(?<!/)>.*?</(?P=box)\s*>"
+    rf"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9]*)(?P<rest>{_ATTRIBUTES})>|<[/!?a-z][^<>]*(?:>|\Z)",
     re.I | re.S,
 )
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)

@@ -20,6 +20,8 @@ PAGES = {
     "head": ("<html><head><title>No</title><meta x></head><body class='with-sidebar'><article>Yes</article></body></html>", "Yes"),
     "comments": ("<article><p>A.</p></article><section id='comments'><article class='comment'><p>" + LONG + "</p></article></section>", "A."),
     "uppercase": ("<ARTICLE><P>Up</P></ARTICLE><FOOTER>down</FOOTER>", "Up"),
+    "boxes": ("<article><svg width=1/>A <svg><text>no</text></svg><button>no</button>b<button>c <select><option>no</option></select>d</article>", "A bc d"),
+    "raw": ("<article>x<textarea><p>no</textarea>y<script>never closed <p>no</p></article>", "xy"),
     "plain": (f"<div><a href=1>Home</a></div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><div><a href=2>Terms</a></div>", "\n".join([LONG] * 3)),
     "empty": ("", ""),
     "menu only": ("<nav><ul><li><a href=1>One</a></li></ul></nav>", ""),
