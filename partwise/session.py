@@ -31,9 +31,18 @@ SESSION_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators rely on to a live session."""
+    """Apply the runtime settings the operators rely on to a live session.
+
+    Python workers get the folder that the driver imported this package from on
+    their path; where it isn't installed or shipped (``--py-files``) but the
+    folder is there, as in local mode, their functions can then be loaded.
+    """
     for key, value in SESSION_SETTINGS.items():
         spark.conf.set(key, value)
+    env, home = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, home])
     return spark
 
 
