@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 
 from partwise.llm import decontaminate, line_chunks, packing, quality, simhash
 from partwise.llm.common import stored, table
+from partwise.session import configure
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    return quality.accepted(docs, table(spark, sf_dir, "labels"))
+    return quality.accepted(docs, table(configure(spark), sf_dir, "labels"))
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated chunks of lines; one of which nothing is left goes. n_chars is that of the new text."""
+    configure(spark)
     done = line_chunks.dedup_lines(docs, "__lines", "__removed").filter("__lines = 0 or __removed < __lines")
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.when(F.col("__removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
@@ -30,16 +32,18 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
+    configure(spark)
     return simhash.one_of_each(docs, shingle=3, distance=3)
 
 
 def without_tests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.without_leaks(docs, table(configure(spark), sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents in sequences of 4096."""
+    configure(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
 
 
