@@ -31,7 +31,9 @@ columns are ignored. A text is held whole in its task.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
+from itertools import combinations
+from operator import xor
 
 import numpy as np
 import pyarrow as pa
@@ -88,79 +90,62 @@ def _keyed() -> list:
     return [F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")]
 
 
-@cache
-def _golay() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Syndrome of 0..2**23-1 is linear; here per syndrome: the coset leader, the code words that at most
-    3 changes bring next (as XOR of messages), and the changes each needs (9: no entry)."""
-
-    def syndrome(x: int) -> int:
+def _bit_syndromes() -> list[int]:
+    """Remainder of each single bit by the generator; that of a word is their XOR."""
+    out = []
+    for i in range(23):
+        x = 1 << i
         for bit in range(22, 10, -1):
             if x >> bit & 1:
                 x ^= GOLAY << (bit - 11)
-        return x
-
-    weight3 = [0, *(1 << i for i in range(23))]
-    weight3 += [1 << i | 1 << j for i in range(23) for j in range(i)]
-    weight3 += [1 << i | 1 << j | 1 << k for i in range(23) for j in range(i) for k in range(j)]
-    leader = np.zeros(2048, np.int64)
-    of_bit = [syndrome(1 << i) for i in range(23)]
-    for e in weight3:
-        leader[syndrome(e)] = e
-    words, costs = [], []
-    for s in range(2048):
-        best = {0: 0}
-        for flips in weight3:
-            cost = bin(flips).count("1")
-            moved = s
-            for i in range(23):
-                if flips >> i & 1:
-                    moved ^= of_bit[i]
-            # Code word next to leader ^ flips, relative to the one next to leader.
-            message = (int(leader[s]) ^ flips ^ int(leader[moved])) >> 11
-            best[message] = min(cost, best.get(message, 9))
-        words.append(list(best))
-        costs.append(list(best.values()))
-    width = max(map(len, words))
-    pad = lambda rows, fill: np.array([r + [fill] * (width - len(r)) for r in rows])
-    return leader, pad(words, 0).astype(np.int64), pad(costs, 9).astype(np.int8)
+        out.append(x)
+    return out
+
+
+@cache
+def _leaders() -> np.ndarray:
+    """Per syndrome the only pattern of at most 3 bits that has it (the code is perfect)."""
+    one = _bit_syndromes()
+    out = np.zeros(2048, np.int64)
+    for n in range(4):
+        for bits in combinations(range(23), n):
+            out[reduce(xor, (one[b] for b in bits), 0)] = sum(1 << b for b in bits)
+    return out
 
 
 @cache
-def _reach(limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``_golay`` cut to the entries of at most ``limit`` changes."""
-    leader, words, costs = _golay()
-    order = np.argsort(costs, axis=1, kind="stable")
-    words, costs = np.take_along_axis(words, order, 1), np.take_along_axis(costs, order, 1)
-    width = int((costs <= limit).sum(axis=1).max())
-    return leader, words[:, :width], costs[:, :width]
+def _reach(limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per syndrome the code words that at most ``limit`` changed bits bring next, as XOR with the message of
+    the word now next, and the changes each needs (9 where a row has no more)."""
+    one, leader = _bit_syndromes(), _leaders()
+    flips = [bits for n in range(limit + 1) for bits in combinations(range(23), n)]
+    pattern = np.array([sum(1 << b for b in bits) for bits in flips])
+    moves = np.array([reduce(xor, (one[b] for b in bits), 0) for bits in flips])
+    cost = np.array([len(bits) for bits in flips])
+    here = np.arange(2048)[:, None]
+    message = (leader[here] ^ pattern ^ leader[here ^ moves]) >> 11
+    # Patterns are in order of their cost, so the first of equal messages is the cheapest.
+    found = [np.unique(row, return_index=True) for row in message]
+    width = max(len(m) for m, _ in found)
+    words, costs = np.zeros((2048, width), np.int64), np.full((2048, width), 9, np.int8)
+    for s, (m, at) in enumerate(found):
+        words[s, : len(m)], costs[s, : len(m)] = m, cost[at]
+    return words, costs
 
 
 @cache
 def _syndromes() -> list[np.ndarray]:
     """Syndrome of 23 bits as the XOR of three byte tables."""
-    single = np.zeros(24, np.int64)
-    for i in range(23):
-        x = 1 << i
-        for bit in range(22, 10, -1):
-            if x >> bit & 1:
-                x ^= GOLAY << (bit - 11)
-        single[i] = x
-    tables = []
-    for byte in range(3):
-        t = np.zeros(256, np.int64)
-        for v in range(256):
-            for i in range(8):
-                if v >> i & 1 and 8 * byte + i < 23:
-                    t[v] ^= single[8 * byte + i]
-        tables.append(t)
-    return tables
+    one = [*_bit_syndromes(), 0]
+    bits = np.arange(256)[:, None] >> np.arange(8) & 1
+    return [np.bitwise_xor.reduce(bits * np.array(one[8 * k : 8 * k + 8]), axis=1) for k in range(3)]
 
 
 def _half(bits: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    leader, words, costs = _reach(limit)
+    words, costs = _reach(limit)
     t = _syndromes()
     s = t[0][bits & 255] ^ t[1][bits >> 8 & 255] ^ t[2][bits >> 16]
-    home = (bits ^ leader[s]) >> 11
+    home = (bits ^ _leaders()[s]) >> 11
     return home[:, None] ^ words[s], costs[s]
 
 

@@ -43,9 +43,10 @@ def test_fingerprint(text):
 
 
 def test_golay_tables():
-    leader, words, costs = simhash._golay()
-    assert len(set(leader.tolist())) == 2048 and max(bin(x).count("1") for x in leader.tolist()) == 3
-    assert (costs[:, 0] == 0).all()
+    leaders = simhash._leaders().tolist()
+    assert len(set(leaders)) == 2048 and max(bin(x).count("1") for x in leaders) == 3
+    words, costs = simhash._reach(2)
+    assert (costs.min(axis=1) == 0).all() and (words[costs == 0] == 0).all()
 
 
 def test_anchors_meet():
