@@ -30,7 +30,7 @@ def corpus():
             words[k] = "changed"
         own = docs[i][1].split()
         docs[i] = (i, " ".join([*own[: len(own) // 2], *words, *own[len(own) // 2 :]]).upper().replace(" ", ",\n"))
-    docs += [(200, None), (201, ""), (0, docs[1][1]), (None, docs[2][1]), (0, docs[1][1]), (300, "x " * 50000 + items[5][1]), (301, items[5][1] + " middle " + items[6][1])]
+    docs += [(200, None), (201, ""), (0, docs[1][1]), (None, docs[2][1]), (0, docs[1][1]), (300, "x " * 6000 + items[5][1]), (301, items[5][1] + " middle " + items[6][1])]
     return docs, items
 
 
