@@ -47,7 +47,7 @@ def rename_clashes(df: DataFrame, names: list[str]) -> DataFrame:
     return df
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Cut a batch by rows so that each cut holds about ``max_bytes`` of ``column`` (one row at least)."""
     values = batch.column(batch.schema.get_field_index(column))
     if len(values) == 0:

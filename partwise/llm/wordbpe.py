@@ -18,8 +18,8 @@ import re
 import regex
 from tokenizers import Tokenizer
 
-#: Chunks kept by a worker before the memo starts anew (about 100 MB).
-MEMO = 300_000
+#: Chunks, and runs, kept by a worker before the memo starts anew (about 70 MB).
+MEMO = 200_000
 #: The split rule of the file kind that the memo is proven for (fixed value).
 SPLIT_RULE = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
