@@ -298,7 +298,9 @@ def links(distinct: DataFrame, distance: int = 3, crowd: int = CROWD) -> DataFra
     if not 0 <= distance <= 6:
         raise ValueError("the anchor tables cover distances up to 6")
     near = distance // 2
-    rows = distinct.select("fp").mapInArrow(_replicated(distance - near, near), "anchor int, fp bigint, near boolean")
+    # A few bytes a fingerprint come in and about 61 rows go out, so the work is dealt out by count, not by bytes.
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = distinct.select("fp").repartition(parts, "fp").mapInArrow(_replicated(distance - near, near), "anchor int, fp bigint, near boolean")
     met = rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_compared(distance, crowd), "anchor int, a bigint, b bigint")
     met = stored(met, "simhash-links")
     found = met.filter("anchor is null").select("a", "b")
@@ -318,8 +320,9 @@ def _groups(docs: DataFrame, shingle: int, distance: int, crowd: int) -> DataFra
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, crowd: int = CROWD) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs``."""
-    rows = _groups(docs, shingle, distance, crowd)
-    ids = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    rows = stored(_groups(docs, shingle, distance, crowd), "simhash-groups")
+    # Written, so that the join reads both sides through exchanges of its own, which a large group's rows can be split on.
+    ids = stored(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "simhash-ids")
     return rows.join(ids, "root").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
