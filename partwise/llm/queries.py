@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import decontaminate, html_blocks, licenses, line_chunks, line_rules, packing, quality, simhash, token_counts, token_store
+from partwise.llm import decontaminate, html_blocks, licenses, line_rules, line_runs, packing, quality, simhash, token_counts, token_store
 from partwise.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -35,8 +35,8 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of every document, those removed as repeated chunks, and a digest of the text left."""
-    done = line_chunks.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Lines of every document, those removed as repeated runs, and a digest of the text left."""
+    done = line_runs.dedup_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
     left = F.coalesce("text", F.lit(""))
     return done.select(
         "doc_id", "n_lines", "n_removed_lines", F.char_length(left).cast("bigint").alias("n_chars"), F.crc32(left.cast("binary")).alias("text_crc32"),
