@@ -11,16 +11,16 @@ Two folder layouts are read, also side by side under one root:
 Columns are matched by name, missing ones become NULL, extra ones are dropped,
 and every column is cast to the declared type. Spark merges added and removed
 columns itself (``mergeSchema``, a distributed pass over the footers). A type
-change (int64 in one file, double in another) it cannot merge; then the files
-themselves are the rows of a scan and each task casts what it reads, so the
-driver holds no list of files or schemas.
+change (int64 in one file, double in another) it cannot merge; then the list of
+dated folders is halved until each part can be merged, folders whose known
+columns have the same types become one Spark scan (split by Spark, only the used
+columns read), and the scans are cast and united.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.errors.exceptions.base import PySparkException
@@ -32,6 +32,7 @@ from partwise.sources.schemas import SOURCE_SCHEMAS, UPPERCASED, ddl
 LOAD_DAY = "load_day"
 _DATED = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
 _TIMESTAMP_TYPES = ("timestamp_ntz", "timestamp")
+_ERRORS = (AnalysisException, PySparkException, Py4JJavaError)
 
 
 def _typed_expr(name: str, kind: str, current: T.DataType | None, upper: bool) -> str:
@@ -40,7 +41,10 @@ def _typed_expr(name: str, kind: str, current: T.DataType | None, upper: bool) -
     elif kind in _TIMESTAMP_TYPES and isinstance(current, (T.LongType, T.IntegerType)):
         # INT64 TIMESTAMP(NANOS) read as epoch nanoseconds (nanosAsLong); the
         # session zone is UTC, so the wall-clock value is kept.
-        expr = f"cast(timestamp_micros(cast(floor(`{name}` / 1000) as bigint)) as {kind})"
+        expr = f"cast(timestamp_micros((`{name}` - pmod(`{name}`, 1000)) div 1000) as {kind})"
+    elif kind == "date" and isinstance(current, T.LongType):
+        # The same where a writer stored a day as a nanosecond timestamp.
+        expr = f"cast(timestamp_micros((`{name}` - pmod(`{name}`, 1000)) div 1000) as date)"
     else:
         expr = f"cast(`{name}` as {kind})"
     if upper:
@@ -81,32 +85,47 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
 
 
-_ARROW_TYPES = {"timestamp_ntz": pa.timestamp("us"), "date": pa.date32(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}
+def _cannot_merge(exc: Exception) -> bool:
+    return "CANNOT_MERGE_SCHEMAS" in str(exc)
 
 
-def _cast(values: pa.ChunkedArray, kind: str) -> pa.ChunkedArray:
-    if pa.types.is_dictionary(values.type):
-        values = values.cast(values.type.value_type)
-    if kind == "date" and pa.types.is_string(values.type):
-        values = values.cast(pa.timestamp("us"))
-    return values.cast(_ARROW_TYPES[kind], safe=False)
-
+def _files(spark: SparkSession, pattern: str) -> list[str]:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().toString() for s in fs.globStatus(hpath))
 
-def _read_drifted(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """Every file read and cast on its own by the task that gets it; a file is held whole."""
-    schema = SOURCE_SCHEMAS[source]
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.parquet as pq
+def _schemas(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], T.StructType]]:
+    """``paths`` in lists that Spark can merge, and their schemas: a list that it cannot is halved, a folder at its files."""
+    try:
+        return [(paths, spark.read.option("mergeSchema", "true").parquet(*paths).schema)]
+    except _ERRORS as exc:
+        if not _cannot_merge(exc):
+            raise
+        if len(paths) == 1:
+            paths = _files(spark, paths[0])
+        if len(paths) == 1:
+            raise
+    half = len(paths) // 2
+    return [*_schemas(spark, paths[:half]), *_schemas(spark, paths[half:])]
 
-        for batch in batches:
-            for content in batch.column(0):
-                table = pq.read_table(pa.BufferReader(content.as_buffer()))
-                columns = [_cast(table[name], kind) if name in table.column_names else pa.nulls(table.num_rows, _ARROW_TYPES[kind]) for name, kind in schema]
-                yield from pa.table(columns, [name for name, _ in schema]).to_batches()
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("content")
-    return files.mapInArrow(read, ddl(source))
+def _read_drifted(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """Folders whose known columns have the same types are one scan with that schema; the scans are cast and united."""
+    days = sorted({f"{file.rsplit('/', 1)[0]}/*.parquet" for file in _files(spark, path)})
+    known = {name for name, _ in SOURCE_SCHEMAS[source]}
+    groups: list[tuple[list[str], dict[str, T.StructField]]] = []
+    for paths, schema in _schemas(spark, days):
+        fields = {f.name: f for f in schema.fields if f.name in known}
+        for held, types in groups:
+            if all(types[name].dataType == f.dataType for name, f in fields.items() if name in types):
+                held.extend(paths)
+                types.update(fields)
+                break
+        else:
+            groups.append((list(paths), fields))
+    frames = [typed(spark.read.schema(T.StructType(list(types.values()))).parquet(*paths), source) for paths, types in groups]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _read_dated(spark: SparkSession, path: str, source: str, merge_schema: bool) -> DataFrame:
@@ -119,10 +138,10 @@ def _read_dated(spark: SparkSession, path: str, source: str, merge_schema: bool)
         return typed(spark.read.schema(T.StructType([*own.fields, *more])).parquet(path), source)
     try:
         return typed(reader.parquet(path), source)
-    except (AnalysisException, PySparkException, Py4JJavaError) as exc:
-        if "CANNOT_MERGE_SCHEMAS" not in str(exc):
+    except _ERRORS as exc:
+        if not _cannot_merge(exc):
             raise
-    return typed(_read_drifted(spark, path, source), source)
+    return _read_drifted(spark, path, source)
 
 
 def read_bronze(spark: SparkSession, root: str, source: str, merge_schema: bool = True) -> DataFrame:
