@@ -6,7 +6,9 @@ a substitution at an ignored position leaves the hash unchanged. Hashes of all
 windows of the test items are joined to those of all windows of the documents.
 Around each hit the two word sequences are compared along its diagonal, and the
 stretch that scores best (a match 1, a mismatch -2) is a leak if it has MIN_MATCH
-equal words and MIN_IDENTITY of its words equal.
+equal words, or MIN_IDENTITY of the item's words if that is less, and MIN_IDENTITY
+of its own words equal. An item of fewer words than a mask spans is hashed whole
+and is a leak where it stands word for word.
 
 Document windows are hashed where the texts are read and pass a key filter of
 fixed size made of the items' hashes, so what is joined is about as many rows as
@@ -14,8 +16,7 @@ there are true hits. Hits of a document come in regions with the words around
 them; the check needs no second look at the text. The item side is broadcast
 only below the session's measured limit, else shuffled.
 
-Cases: NULL and empty texts have no words. Items of fewer words than a mask
-spans are never found. Rows sharing a doc_id are told apart by their text;
+Cases: NULL and empty texts have no words. Rows sharing a doc_id are told apart by their text;
 identical rows give one result. Items are told apart by item_id and text. Empty
 tables give no rows. Extra columns are ignored by ``leaks`` and kept by
 ``without_leaks``. A text is held whole in its task.
@@ -43,9 +44,14 @@ CONTEXT = 48
 _LEAK = "doc_id bigint, text_hash bigint, item_id bigint, start_word bigint, n_words bigint, n_matched bigint"
 
 
-def window_hashes(row: np.ndarray, words: np.ndarray, masks: tuple[str, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _exact(masks: tuple[str, ...], lengths: list[int]) -> dict[int, str]:
+    """Masks that hash all words of a window of each length, by a number that no other mask has."""
+    return {len(masks) + n: "1" * n for n in lengths}
+
+
+def window_hashes(row: np.ndarray, words: np.ndarray, masks: dict[int, str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per mask the word indices at which a window fits into its row, and the hashes there."""
-    for number, mask in enumerate(masks):
+    for number, mask in masks.items():
         span = len(mask)
         if len(row) < span:
             continue
@@ -79,8 +85,16 @@ def _item_seeds(masks: tuple[str, ...]):
                 low, start, end, row, words = _words(batch)
                 first = np.searchsorted(row, np.arange(batch.num_rows))
                 keys = column(batch, "item_key").to_numpy()
-                for at, h in window_hashes(row, words, masks):
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[row[at]]), pa.array(at - first[row[at]])], ["h", "item_key", "item_at"])
+                n_words = np.bincount(row, minlength=batch.num_rows)
+                span = len(masks[0])
+                for exact, some in ((False, dict(enumerate(masks))), (True, _exact(masks, sorted(set(n_words[(0 < n_words) & (n_words < span)].tolist()))))):
+                    for number, mask in some.items():
+                        for at, h in window_hashes(row, words, {number: mask}):
+                            if exact:
+                                whole = n_words[row[at]] == len(mask)
+                                at, h = at[whole], h[whole]
+                            cols = [pa.array(h.view(np.int64)), pa.array(keys[row[at]]), pa.array(at - first[row[at]]), pa.array(np.full(len(at), exact))]
+                            yield pa.RecordBatch.from_arrays(cols, ["h", "item_key", "item_at", "exact"])
 
     return read
 
@@ -94,7 +108,7 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([column(batch, "item_key"), column(batch, "item_id"), pa.array(words, pa.list_(pa.binary()))], ["item_key", "item_id", "item_words"])
 
 
-def _regions(masks: tuple[str, ...], wanted):
+def _regions(masks: dict[int, str], wanted):
     """Hits of the key filter in each text, by region: its words, and the hashes with their places in it."""
     names = ["doc_id", "text_hash", "lo", "words", "h", "at"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64())]
@@ -134,14 +148,19 @@ def best_stretch(doc: list[bytes], item: list[bytes], diagonal: int) -> tuple[in
     return lo + start, end - start, int(same[start:end].sum())
 
 
-def _verified(min_match: int, min_identity: float):
+def least_match(n_item: int, span: int, min_match: int, min_identity: float) -> int:
+    """Equal words that a leak of an item of ``n_item`` words has at least."""
+    return n_item if n_item < span else min(min_match, int(min_identity * n_item))
+
+
+def _verified(span: int, min_match: int, min_identity: float):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in _LEAK.split(", ")]
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
                 start, n, equal = best_stretch(r["words"], r["item_words"], r["diagonal"])
-                if equal >= min_match and equal >= min_identity * n:
+                if equal >= least_match(len(r["item_words"]), span, min_match, min_identity) and equal >= min_identity * n:
                     rows.append((r["doc_id"], r["text_hash"], r["item_id"], r["lo"] + start, n, equal))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
@@ -157,18 +176,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
     """doc_id, text_hash, item_id, start_word, n_words, n_matched: the best stretch of each item in each document that holds it."""
     spark = docs.sparkSession
     items = benchmark.select(F.xxhash64("item_id", F.coalesce("text", F.lit(""))).alias("item_key"), F.col("item_id").cast("bigint").alias("item_id"), utf8().alias("text")).dropDuplicates(["item_key"])
-    seeds = stored(items.select("item_key", "text").mapInArrow(_item_seeds(masks), "h bigint, item_key bigint, item_at bigint"), "leak-seeds")
+    seeds = stored(items.select("item_key", "text").mapInArrow(_item_seeds(masks), "h bigint, item_key bigint, item_at bigint, exact boolean"), "leak-seeds")
     item_words = stored(items.mapInArrow(_item_words, "item_key bigint, item_id bigint, item_words array<binary>"), "leak-items")
     wanted = spark.sparkContext.broadcast(key_filter(seeds, "h"))
+    n = F.size("item_words")
+    short = [r.n for r in item_words.filter((n > 0) & (n < len(masks[0]))).select(n.alias("n")).distinct().collect()]
 
     texts = docs.select(*_keyed(docs), utf8().alias("text"))
     schema = "doc_id bigint, text_hash bigint, lo bigint, words array<binary>, h array<bigint>, at array<bigint>"
-    regions = texts.mapInArrow(_regions(masks, wanted), schema).withColumn("region", F.xxhash64("doc_id", "text_hash", "lo"))
+    regions = texts.mapInArrow(_regions({**dict(enumerate(masks)), **_exact(masks, sorted(short))}, wanted), schema).withColumn("region", F.xxhash64("doc_id", "text_hash", "lo"))
     regions = stored(regions, "leak-regions")
     hit = regions.select("region", F.explode(F.arrays_zip("h", "at")).alias("x")).select("region", F.col("x.h").alias("h"), F.col("x.at").alias("at"))
-    diagonals = hit.join(broadcast_if_small(seeds), "h").select("region", "item_key", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
+    # An item found whole is as good at its first place in a region as at any other.
+    diagonal = F.col("at") - F.col("item_at")
+    diagonals = hit.join(broadcast_if_small(seeds), "h").groupBy("region", "item_key", F.when(~F.col("exact"), diagonal).alias("d")).agg(F.min(diagonal).alias("diagonal")).drop("d")
     sides = diagonals.join(regions.select("region", "doc_id", "text_hash", "lo", "words").dropDuplicates(["region"]), "region").join(broadcast_if_small(item_words), "item_key")
-    found = sides.select("doc_id", "text_hash", "lo", "words", "item_id", "item_words", "diagonal").mapInArrow(_verified(min_match, min_identity), _LEAK)
+    found = sides.select("doc_id", "text_hash", "lo", "words", "item_id", "item_words", "diagonal").mapInArrow(_verified(len(masks[0]), min_match, min_identity), _LEAK)
     best = F.max(F.struct("n_matched", (-F.col("n_words")).alias("m"), (-F.col("start_word")).alias("s"))).alias("b")
     return found.groupBy("doc_id", "text_hash", "item_id").agg(best).select(
         "doc_id", "text_hash", "item_id", (-F.col("b.s")).alias("start_word"), (-F.col("b.m")).alias("n_words"), F.col("b.n_matched").alias("n_matched")
