@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import decontaminate, html_blocks, licenses, line_rules, line_runs, merkle, packing, quality, simhash, token_counts, token_store
+from partwise.llm import collocations, decontaminate, html_blocks, hyperminhash, licenses, line_rules, line_runs, merkle, packing, quality, simhash, token_counts, token_store
 from partwise.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -69,11 +69,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=2, capacity=4096)
 
 
+def op11_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle-set size and near-duplicate component of every document."""
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), percent=80)
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and folded proof of every document."""
     return merkle.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each lang's best collocations of two and three words."""
+    return collocations.mine(table(spark, sf_dir, "documents"), least=10, share=50, top=2000)
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_token_counts": op2_token_counts,
@@ -85,6 +95,8 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_packing": op10_packing,
+    "op11_hyperminhash": op11_hyperminhash,
     "op12_merkle": op12_merkle,
+    "op13_collocations": op13_collocations,
 }
-ORACLE_SQL: dict[str, str] = {"op7_quality_rules": line_rules.oracle_sql(), "op9_license_scan": licenses.oracle_sql(), "op12_merkle": merkle.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op7_quality_rules": line_rules.oracle_sql(), "op9_license_scan": licenses.oracle_sql(), "op12_merkle": merkle.oracle_sql(), "op13_collocations": collocations.oracle_sql()}
