@@ -67,6 +67,16 @@ def build_session(
     return configure(spark)
 
 
+#: Where the lake is, unless a call says so, and the folder if neither does.
+ROOT_CONF = "spark.partwise.lake.root"
+DEFAULT_ROOT = "lakehouse"
+
+
+def lake_root(spark: SparkSession, root: str | None = None) -> str:
+    """The lake's root folder: the argument, else the session's ROOT_CONF, else DEFAULT_ROOT."""
+    return (root or spark.conf.get(ROOT_CONF, None) or DEFAULT_ROOT).rstrip("/")
+
+
 def shared_base(spark: SparkSession) -> str:
     """The cluster's shared checkpoint directory (``spark.checkpoint.dir``).
 

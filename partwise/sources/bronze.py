@@ -2,37 +2,35 @@
 
 Two folder layouts are read, also side by side under one root:
 
-* ``<root>/bronze/<source>/load_day=<YYYY-MM-DD>/part-*.parquet`` as written by
-  :mod:`partwise.sources.sinks`. Known columns have their declared types, so the
-  files are read with the declared schema and no footer is looked at.
+* ``<root>/bronze/<source>/load_day=<YYYY-MM-DD>/version=<id>/part-*.parquet`` as
+  published by :mod:`partwise.sources.sinks`; the commit log names the version of
+  each day. Known columns have their declared types, so the files are read with
+  the declared schema and no footer is looked at.
 * ``<root>/bronze/<source>/<YYYY-MM-DD>/<file>.parquet``, extracts of other
   writers. These may drift: columns appear, vanish or change type between days.
 
 Columns are matched by name, missing ones become NULL, extra ones are dropped,
-and every column is cast to the declared type. Spark merges added and removed
-columns itself (``mergeSchema``, a distributed pass over the footers). A type
-change (int64 in one file, double in another) it cannot merge; then the list of
-dated folders is halved until each part can be merged, folders whose known
-columns have the same types become one Spark scan (split by Spark, only the used
-columns read), and the scans are cast and united.
+and every column is cast to the declared type. The types that each dated folder
+holds are kept in a ledger beside the lake (:mod:`partwise.sources.ledger`), so
+a folder's footers are read once. Folders whose known columns have the same
+types are one Spark scan with that schema (split by Spark, only the used columns
+read), and the scans are cast and united.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
-from pyspark.errors.exceptions.base import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from partwise.session import lake_root
+from partwise.sources.ledger import Ledger, dated_files
+from partwise.sources.publish import Snapshot, Store
 from partwise.sources.schemas import SOURCE_SCHEMAS, UPPERCASED, ddl
 
 LOAD_DAY = "load_day"
-_DATED = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
 _TIMESTAMP_TYPES = ("timestamp_ntz", "timestamp")
-_ERRORS = (AnalysisException, PySparkException, Py4JJavaError)
 
 
 def _typed_expr(name: str, kind: str, current: T.DataType | None, upper: bool) -> str:
@@ -72,94 +70,80 @@ def declared(df: DataFrame, source: str) -> DataFrame:
     return df.selectExpr(*_projection(df, source, ()), *[f"`{c}`" for c in df.columns if c not in known])
 
 
-def source_path(root: str, source: str) -> str:
-    return f"{root.rstrip('/')}/bronze/{source}"
-
-
-def _children(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
+def store(spark: SparkSession, root: str | None = None) -> Store:
+    """The lake's commit log; ``root`` from the session's configuration if it is not given."""
+    return Store(spark, lake_root(spark, root))
 
 
-def _cannot_merge(exc: Exception) -> bool:
-    return "CANNOT_MERGE_SCHEMAS" in str(exc)
-
-
-def _files(spark: SparkSession, pattern: str) -> list[str]:
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(s.getPath().toString() for s in fs.globStatus(hpath))
+def source_path(root: str, source: str) -> str:
+    return f"{root.rstrip('/')}/bronze/{source}"
 
 
-def _schemas(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], T.StructType]]:
-    """``paths`` in lists that Spark can merge, and their schemas: a list that it cannot is halved, a folder at its files."""
-    try:
-        return [(paths, spark.read.option("mergeSchema", "true").parquet(*paths).schema)]
-    except _ERRORS as exc:
-        if not _cannot_merge(exc):
-            raise
-        if len(paths) == 1:
-            paths = _files(spark, paths[0])
-        if len(paths) == 1:
-            raise
-    half = len(paths) // 2
-    return [*_schemas(spark, paths[:half]), *_schemas(spark, paths[half:])]
+def load_entry(source: str, day: str) -> str:
+    return f"bronze/{source}/{LOAD_DAY}={day}"
 
 
-def _read_drifted(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """Folders whose known columns have the same types are one scan with that schema; the scans are cast and united."""
-    days = sorted({f"{file.rsplit('/', 1)[0]}/*.parquet" for file in _files(spark, path)})
+def _read_dated(spark: SparkSession, root: str, source: str, merge_schema: bool) -> DataFrame | None:
+    """Extracts of other writers; None if there are none."""
+    files = dated_files(spark, source_path(root, source))
+    if not files:
+        return None
     known = {name for name, _ in SOURCE_SCHEMAS[source]}
-    groups: list[tuple[list[str], dict[str, T.StructField]]] = []
-    for paths, schema in _schemas(spark, days):
-        fields = {f.name: f for f in schema.fields if f.name in known}
-        for held, types in groups:
-            if all(types[name].dataType == f.dataType for name, f in fields.items() if name in types):
+    if not merge_schema:
+        # The files' own types, one of them read; columns it lacks are asked for as well.
+        paths = sorted({f.pattern for f in files})
+        own = spark.read.parquet(*paths).schema
+        held = {f.name for f in own.fields}
+        more = [f for f in T.StructType.fromDDL(ddl(source)).fields if f.name not in held]
+        return typed(spark.read.schema(T.StructType([*own.fields, *more])).parquet(*paths), source)
+    groups: list[tuple[list[str], dict[str, T.DataType]]] = []
+    for paths, types in Ledger(spark, f"{root}/_schemas/{source}").types(files, known):
+        for held, merged in groups:
+            if all(merged[name] == kind for name, kind in types.items() if name in merged):
                 held.extend(paths)
-                types.update(fields)
+                merged.update(types)
                 break
         else:
-            groups.append((list(paths), fields))
-    frames = [typed(spark.read.schema(T.StructType(list(types.values()))).parquet(*paths), source) for paths, types in groups]
+            groups.append((list(paths), dict(types)))
+    frames = []
+    for paths, types in groups:
+        # A folder without any known column is read for its rows.
+        schema = T.StructType([T.StructField(n, k) for n, k in types.items()] or [T.StructField("_", T.StringType())])
+        frames.append(typed(spark.read.schema(schema).parquet(*paths), source))
     return reduce(DataFrame.unionByName, frames)
 
 
-def _read_dated(spark: SparkSession, path: str, source: str, merge_schema: bool) -> DataFrame:
-    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
-    if not merge_schema:
-        # The files' own types, one of them read; columns it lacks are asked for as well.
-        own = reader.parquet(path).schema
-        held = {f.name for f in own.fields}
-        more = [f for f in T.StructType.fromDDL(ddl(source)).fields if f.name not in held]
-        return typed(spark.read.schema(T.StructType([*own.fields, *more])).parquet(path), source)
-    try:
-        return typed(reader.parquet(path), source)
-    except _ERRORS as exc:
-        if not _cannot_merge(exc):
-            raise
-    return _read_drifted(spark, path, source)
+def load_folders(spark: SparkSession, root: str, source: str, snapshot: Snapshot | None = None) -> dict[str, str]:
+    """The current folder of every load day of ``source``; days landed before there was a commit log are their own folder."""
+    lake = Store(spark, root)
+    entries = (snapshot or lake.current()).entries
+    prefix = load_entry(source, "")
+    out = {e.removeprefix(prefix): f"{lake.base}/{r['path']}" for e, r in entries.items() if e.startswith(prefix)}
+    for name in lake._children(f"bronze/{source}"):
+        day = name.removeprefix(f"{LOAD_DAY}=")
+        if name != day and day not in out and any(f.endswith(".parquet") for f in lake._children(f"bronze/{source}/{name}")):
+            out[day] = f"{source_path(root, source)}/{name}"
+    return dict(sorted(out.items()))
 
 
-def read_bronze(spark: SparkSession, root: str, source: str, merge_schema: bool = True) -> DataFrame:
-    """Typed Bronze relation of ``source`` over all loads under ``root``, in either layout.
+def read_bronze(spark: SparkSession, root: str | None, source: str, merge_schema: bool = True, snapshot: Snapshot | None = None) -> DataFrame:
+    """Typed Bronze relation of ``source`` over all loads under ``root``, in either layout; as of a commit, if one is given.
 
     ``merge_schema`` concerns dated folders of other writers only: where those
-    never drift it can be turned off, and one footer is read instead of all.
+    never drift it can be turned off, and one footer is read instead of the ledger.
     """
-    base = source_path(root, source)
-    names = _children(spark, base)
-    out = None
-    if any(n.startswith(f"{LOAD_DAY}=") for n in names):
-        out = typed(spark.read.schema(ddl(source)).parquet(f"{base}/{LOAD_DAY}=*"), source)
-    if not names or any("=" not in n for n in names):
-        dated = _read_dated(spark, f"{base}/{_DATED}/*.parquet", source, merge_schema)
-        out = dated if out is None else out.unionByName(dated)
-    return out
-
-
-def read_all(spark: SparkSession, root: str, merge_schema: bool = True) -> dict[str, DataFrame]:
-    return {source: read_bronze(spark, root, source, merge_schema) for source in SOURCE_SCHEMAS}
+    root = lake_root(spark, root)
+    folders = list(load_folders(spark, root, source, snapshot).values())
+    dated = _read_dated(spark, root, source, merge_schema)
+    if not folders:
+        if dated is None:
+            raise FileNotFoundError(f"no extracts of {source} under {root}")
+        return dated
+    out = typed(spark.read.schema(ddl(source)).parquet(*folders), source)
+    return out if dated is None else out.unionByName(dated)
+
+
+def read_all(spark: SparkSession, root: str | None = None, merge_schema: bool = True) -> dict[str, DataFrame]:
+    """All four sources, as of one commit."""
+    snapshot = store(spark, root).current()
+    return {source: read_bronze(spark, root, source, merge_schema, snapshot) for source in SOURCE_SCHEMAS}
