@@ -11,10 +11,11 @@ Five kinds, each counting what its test query returns:
 * ``measurement_between``: rows that are NULL, below min or above max (both
   ends valid).
 
-Execution: the not_null, range and accepted_values checks of one table are one
-pass; ``unique`` and ``relationships`` of all tables are read from one frame of
-key counts. Both aggregate before they shuffle: a key holding a third of a
-table costs one row per map task.
+Execution: every table is read once. Its rows are counted by key with the sums of
+their violations beside, and by bad value, before anything is shuffled: a key
+holding a third of a table costs one row per map task. The counts of all tables
+stand side by side per key, and every check is a sum over keys. Without key checks
+(``unique``, ``relationships``) a table's sums are all there is.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partwise.operators.joins import key_counts, union_all
+from partwise.operators.joins import union_all
 
 NOT_NULL = "not_null"
 UNIQUE = "unique"
@@ -230,15 +231,10 @@ def _table_pass(table: DataFrame, numbered: list[tuple[int, Check]]) -> DataFram
     return _explode_results(totals, cells)
 
 
-def _key_pass(tables: dict[str, DataFrame], numbered: list[tuple[int, Check]]) -> DataFrame:
-    """All unique and relationship checks from one frame of keys.
-
-    Every table gives (domain, key, tag, n): its rows by key, counted before the
-    shuffle. Per key the counts of all tables stand side by side, and each check
-    is a sum over keys. A key column and what it refers to share a domain.
-    """
+def _keys(numbered: list[tuple[int, Check]]) -> tuple[dict[tuple[str, str], int], dict[tuple[str, str], str]]:
+    """Tag and domain of every key column; a key and what it refers to share a domain."""
     tags: dict[tuple[str, str], int] = {}
-    domain = {}
+    domain: dict[tuple[str, str], str] = {}
     for _, check in numbered:
         own = (check.model, check.column)
         tags.setdefault(own, len(tags))
@@ -247,21 +243,70 @@ def _key_pass(tables: dict[str, DataFrame], numbered: list[tuple[int, Check]]) -
             other = (check.to_model, check.to_field)
             tags.setdefault(other, len(tags))
             domain[own] = domain[other] = domain.get(other, check.to_field)
-    counts = [
-        key_counts(tables[model], column).select(F.lit(domain[model, column]).alias("domain"), F.col(column).cast("string").alias("key"), F.lit(tag).alias("tag"), "n")
-        for (model, column), tag in tags.items()
-    ]
-    by_key = union_all(counts).groupBy("domain", "key").agg(*[F.expr(f"sum(n) filter (where tag = {tag})").alias(f"n{tag}") for tag in tags.values()])
-    sums, cells = [], []
+    return tags, domain
+
+
+#: Domain of the sums of a table that are not of a key column.
+_ROWS = "#rows"
+
+
+def _counted(table: DataFrame, keys: list[tuple[str, str, int]], sums: list[tuple[int, Check]], bad: list[tuple[int, Check]], width: int) -> DataFrame:
+    """(domain, key, tag, n, sums) of one table, in one pass over it.
+
+    ``keys`` are (column, domain, tag). The violations of a row are counted with its
+    first key (or under _ROWS, without one); a bad value of an accepted_values
+    check is a key of the check's own domain.
+    """
+    cells = [f"named_struct('domain', '{domain}', 'key', cast({_q(column)} as string), 'tag', {tag})" for column, domain, tag in keys]
+    if not cells:
+        cells.append(f"named_struct('domain', '{_ROWS}', 'key', cast(null as string), 'tag', -1)")
+    cells += [f"case when {violation(check)} then named_struct('domain', '#bad{pos}', 'key', cast({_q(check.column)} as string), 'tag', -1) end" for pos, check in bad]
+    flags = [f"cast({violation(check)} as int) as f{pos}" for pos, check in sums]
+    if len(cells) == 1:
+        rows = table.selectExpr(f"{cells[0]} as cell", "0 as place", *flags)
+    else:
+        rows = table.selectExpr(f"posexplode(array({', '.join(cells)})) as (place, cell)", *flags).filter("cell is not null")
+    own = rows.groupBy("cell.domain", "cell.key", "cell.tag")
+    # One row of the table has several cells; its violations belong to the first.
+    totals = [F.expr(f"sum(if(place = 0, f{pos}, 0))").alias(f"r{pos}") for pos, _ in sums]
+    found = own.agg(F.count(F.lit(1)).alias("n"), *totals)
+    held = ", ".join([f"cast(r{pos} as bigint)" for pos, _ in sums] + ["0L"] * (width - len(sums)))
+    return found.selectExpr("domain", "key", "tag", "n", f"array({held}) as sums")
+
+
+def _one_pass(tables: dict[str, DataFrame], numbered: list[tuple[int, Check]]) -> DataFrame:
+    """All given checks, each table read once."""
+    tags, domain = _keys([(i, c) for i, c in numbered if c.kind in (UNIQUE, RELATIONSHIPS)])
+    models = list(dict.fromkeys([c.model for _, c in numbered] + [model for model, _ in tags]))
+    sums = {m: [(i, c) for i, c in numbered if c.model == m and c.kind in ROW_KINDS] for m in models}
+    width = max([1, *map(len, sums.values())])
+    frames = []
+    for number, m in enumerate(models):
+        keys = [(column, domain[model, column], tag) for (model, column), tag in tags.items() if model == m]
+        bad = [(i, c) for i, c in numbered if c.model == m and c.kind == ACCEPTED]
+        frames.append(_counted(tables[m], keys, sums[m], bad, width).withColumn("model", F.lit(number)))
+    place = {pos: (models.index(m), k) for m, held in sums.items() for k, (pos, _) in enumerate(held)}
+    by_key = union_all(frames).groupBy("domain", "key").agg(
+        *[F.expr(f"sum(n) filter (where tag = {tag})").alias(f"n{tag}") for tag in tags.values()],
+        F.sum("n").alias("n"),
+        *[F.expr(f"sum(sums[{k}]) filter (where model = {m})").alias(f"r{pos}") for pos, (m, k) in place.items()],
+    )
+    totals, cells = [], []
     for pos, check in numbered:
-        n = f"n{tags[check.model, check.column]}"
-        if check.kind == UNIQUE:
-            sums += [f"count_if({n} > 1) as k{pos}", f"coalesce(sum({n}) filter (where {n} > 1), 0) as s{pos}"]
+        failures = rows = f"r{pos}"
+        if check.kind in ROW_KINDS:
+            totals.append(f"coalesce(sum(r{pos}), 0) as r{pos}")
         else:
-            parent = f"n{tags[check.to_model, check.to_field]}"
-            sums += [f"coalesce(sum({n}) filter (where {parent} is null), 0) as k{pos}", f"coalesce(sum({n}) filter (where {parent} is null), 0) as s{pos}"]
-        cells.append(_result(pos, check, f"k{pos}", f"s{pos}"))
-    return _explode_results(by_key.selectExpr(*sums), cells)
+            failures, rows = f"k{pos}", f"s{pos}"
+            if check.kind == ACCEPTED:
+                hit, n = f"domain = '#bad{pos}'", "n"
+            else:
+                n = f"n{tags[check.model, check.column]}"
+                hit = f"key is not null and {n} > 1" if check.kind == UNIQUE else f"key is not null and n{tags[check.to_model, check.to_field]} is null"
+            counted = f"coalesce(sum({n}) filter (where {hit}), 0)"
+            totals += [f"{counted if check.kind == RELATIONSHIPS else f'count_if({hit})'} as {failures}", f"{counted} as {rows}"]
+        cells.append(_result(pos, check, failures, rows))
+    return _explode_results(by_key.selectExpr(*totals), cells)
 
 
 def run_checks(
@@ -272,16 +317,13 @@ def run_checks(
     """One result row per check: position, model, column_name, test_name,
     check_id, failures, failing_rows, status ('pass' when failures = 0)."""
     numbered = [(i, c) for i, c in enumerate(checks, start=1) if kinds is None or c.kind in kinds]
-    parts: list[DataFrame] = []
-    rows = [(i, c) for i, c in numbered if c.kind in (*ROW_KINDS, ACCEPTED)]
-    for model in dict.fromkeys(c.model for _, c in rows):
-        parts.append(_table_pass(tables[model], [(i, c) for i, c in rows if c.model == model]))
-    if keys := [(i, c) for i, c in numbered if c.kind in (UNIQUE, RELATIONSHIPS)]:
-        parts.append(_key_pass(tables, keys))
-    if not parts:
+    if not numbered:
         spark = next(iter(tables.values())).sparkSession
         return spark.createDataFrame([], RESULT_SCHEMA)
-    return union_all(parts).orderBy("position")
+    if any(c.kind in (UNIQUE, RELATIONSHIPS) for _, c in numbered):
+        return _one_pass(tables, numbered).orderBy("position")
+    models = dict.fromkeys(c.model for _, c in numbered)
+    return union_all([_table_pass(tables[m], [(i, c) for i, c in numbered if c.model == m]) for m in models]).orderBy("position")
 
 
 class DataQualityError(RuntimeError):

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and skew-safe key counts."""
+"""Join helpers: size-checked broadcast and balanced unions."""
 
 from __future__ import annotations
 
@@ -34,12 +34,6 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     return df
 
 
-def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """(key, n) for non-NULL keys. The partial aggregate collapses a hot key on
-    the map side, so no task receives more than one row per key and map task."""
-    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-
-
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """By-name union of many frames as a balanced tree.
 

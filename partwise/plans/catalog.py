@@ -42,7 +42,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Report, check and verdict queries register themselves on import.
-    from partwise.plans import queries_checks, queries_load, queries_reports  # noqa: F401
+    from partwise.plans import queries_checks, queries_lake, queries_load, queries_reports  # noqa: F401
 
 
 def _model_query(model: str, pick: Callable[[L.Layers], DataFrame]) -> None:

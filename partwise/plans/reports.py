@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partwise.functions import rules as R
+from partwise.operators.moments import correlations
 
 
 # ---------------------------------------------------------------- filters
@@ -114,23 +115,20 @@ def signed_round(expr: str, digits: int) -> str:
 def correlation_matrix(gold: DataFrame, columns=R.CORRELATION_COLUMNS, digits=R.CORRELATION_DIGITS) -> DataFrame:
     """Long-form Pearson matrix (row_variable, column_variable, correlation).
 
-    One pass over Gold: each row gives its (pair, x, y), and the moments of a
-    pair are a partial aggregate, so a task hands on one row per pair. Rows
-    count where both values are present (NULL and NaN are missing); the result
-    is NULL where a side is constant or no row counts.
+    One pass over Gold, which hands on one matrix of moments a task
+    (:mod:`partwise.operators.moments`). Rows count where both values are present
+    (NULL and NaN are missing); the result is NULL where a side is constant or no
+    row counts.
     """
     types = dict(gold.dtypes)
 
     def as_double(c: str) -> str:
         inner = f"cast(`{c}` as int)" if types.get(c) == "boolean" else f"`{c}`"
-        return f"nanvl(cast({inner} as double), cast(null as double)) as `{c}`"
+        return f"cast({inner} as double) as `{c}`"
 
-    pairs = correlation_pairs(columns)
-    cells = ", ".join(f"named_struct('a', '{a}', 'b', '{b}', 'x', `{a}`, 'y', `{b}`)" for a, b in pairs)
-    rows = gold.selectExpr(*[as_double(c) for c in columns]).selectExpr(f"inline(array({cells}))").filter("x is not null and y is not null")
-    r = rows.groupBy("a", "b").agg(F.expr("covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0)").alias("r"))
+    r = correlations(gold.selectExpr(*[as_double(c) for c in columns]))
     # All pairs, also those without a row: a table of len(columns) ** 2 rows.
-    names = gold.sparkSession.createDataFrame([(x, y, a, b) for a, b in pairs for x, y in sorted({(a, b), (b, a)})], "row_variable string, column_variable string, a string, b string")
+    names = gold.sparkSession.createDataFrame([(x, y, a, b) for a, b in correlation_pairs(columns) for x, y in sorted({(a, b), (b, a)})], "row_variable string, column_variable string, a string, b string")
     return names.join(r, ["a", "b"], "left").selectExpr("row_variable", "column_variable", f"{signed_round('r', digits)} as correlation")
 
 

@@ -83,7 +83,7 @@ def load_entry(source: str, day: str) -> str:
     return f"bronze/{source}/{LOAD_DAY}={day}"
 
 
-def _read_dated(spark: SparkSession, root: str, source: str, merge_schema: bool) -> DataFrame | None:
+def read_dated(spark: SparkSession, root: str, source: str, merge_schema: bool = True) -> DataFrame | None:
     """Extracts of other writers; None if there are none."""
     files = dated_files(spark, source_path(root, source))
     if not files:
@@ -134,7 +134,7 @@ def read_bronze(spark: SparkSession, root: str | None, source: str, merge_schema
     """
     root = lake_root(spark, root)
     folders = list(load_folders(spark, root, source, snapshot).values())
-    dated = _read_dated(spark, root, source, merge_schema)
+    dated = read_dated(spark, root, source, merge_schema)
     if not folders:
         if dated is None:
             raise FileNotFoundError(f"no extracts of {source} under {root}")

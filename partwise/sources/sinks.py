@@ -12,8 +12,7 @@ Known columns are cast to their declared types before the write (extra ones are
 kept as they come), so files of this layout have one schema for all time and
 are read without looking at footers. Rows are range-partitioned by key: files
 hold ranges of keys, point lookups skip files and row groups, and a day holding
-many rows is written by many tasks. Measurement files carry a bloom filter of
-their other lookup keys. Rows are counted while they are written; the counts
+many rows is written by many tasks. Rows are counted while they are written; the counts
 are part of the commit, so the manifest reads no data.
 """
 
@@ -36,11 +35,11 @@ SORT_KEY = {
 MANIFEST_SCHEMA = "source string, load_day date, rows bigint, relative_path string"
 
 
-def _iso(day: dt.date | str) -> str:
+def iso(day: dt.date | str) -> str:
     return dt.date.fromisoformat(str(day)[:10]).isoformat()
 
 
-def _write(frame: DataFrame, source: str, root: str, day: str) -> dict[str, dict]:
+def _write(frame: DataFrame, source: str, root: str | None, day: str) -> dict[str, dict]:
     """Write one extract to a fresh folder; the record that makes it current."""
     if source not in SOURCES:
         raise ValueError(f"unknown source {source!r}")
@@ -53,20 +52,20 @@ def _write(frame: DataFrame, source: str, root: str, day: str) -> dict[str, dict
     return {entry: {"path": folder, "rows": int(counted.get["rows"]), "source": source, "load_day": day}}
 
 
-def write_bronze(frame: DataFrame, source: str, root: str, load_day: dt.date | str) -> str:
+def write_bronze(frame: DataFrame, source: str, root: str | None, load_day: dt.date | str) -> str:
     """Publish one extract as the load of ``load_day``, in place of what that day held; returns its folder."""
     lake = store(frame.sparkSession, root)
-    record = _write(frame, source, root, _iso(load_day))
+    record = _write(frame, source, root, iso(load_day))
     lake.commit(record)
     return f"{lake.base}/{next(iter(record.values()))['path']}"
 
 
-def manifest(spark: SparkSession, root: str, sources: list[str] | None = None, load_day: dt.date | str | None = None) -> DataFrame:
+def manifest(spark: SparkSession, root: str | None, sources: list[str] | None = None, load_day: dt.date | str | None = None) -> DataFrame:
     """(source, load_day, rows, relative_path) of the loads that are current, from their commit; of the given sources and day, or all.
 
     No data is read, and it is there for every later session. An empty extract has its row, with 0.
     """
-    day = None if load_day is None else _iso(load_day)
+    day = None if load_day is None else iso(load_day)
     rows = [
         (r["source"], dt.date.fromisoformat(r["load_day"]), r["rows"], load_entry(r["source"], r["load_day"]))
         for entry, r in sorted(store(spark, root).current().entries.items())
@@ -75,10 +74,16 @@ def manifest(spark: SparkSession, root: str, sources: list[str] | None = None, l
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 
-def load_sources(spark: SparkSession, frames: dict[str, DataFrame], root: str, load_day: dt.date | str) -> DataFrame:
-    """Publish the given extracts as the load of ``load_day``, in one commit, and return its manifest."""
-    day, records = _iso(load_day), {}
+def written(frames: dict[str, DataFrame], root: str | None, day: str) -> dict[str, dict]:
+    """Write extracts to fresh folders; the records that make them current."""
+    records = {}
     for source, frame in frames.items():
         records |= _write(frame, source, root, day)
-    store(spark, root).commit(records)
+    return records
+
+
+def load_sources(spark: SparkSession, frames: dict[str, DataFrame], root: str | None, load_day: dt.date | str) -> DataFrame:
+    """Publish the given extracts as the load of ``load_day``, in one commit, and return its manifest."""
+    day = iso(load_day)
+    store(spark, root).commit(written(frames, root, day))
     return manifest(spark, root, list(frames), day)
