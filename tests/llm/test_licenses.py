@@ -49,5 +49,27 @@ def test_notices(spark):
     assert got[3] == "mit"
 
 
+def test_changed_words_and_versions(spark):
+    """One word changed, put in or left out; versions and kinds are told apart."""
+    wanted = {
+        "Released under the popular MIT license": "mit", "It is released under an MIT license.": "mit", "Released under MIT license": "mit",
+        "Licensed under an Apache license, version 2.0": "apache-2.0", "Licensed under the Apache license 2.0": "apache-2.0",
+        "Licensed under a CC BY-NC 4.0": "cc-by,cc-by-nc-4.0", "licensed under CC BY-SA 4.0": "cc-by,cc-by-sa-4.0",
+        "licensed under the GNU General Public License version 3.": "gpl", "This work is licensed under the GNU General Public License version 3.": "gpl,gpl-3.0",
+        "This work is licensed under the GNU General Public License version 2.": "gpl,gpl-2.0", "This work is licensed under the GNU General Public License version 4.": "gpl",
+        "This work was licensed under the GNU General Public License, version 2": "gpl,gpl-2.0", "This book is licensed under the GNU General Public License version 3": "gpl,gpl-3.0",
+        "Released under the BSD license": "", "Licensed under the Eclipse license version 2.0": "", "licensed under CC BY 4.0": "cc-by",
+    }
+    rows = list(enumerate(wanted))
+    got = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {t: got[i] for i, t in rows} == wanted
+
+
+def test_texts_are_read_once(spark, scratch):
+    spark.createDataFrame([(1, "cc by")], "doc_id bigint, text string").write.parquet(f"{scratch}/docs")
+    plan = licenses.scan(spark.read.parquet(f"{scratch}/docs"))._jdf.queryExecution().executedPlan().toString()
+    assert f"{scratch}/docs" not in plan  # what is left reads the stored matches
+
+
 def test_empty(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
