@@ -2,10 +2,12 @@
 
 Lines are normalised (A-Z lowered, runs of white space to one space) and hashed.
 Per host (``source``) the documents that hold a line are counted, a text that
-occurs several times in a host once. A line in at least MIN_DOCS documents and
-MAX_SHARE of its host's is taken out of them, and a document that keeps less
-than MIN_LEFT of its words is depleted and rejected, as is one that fails the
-base rules (fewer than 50 words, or over half of them in repeated 3-word windows).
+occurs several times in a host once. A line in ENOUGH_DOCS documents of a host,
+or in MIN_DOCS and MAX_SHARE of them, is taken out of them: on a small host the
+share decides, on a large one the fixed count alone, so that a line is judged alike
+however large its host grows. A document that keeps less than MIN_LEFT of its words
+is depleted and rejected, as is one that fails the base rules (fewer than 50
+words, or over half of them in repeated 3-word windows).
 
 Counting works on hashes: a hot line leaves each map task as one row per
 document, a hot host as one row per line. Texts are read once and never shuffled.
@@ -31,6 +33,7 @@ MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 MIN_DOCS = 10
 MAX_SHARE = 0.02
+ENOUGH_DOCS = 30
 MIN_LEFT = 0.5
 SYMBOLS = "#*$%&|<>"
 _SYMBOL = np.array([chr(c) in SYMBOLS for c in range(256)])
@@ -109,7 +112,7 @@ def frequent_lines(texts: DataFrame) -> DataFrame:
     """(host, line): lines over the limits, from one row per distinct text of a host."""
     size = texts.groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
     held = texts.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
-    return held.filter(F.col("n") >= MIN_DOCS).join(size, "host").filter(F.col("n") >= MAX_SHARE * F.col("docs")).select("host", "line")
+    return held.filter(F.col("n") >= MIN_DOCS).join(size, "host").filter((F.col("n") >= MAX_SHARE * F.col("docs")) | (F.col("n") >= ENOUGH_DOCS)).select("host", "line")
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -144,7 +147,7 @@ dup as (select r, count(*) n_dup_lines from (select r, row_number() over (partit
 txt as (select host, t, min(r) r from d group by host, t),
 norm as (select txt.host, txt.t, r, line_no, len(lw) words, translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') nl from real join txt using (r)),
 host as (select host, count(*) docs from txt group by host),
-freq as (select host, nl from (select host, nl, count(distinct r) n from norm group by host, nl) join host using (host) where n >= {MIN_DOCS} and n >= {MAX_SHARE} * docs),
+freq as (select host, nl from (select host, nl, count(distinct r) n from norm group by host, nl) join host using (host) where n >= {MIN_DOCS} and (n >= {MAX_SHARE} * docs or n >= {ENOUGH_DOCS})),
 lost as (select host, t, sum(words) lost from norm join freq using (host, nl) group by host, t)
 select doc_id, len(ws)::bigint n_words, length(array_to_string(ws, ''))::bigint word_chars,
     (length(t) - length(translate(t, '{SYMBOLS}', '')))::bigint n_symbols,

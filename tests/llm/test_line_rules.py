@@ -50,5 +50,21 @@ def test_shared_lines(spark):
     assert all(got[2000 + i].kept for i in range(60)) and got[3000].kept
 
 
+def test_a_line_is_judged_alike_on_small_and_hot_hosts(spark):
+    """A passage in 30 documents goes whether its host has 200 or 4,000; one in 12 goes by its share of a small host only."""
+    body = lambda h, i: " ".join(f"{h}{i}w{k}" for k in range(60))
+    common, rare = (" ".join(f"{name}{k}" for k in range(80)) for name in ("common", "rare"))
+    rows = []
+    for host, size in (("small", 200), ("hot", 4000)):
+        for i in range(size):
+            more = f"\n{common}" if i < 30 else f"\n{rare}" if i < 42 else ""
+            rows.append((len(rows), body(host, i) + more, host))
+    got = {r.doc_id: r for r in line_rules.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
+    for first, rare_goes in ((0, True), (200, False)):
+        assert all(not got[first + i].kept and not got[first + i].base_failed and got[first + i].words_left == 60 for i in range(30))
+        assert all(got[first + i].kept != rare_goes for i in range(30, 42))
+        assert all(got[first + i].kept for i in range(42, 200))
+
+
 def test_empty(spark):
     assert line_rules.judge(spark.createDataFrame([], "doc_id bigint, text string, source string")).count() == 0
