@@ -34,7 +34,7 @@ from partwise.llm.html_labels import PAGES
 
 # FIXED VALUES: HTML's element kinds, and words in class or id that tell what a container holds.
 RAW = "script style textarea title iframe".split()
-BOXES = "noscript template svg math object select button datalist canvas audio video".split()
+BOXES = "noscript template svg select button datalist canvas audio video".split()
 CONTAINERS = "article aside body details dialog div dl fieldset figure footer form header html main menu nav ol section table tbody td tr ul".split()
 BLOCKS = CONTAINERS + "address blockquote caption center dd dt figcaption h1 h2 h3 h4 h5 h6 hr label legend li option p pre summary th thead tfoot".split()
 HEADINGS = "h1 h2 h3 h4 h5 h6".split()
@@ -46,6 +46,11 @@ disclaimer discussion disqus feedback footer form gdpr header login masthead men
 promoted promotion recommended register related replies reply respond reviews search share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar
 widget widgets""".split()
 INSIDE_WORDS = "article body content entry main post story text".split()
+#: First or last words of a name that say what a thing is about, or lacks, and not what it is (category-reviews, notice-free).
+ABOUT = "category cat tag topic subject has no not without".split()
+LACKING = "free less".split()
+#: Words of names made of a heading (comments-on-law).
+JOINING = "a about an and as at by for from how in is of on or the to what why with".split()
 
 _ATTRIBUTES = r"""(?:[^<>"']|"[^"]*"|'[^']*')*+"""
 #: Comments; raw text, which runs to its end tag or the end of the page; boxes, which need their end tag; tags; broken tags.
@@ -58,16 +63,36 @@ _TOKEN = re.compile(
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile("[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _SPACE = re.compile(r"\s+")
-_SETS = {k: frozenset(v) for k, v in dict(containers=CONTAINERS, blocks=BLOCKS, headings=HEADINGS, out_tags=OUTSIDE_TAGS, in_tags=INSIDE_TAGS, out_words=OUTSIDE_WORDS, in_words=INSIDE_WORDS).items()}
+_SETS = {k: frozenset(v) for k, v in dict(containers=CONTAINERS, blocks=BLOCKS, headings=HEADINGS, out_tags=OUTSIDE_TAGS, in_tags=INSIDE_TAGS, out_words=OUTSIDE_WORDS, in_words=INSIDE_WORDS, about=ABOUT, lacking=LACKING, joining=JOINING).items()}
 
 #: Words counted of a block or its neighbour; more tell nothing more.
 _FEW = 40
 
 
-def _names(rest: str) -> set[str]:
-    """Words of an element's class, id and role; camelCase counts as several."""
-    found = _NAMED.findall(rest) if rest else None
-    return {w.lower() for w in _WORD.findall(" ".join(found))} if found else set()
+def _names(rest: str) -> list[list[str]]:
+    """The words of each name in an element's class, id and role; camelCase counts as several."""
+    found = _NAMED.findall(rest) if rest else ()
+    return [[w.lower() for w in _WORD.findall(name)] for value in found for name in value.split()]
+
+
+def _named(rest: str, article: bool = False) -> int:
+    """What the names of an element say: -1 outside the article, 1 inside, 0 nothing.
+
+    A name that tells what a thing is about says nothing, nor does one made of a heading. An article or main
+    element is outside only if a whole name says so, and no other that it is the article.
+    """
+    outside = inside = False
+    for words in _names(rest):
+        if not words or len(words) > 1 and (words[0] in _SETS["about"] or words[-1] in _SETS["lacking"]):
+            continue
+        if len(words) > 2 and any(w in _SETS["joining"] for w in words[1:-1]):
+            continue
+        if not article or len(words) == 1:
+            outside |= any(w in _SETS["out_words"] for w in words)
+        inside |= any(w in _SETS["in_words"] for w in words)
+    if article and inside:
+        return 1
+    return -1 if outside else int(inside)
 
 
 class _Context:
@@ -81,8 +106,7 @@ class _Context:
         if tag == "header" and any(t > 0 for _, t, _ in self.open):
             by_tag = 0  # an article's own header, not the page's
         # Names on the page's own frame ("with-sidebar") say nothing of the text in it.
-        words = set() if tag in ("html", "body", "main") else _names(rest)
-        by_name = -1 if words & _SETS["out_words"] else 1 if words & _SETS["in_words"] else 0
+        by_name = 0 if tag in ("html", "body", "main") else _named(rest, tag == "article")
         self.open.append((tag, by_tag, by_name))
 
     def end(self, tag: str) -> None:
@@ -148,7 +172,7 @@ def blocks(page: str) -> list[tuple[str, int, str, tuple]]:
                 in_link = False
                 if name in _SETS["containers"]:
                     context.begin(name, m["rest"])
-                elif m["rest"] and _names(m["rest"]) & _SETS["out_words"]:
+                elif m["rest"] and _named(m["rest"]) < 0:
                     tag = "-" + name
                     continue
                 tag = name

@@ -28,6 +28,24 @@ PAGES = {
 }
 
 
+NAMES = {
+    "about": ("<main><article class='post category-reviews tag-social'><h1>Head</h1><p>Oi.</p><p>" + LONG + "</p></article></main>", f"Head\nOi.\n{LONG}"),
+    "lacking": ("<article class='entry notice-free'><p>A.</p><p>" + LONG + "</p></article><div class='notice'>" + LONG + "</div>", f"A.\n{LONG}"),
+    "heading": ("<main><h1>Law</h1><section id='comments-on-law'><h2>Comments on law</h2><p>" + LONG + "</p><p>B.</p></section></main>", f"Law\nComments on law\n{LONG}\nB."),
+    "math": ("<article><p>The area is <math><mi>x</mi> <mo>=</mo> <mn>2</mn></math> in all.</p></article>", "The area is x = 2 in all."),
+    "object": ("<article><p>See <object data='x'>the map</object> here.</p></article>", "See the map here."),
+    "article of comments": ("<article><p>A.</p></article><article class='comment'><p>" + LONG + "</p></article><article class='related'><p>" + LONG + "</p></article>", "A."),
+    "several names": ("<div class='site footer-links'><p>" + LONG + "</p></div><article class='reviews post'><p>A.</p></article><div class='cookie-consent-banner'><p>" + LONG + "</p></div>", "A."),
+    "has": ("<div class='has-sidebar'><article class='no-comments'><p>A.</p><p>" + LONG + "</p></article></div>", f"A.\n{LONG}"),
+}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_names(name):
+    page, want = NAMES[name]
+    assert H.article(page, TREE) == want
+
+
 @pytest.mark.parametrize("name", PAGES)
 def test_page(name):
     page, want = PAGES[name]
