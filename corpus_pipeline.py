@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import decontaminate, line_chunks, packing, quality, simhash
-from partwise.llm.common import stored, table
+from partwise.llm import decontaminate, line_runs, packing, quality, simhash
+from partwise.llm.common import fresh, stored, table
 from partwise.session import configure
 
 
@@ -22,12 +22,13 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated chunks of lines; one of which nothing is left goes. n_chars is that of the new text."""
+    """Documents without repeated runs of lines; one of which nothing is left goes. n_chars is that of the new text."""
     configure(spark)
-    done = line_chunks.dedup_lines(docs, "__lines", "__removed").filter("__lines = 0 or __removed < __lines")
+    lines, removed = fresh(docs, "lines", "removed")
+    done = line_runs.dedup_runs(docs, lines, removed).filter(f"`{lines}` = 0 or `{removed}` < `{lines}`")
     if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.col("__removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return done.select(*docs.columns)
+        done = done.withColumn("n_chars", F.when(F.col(removed) > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return done.drop(lines, removed)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from partwise.session import shared_dir
 
-LONG = "bigint"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -34,16 +32,22 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """For each name one like it that ``docs`` has no column of."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def rename_clashes(df: DataFrame, names: list[str]) -> DataFrame:
-    """``df`` with columns of the given names moved out of the way (``name`` -> ``_in_name``)."""
-    taken = set(df.columns)
+    """``df`` with columns of the given names moved out of the way (``name`` -> ``_name``)."""
     for name in names:
-        if name in taken:
-            new = f"_in_{name}"
-            while new in taken:
-                new = "_" + new
-            df = df.withColumnRenamed(name, new)
-            taken.add(new)
+        for held in [c for c in df.columns if c.lower() == name.lower()]:
+            df = df.withColumnRenamed(held, fresh(df, name)[0])
     return df
 
 

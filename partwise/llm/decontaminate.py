@@ -7,8 +7,13 @@ windows of the test items are joined to those of all windows of the documents.
 Around each hit the two word sequences are compared along its diagonal, and the
 stretch that scores best (a match 1, a mismatch -2) is a leak if it has MIN_MATCH
 equal words, or MIN_IDENTITY of the item's words if that is less, and MIN_IDENTITY
-of its own words equal. An item of fewer words than a mask spans is hashed whole
-and is a leak where it stands word for word.
+of its own words equal. Where the best stretch is not enough, the whole item beside
+the document is: MIN_IDENTITY of its words in place are a leak too, however they are
+spread. An item of fewer words than a mask spans is hashed whole and is a leak
+where it stands word for word.
+
+Items of few words stand in many documents by chance. ``leaks`` reports them;
+``without_leaks`` removes a document only for items of MIN_ITEM_WORDS or more.
 
 Document windows are hashed where the texts are read and pass a key filter of
 fixed size made of the items' hashes, so what is joined is about as many rows as
@@ -31,13 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partwise.llm.common import ALNUM_WORD, LOWER, column, flat, key_filter, mix, passes, slices, span_hashes, spans, stored, utf8
+from partwise.llm.common import ALNUM_WORD, LOWER, column, flat, key_filter, mix, passes, rename_clashes, slices, span_hashes, spans, stored, utf8
 from partwise.operators.joins import broadcast_if_small
 
 #: Masks over 9 words that hash 6 of them (fixed values).
 MASKS = ("110100111", "101110011", "111001101")
 MIN_MATCH = 10
 MIN_IDENTITY = 0.75
+#: Words of the shortest item for which a document is removed.
+MIN_ITEM_WORDS = 8
 #: Words kept on either side of a region's hits; hits nearer than this share a region.
 CONTEXT = 48
 
@@ -148,6 +155,13 @@ def best_stretch(doc: list[bytes], item: list[bytes], diagonal: int) -> tuple[in
     return lo + start, end - start, int(same[start:end].sum())
 
 
+def whole_item(doc: list[bytes], item: list[bytes], diagonal: int) -> tuple[int, int, int]:
+    """(start in doc, words, equal words) of the whole item beside the document; no words equal if it does not lie within."""
+    if diagonal < 0 or diagonal + len(item) > len(doc):
+        return max(0, diagonal), len(item), 0
+    return diagonal, len(item), sum(a == b for a, b in zip(doc[diagonal:], item))
+
+
 def least_match(n_item: int, span: int, min_match: int, min_identity: float) -> int:
     """Equal words that a leak of an item of ``n_item`` words has at least."""
     return n_item if n_item < span else min(min_match, int(min_identity * n_item))
@@ -159,9 +173,11 @@ def _verified(span: int, min_match: int, min_identity: float):
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                start, n, equal = best_stretch(r["words"], r["item_words"], r["diagonal"])
-                if equal >= least_match(len(r["item_words"]), span, min_match, min_identity) and equal >= min_identity * n:
-                    rows.append((r["doc_id"], r["text_hash"], r["item_id"], r["lo"] + start, n, equal))
+                least = least_match(len(r["item_words"]), span, min_match, min_identity)
+                for start, n, equal in (best_stretch(r["words"], r["item_words"], r["diagonal"]), whole_item(r["words"], r["item_words"], r["diagonal"])):
+                    if equal >= min(least, n) and equal >= min_identity * n:
+                        rows.append((r["doc_id"], r["text_hash"], r["item_id"], r["lo"] + start, n, equal))
+                        break
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
 
@@ -198,10 +214,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
     )
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a leak; columns as they are."""
-    found = leaks(docs, benchmark).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    doc_id, text_hash = _keyed(docs)
-    keyed = docs.withColumns({"__doc_id": doc_id, "__text_hash": text_hash})
-    left = keyed.join(broadcast_if_small(stored(found, "leaks")), F.col("__doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left_anti")
-    return left.drop("__doc_id", "__text_hash")
+def without_leaks(docs: DataFrame, benchmark: DataFrame, min_item_words: int = MIN_ITEM_WORDS) -> DataFrame:
+    """``docs`` without the documents that hold a leak of an item of ``min_item_words`` words or more; columns as they are."""
+    # With one space around every word there is one space more than words.
+    spaced = F.regexp_replace(F.concat(F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" ")), r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+", " ")
+    long = benchmark.select("item_id", "text").filter(F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit(""))) - 1 >= min_item_words)
+    found = leaks(docs, long).select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash")).distinct()
+    found = stored(found, "leaks")
+    rows = rename_clashes(docs, ["leak_id", "leak_hash"])
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("leak_id")) & (text_hash == F.col("leak_hash"))
+    return rows.join(broadcast_if_small(found), same, "left_anti").toDF(*docs.columns)

@@ -1,16 +1,23 @@
-"""Line dedup by whole repeated runs of lines.
-
-Every two neighbouring lines with a word are a pair, so pairs overlap and no
-boundary has to fall anywhere. A pair that stands earlier, by (doc_id, hash of
-the text, line), loses both of its lines; the lines of its first occurrence
-stay. So a run of two lines or more that stands earlier in one piece goes from
-its first line to its last, whatever is around it, and every line is left where
-it stands first of all.
-
-Pair keys are counted over all documents; only places of pairs whose key repeats
-are shuffled, which a fixed-size key filter decides where the texts are read.
-The bytes of the lines of such pairs are compared, each once a task: lines that
-share a hash but not their bytes are told apart by a second hash.
+"""Line dedup by content-defined chunks of lines, grown to whole repeated runs.
+
+Lines with a word are hashed, and rolling hashes over the last lines decide where a
+chunk begins and ends, so that boundaries come back wherever the lines do, however
+far a passage is shifted. There are several chunkings of a text, independent of each
+other, most of them with a window of one line: whatever stands around a passage,
+some chunks lie within it, however short it is.
+
+Chunks are counted over all documents. Lines of chunks that repeat are seeds, and
+each seed is grown by the lines beside it: every pair of neighbouring lines with a
+seed in it is looked up. Pairs overlap, so a run is followed to its ends, also
+where its seeds are some lines apart. A pair that stands earlier, by (doc_id, hash
+of the text, line), loses both of its lines; the lines of its first occurrence stay.
+So a run of two lines or more that stands earlier in one piece goes from its first
+line to its last, and every line is left where it stands first of all.
+
+Only places of pairs with a seed are shuffled, which a fixed-size key filter of the
+repeated chunks decides where the texts are read. Equality is that of bytes: the
+lines of such pairs are compared, each once a task, and lines that share a hash but
+not their bytes are told apart by a second hash.
 
 Cases: NULL text stays NULL (no lines). A NULL doc_id comes before all others.
 Rows equal in doc_id and text get the same result; other rows sharing a doc_id
@@ -31,10 +38,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from partwise.llm.common import column, key_filter, mix, passes, slices, stored, utf8
+from partwise.llm.common import column, fresh, key_filter, mix, passes, slices, stored, utf8
 
 _ID = ["doc_id", "text_hash"]
 _SLICE = 1 << 22
+#: Lines that the rolling hash of each chunking spans.
+WINDOWS = (1, 1, 1, 1, 1, 1, 2, 3)
 
 
 def _lines(text: bytes) -> tuple[list[bytes], np.ndarray]:
@@ -43,8 +52,47 @@ def _lines(text: bytes) -> tuple[list[bytes], np.ndarray]:
     return lines, np.fromiter(map(xxhash.xxh64_intdigest, lines), np.uint64, len(lines))
 
 
-def _key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mix(a * np.uint64(3) + mix(b))
+def chunks(h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(first line, line after the last) of the chunks of each chunking of line hashes.
+
+    A chunk ends behind a line whose rolling hash has its lowest bit set, and begins at one whose next bit is set; so either
+    end of a chunk is decided by the lines in it, or by those beside it.
+    """
+    for number, window in enumerate(WINDOWS):
+        roll = np.full(len(h), number + 1, np.uint64)
+        for k in range(window):  # of the lines up to this one
+            roll[k:] = mix(roll[k:] + h[: len(h) - k])
+        ends, begins = (roll & np.uint64(1)) == 1, (roll >> np.uint64(1) & np.uint64(1)) == 1
+        cut = np.flatnonzero(ends[:-1] | begins[1:]) + 1
+        yield np.concatenate(([0], cut)), np.concatenate((cut, [len(h)]))
+
+
+def chunk_keys(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first, end) of the distinct chunks of a text, all chunkings together."""
+    first, end = (np.concatenate(x) for x in zip(*chunks(h)))
+    span = np.unique(first * (len(h) + 1) + end)
+    first, end = np.divmod(span, len(h) + 1)
+    # The hash of a chunk from prefix sums: a polynomial of its line hashes, by place.
+    place = np.full(len(h) + 1, 0x9E3779B97F4A7C15, np.uint64)
+    place[0] = 1
+    inverse = np.full(len(h) + 1, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64)
+    inverse[0] = 1
+    place, inverse = np.multiply.accumulate(place), np.multiply.accumulate(inverse)
+    total = np.concatenate(([np.uint64(0)], np.cumsum(mix(h) * place[:-1], dtype=np.uint64)))
+    return mix((total[end] - total[first]) * inverse[first] + (end - first).astype(np.uint64)), first, end
+
+
+def seeded_pairs(h: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of the pairs of neighbouring lines of which one is in a chunk that passes the key filter."""
+    key, first, end = chunk_keys(h)
+    hit = passes(wanted, key)
+    if not hit.any():
+        return np.zeros(0, np.int64)
+    change = np.zeros(len(h) + 1, np.int64)
+    np.add.at(change, first[hit], 1)
+    np.add.at(change, end[hit], -1)
+    seed = np.cumsum(change[:-1]) > 0
+    return np.flatnonzero(seed[:-1] | seed[1:])
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple[list[bytes], np.ndarray]]]]:
@@ -54,21 +102,23 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunk keys and how often a slice has them; those of texts of one line are none."""
     for _, texts in _texts(batches):
-        keys = [_key(h[:-1], h[1:]) for _, h in texts if len(h) > 1]
+        keys = [chunk_keys(h)[0] for _, h in texts if len(h) > 1]
         if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64))], ["key"])
+            key, n = np.unique(np.concatenate(keys), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
 
 def _bodies(wanted):
-    """(h, body) of the lines of pairs that pass the key filter, each once a slice."""
+    """(h, body) of the lines of pairs with a seed, each once a slice."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _texts(batches):
             found = set()
             for lines, h in texts:
                 if len(h) > 1:
-                    hit = np.flatnonzero(passes(wanted.value, _key(h[:-1], h[1:])))
+                    hit = seeded_pairs(h, wanted.value)
                     at = np.union1d(hit, hit + 1).tolist()
                     found.update(zip(h[at].view(np.int64).tolist(), (lines[i] for i in at)))
             if found:
@@ -83,7 +133,7 @@ def shared_hashes(bodies: DataFrame) -> DataFrame:
 
 
 def _places(wanted, shared):
-    """(doc_id, text_hash, at, a, b) of pairs that pass the key filter; a and b stand for the bytes of their lines."""
+    """(doc_id, text_hash, at, a, b) of pairs with a seed; a and b stand for the bytes of their lines."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _texts(batches):
@@ -91,7 +141,7 @@ def _places(wanted, shared):
             for row, (lines, h) in enumerate(texts):
                 if len(h) < 2:
                     continue
-                hit = np.flatnonzero(passes(wanted.value, _key(h[:-1], h[1:])))
+                hit = seeded_pairs(h, wanted.value)
                 for i in np.flatnonzero(passes(shared.value, h)).tolist():
                     h[i] = xxhash.xxh64_intdigest(lines[i], 7)
                 rows.append(np.full(len(hit), row))
@@ -109,7 +159,7 @@ def _places(wanted, shared):
 def repeated_pairs(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, at, overlaps) of pairs equal to an earlier one; ``overlaps`` if that begins one line before."""
     spark = docs.sparkSession
-    counts = docs.mapInArrow(_keys, "key bigint").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    counts = docs.mapInArrow(_keys, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
     wanted = spark.sparkContext.broadcast(key_filter(counts.filter("n > 1"), "key"))
     shared = spark.sparkContext.broadcast(key_filter(shared_hashes(docs.mapInArrow(_bodies(wanted), "h bigint, body binary")), "h"))
     places = stored(docs.mapInArrow(_places(wanted, shared), "doc_id bigint, text_hash bigint, at int, a bigint, b bigint"), "line-pairs")
@@ -132,19 +182,19 @@ def without_pairs(text: bytes, gone: Iterable[int]) -> tuple[bytes, int]:
     return b"\n".join(line for i, line in enumerate(lines) if i not in drop), sum(1 for i in at if i in drop)
 
 
-def _without(names: list[str]):
-    """Take the pairs listed in ``__gone`` out of the text."""
+def _without(names: list[str], raw_name: str, gone_name: str, counts: list[str]):
+    """Take the pairs listed in a column out of the text."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, total, removed = [], [], []
-            for raw, gone in zip(column(batch, "__raw"), column(batch, "__gone")):
+            for raw, gone in zip(column(batch, raw_name), column(batch, gone_name)):
                 text, codes = raw.as_py(), gone.as_py()
                 total.append(0 if text is None else sum(1 for x in text.split(b"\n") if x.strip()))
                 text, lost = without_pairs(text, codes) if codes else (text, 0)
                 texts.append(text)
                 removed.append(lost)
-            cols = {"__n": pa.array(total, pa.int64()), "__removed": pa.array(removed, pa.int64()), "text": pa.array(texts, pa.binary()).cast(pa.string())}
+            cols = {counts[0]: pa.array(total, pa.int64()), counts[1]: pa.array(removed, pa.int64()), "text": pa.array(texts, pa.binary()).cast(pa.string())}
             yield pa.RecordBatch.from_arrays([cols[c] if c in cols else column(batch, c) for c in names], names)
 
     return read
@@ -153,12 +203,12 @@ def _without(names: list[str]):
 def dedup_runs(docs: DataFrame, lines: str = "n_lines", removed: str = "n_removed_lines") -> DataFrame:
     """``docs`` with repeated runs of lines taken out of ``text``, and two more columns: lines with a word, and those removed."""
     identity = [F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")]
+    raw, own, gone_id, gone_hash, gone, n, lost = fresh(docs, "raw", "own_hash", "gone_id", "gone_hash", "gone", "n", "lost")
     code = (F.col("at").cast("bigint") * 2 + F.col("overlaps").cast("bigint")).alias("code")
-    gone = repeated_pairs(docs.select(*identity, utf8().alias("text"))).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), code)
-    gone = gone.groupBy("__id", "__hash").agg(F.collect_set("code").alias("__gone"))
-    rows = docs.withColumn("__text_hash", identity[1]).withColumn("__raw", F.col("text").cast("binary"))
-    joined = rows.drop("text").join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left")
-    joined = joined.drop("__id", "__hash", "__text_hash")
-    out = StructType([*docs.schema.fields, StructField("__n", LongType()), StructField("__removed", LongType())])
-    done = joined.mapInArrow(_without(out.fieldNames()), out)
-    return done.withColumnsRenamed({"__n": lines, "__removed": removed})
+    found = repeated_pairs(docs.select(*identity, utf8().alias("text"))).select(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_hash), code)
+    found = found.groupBy(gone_id, gone_hash).agg(F.collect_set("code").alias(gone))
+    rows = docs.withColumn(own, identity[1]).withColumn(raw, F.col("text").cast("binary"))
+    joined = rows.drop("text").join(found, F.col("doc_id").cast("bigint").eqNullSafe(F.col(gone_id)) & (F.col(own) == F.col(gone_hash)), "left")
+    joined = joined.drop(gone_id, gone_hash, own)
+    out = StructType([*docs.schema.fields, StructField(n, LongType()), StructField(lost, LongType())])
+    return joined.mapInArrow(_without(out.fieldNames(), raw, gone, [n, lost]), out).toDF(*docs.columns, lines, removed)

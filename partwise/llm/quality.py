@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partwise.llm.common import LOWER, PLAIN_WORD, column, flat, mix, slices, span_hashes, spans, stored, utf8
+from partwise.llm.common import LOWER, PLAIN_WORD, column, flat, fresh, key_filter, mix, passes, slices, span_hashes, spans, stored, utf8
 from partwise.llm.line_rules import repeated_words
 
 STATISTICS = 20
@@ -201,15 +201,28 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``; columns as they are."""
-    model = fit(stored(described(docs), "quality-statistics"), labels)
+    """The rows of ``docs`` that score at least ``threshold``; columns as they are, whatever their names.
+
+    The model needs the statistics of labelled rows only; those of all others are
+    computed once, where they are scored and kept.
+    """
+    ids = F.xxhash64(F.col("doc_id").cast("bigint"))
+    wanted = docs.sparkSession.sparkContext.broadcast(key_filter(labels.select(ids.alias("key")), "key"))
+    text, key = fresh(docs, "text_bytes", "id_hash")
+
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(passes(wanted.value, column(batch, key).to_numpy().view(np.uint64))))
+
+    some = docs.select("doc_id", "text", ids.alias(key))
+    model = fit(stored(described(some.mapInArrow(labelled, some.schema)), "quality-statistics"), labels)
     names = docs.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for batch in slices(big, "__raw"):
-                good = model.score(statistics(column(batch, "__raw"))) >= threshold
+            for batch in slices(big, text):
+                good = model.score(statistics(column(batch, text))) >= threshold
                 found = batch.filter(pa.array(good))
                 yield pa.RecordBatch.from_arrays([column(found, c) for c in names], names)
 
-    return docs.withColumn("__raw", utf8()).mapInArrow(keep, docs.schema)
+    return docs.withColumn(text, utf8()).mapInArrow(keep, docs.schema)

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partwise.llm.common import LOWER, column, stored, utf8
+from partwise.llm.common import LOWER, column, fresh, rename_clashes, stored, utf8
 from partwise.llm.components import components
 from partwise.operators.joins import broadcast_if_small
 
@@ -333,12 +333,15 @@ def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3, crowd: int
     best = rows.groupBy("root").agg(F.min(place).alias("best"))
     lost = rows.join(best, "root").filter(place != F.col("best"))
     doc_id, text_hash = _keyed()
-    keyed = docs.withColumns({"__id": doc_id, "__hash": text_hash})
-    same = lambda found: F.col("__id").eqNullSafe(found["doc_id"]) & (F.col("__hash") == found["text_hash"])
-    lost = stored(lost.select("doc_id", "text_hash"), "simhash-lost")
-    kept = keyed.join(broadcast_if_small(lost), same(lost), "left_anti")
-    twice = rows.filter("n > 1").select("doc_id", "text_hash")
+    id_name, hash_name = fresh(docs, "own_id", "own_hash")
+    keyed = docs.withColumns({id_name: doc_id, hash_name: text_hash})
+    sided = lambda found: found.select(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"))
+    kept = rename_clashes(keyed, ["found_id", "found_hash"])
+    names = kept.columns
+    same = F.col(id_name).eqNullSafe(F.col("found_id")) & (F.col(hash_name) == F.col("found_hash"))
+    kept = kept.join(broadcast_if_small(stored(sided(lost), "simhash-lost")), same, "left_anti")
+    twice = sided(rows.filter("n > 1"))
     if not twice.isEmpty():  # rows equal in id and text: one of them
-        single = kept.join(twice, same(twice), "left_anti")
-        kept = single.unionByName(kept.join(twice, same(twice), "left_semi").dropDuplicates(["__id", "__hash"]))
-    return kept.drop("__id", "__hash")
+        single = kept.join(twice, same, "left_anti")
+        kept = single.unionByName(kept.join(twice, same, "left_semi").dropDuplicates([id_name, hash_name]))
+    return kept.select(*[F.col(f"`{c}`") for c in names if c not in (id_name, hash_name)]).toDF(*docs.columns)

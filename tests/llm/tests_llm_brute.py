@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from test_decontaminate import brute
-from test_line_chunks import brute as lines
+from test_line_runs import brute as lines
 from test_simhash import brute_components, brute_fingerprint
 
 
 def brute_lines(rows):
-    """Texts without repeated chunks; documents of which nothing is left are gone."""
+    """Texts without repeated runs of lines; documents of which nothing is left are gone."""
     done = lines(rows)
     return [(d, done[d][0]) for d, t in rows if not t.strip() or done[d][1] < sum(1 for x in t.split("\n") if x.strip())]
 
