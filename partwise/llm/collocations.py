@@ -351,9 +351,9 @@ def oracle_sql(least: int = 10, share: int = 50, top: int = 2000) -> str:
 with pieces as (
   select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
   from documents),
-worded as (select lang, list_filter(regexp_split_to_array(piece, '[ \\t]'), w -> w <> '') as ws from pieces),
+worded as (select lang, list_filter(regexp_split_to_array(piece, '[ \\t]'), lambda w: w <> '') as ws from pieces),
 grams as (
-  select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), i -> ws[i:i + k - 1])) as ws
+  select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])) as ws
   from worded, range(1, 4) t(k) where len(ws) >= k),
 f as (select lang, k, ws, count(*) as n from grams group by all),
 total as (select lang, sum(n)::bigint as n from f where k = 1 group by lang),
