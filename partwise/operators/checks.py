@@ -246,67 +246,65 @@ def _keys(numbered: list[tuple[int, Check]]) -> tuple[dict[tuple[str, str], int]
     return tags, domain
 
 
-#: Domain of the sums of a table that are not of a key column.
-_ROWS = "#rows"
+#: Domains of a table without keys, and of the violations of row checks (by position).
+_NO_KEY, _ROWS = "#none", "#rows"
 
 
-def _counted(table: DataFrame, keys: list[tuple[str, str, int]], sums: list[tuple[int, Check]], bad: list[tuple[int, Check]], width: int) -> DataFrame:
-    """(domain, key, tag, n, sums) of one table, in one pass over it.
+def _struct(domain: str, key: str, tag: str, n: str) -> str:
+    return f"named_struct('domain', {domain}, 'key', {key}, 'tag', {tag}, 'n', {n})"
 
-    ``keys`` are (column, domain, tag). The violations of a row are counted with its
-    first key (or under _ROWS, without one); a bad value of an accepted_values
-    check is a key of the check's own domain.
+
+def _counted(table: DataFrame, keys: list[tuple[str, str, int]], sums: list[tuple[int, Check]], bad: list[tuple[int, Check]]) -> DataFrame:
+    """(domain, key, tag, n) of one table, in one pass over it.
+
+    ``keys`` are (column, domain, tag). The rows are counted by key, with the
+    violations of row checks summed beside the first key (or all rows, without one);
+    sums that are not 0 become counts of their own, by the check's position. A bad
+    value of an accepted_values check is a key of the check's own domain.
     """
     cells = [f"named_struct('domain', '{domain}', 'key', cast({_q(column)} as string), 'tag', {tag})" for column, domain, tag in keys]
     if not cells:
-        cells.append(f"named_struct('domain', '{_ROWS}', 'key', cast(null as string), 'tag', -1)")
+        cells.append(f"named_struct('domain', '{_NO_KEY}', 'key', cast(null as string), 'tag', -1)")
     cells += [f"case when {violation(check)} then named_struct('domain', '#bad{pos}', 'key', cast({_q(check.column)} as string), 'tag', -1) end" for pos, check in bad]
     flags = [f"cast({violation(check)} as int) as f{pos}" for pos, check in sums]
     if len(cells) == 1:
         rows = table.selectExpr(f"{cells[0]} as cell", "0 as place", *flags)
     else:
         rows = table.selectExpr(f"posexplode(array({', '.join(cells)})) as (place, cell)", *flags).filter("cell is not null")
-    own = rows.groupBy("cell.domain", "cell.key", "cell.tag")
-    # One row of the table has several cells; its violations belong to the first.
-    totals = [F.expr(f"sum(if(place = 0, f{pos}, 0))").alias(f"r{pos}") for pos, _ in sums]
-    found = own.agg(F.count(F.lit(1)).alias("n"), *totals)
-    held = ", ".join([f"cast(r{pos} as bigint)" for pos, _ in sums] + ["0L"] * (width - len(sums)))
-    return found.selectExpr("domain", "key", "tag", "n", f"array({held}) as sums")
+    totals = [F.expr(f"sum(f{pos})" if len(cells) == 1 else f"sum(if(place = 0, f{pos}, 0))").alias(f"r{pos}") for pos, _ in sums]
+    found = rows.groupBy("cell.domain", "cell.key", "cell.tag").agg(F.count(F.lit(1)).alias("n"), *totals)
+    out = [_struct("domain", "key", "tag", "n")] + [f"case when r{pos} > 0 then {_struct(repr(_ROWS), repr(str(pos)), '-1', f'r{pos}')} end" for pos, _ in sums]
+    return found.selectExpr(f"inline(array_compact(array({', '.join(out)})))")
 
 
 def _one_pass(tables: dict[str, DataFrame], numbered: list[tuple[int, Check]]) -> DataFrame:
     """All given checks, each table read once."""
     tags, domain = _keys([(i, c) for i, c in numbered if c.kind in (UNIQUE, RELATIONSHIPS)])
-    models = list(dict.fromkeys([c.model for _, c in numbered] + [model for model, _ in tags]))
-    sums = {m: [(i, c) for i, c in numbered if c.model == m and c.kind in ROW_KINDS] for m in models}
-    width = max([1, *map(len, sums.values())])
     frames = []
-    for number, m in enumerate(models):
+    for m in dict.fromkeys([c.model for _, c in numbered] + [model for model, _ in tags]):
         keys = [(column, domain[model, column], tag) for (model, column), tag in tags.items() if model == m]
-        bad = [(i, c) for i, c in numbered if c.model == m and c.kind == ACCEPTED]
-        frames.append(_counted(tables[m], keys, sums[m], bad, width).withColumn("model", F.lit(number)))
-    place = {pos: (models.index(m), k) for m, held in sums.items() for k, (pos, _) in enumerate(held)}
-    by_key = union_all(frames).groupBy("domain", "key").agg(
-        *[F.expr(f"sum(n) filter (where tag = {tag})").alias(f"n{tag}") for tag in tags.values()],
-        F.sum("n").alias("n"),
-        *[F.expr(f"sum(sums[{k}]) filter (where model = {m})").alias(f"r{pos}") for pos, (m, k) in place.items()],
-    )
-    totals, cells = [], []
+        of = lambda *kinds: [(i, c) for i, c in numbered if c.model == m and c.kind in kinds]  # noqa: B023, E731
+        frames.append(_counted(tables[m], keys, of(*ROW_KINDS), of(ACCEPTED)))
+    by_key = union_all(frames).groupBy("domain", "key").agg(*[F.expr(f"sum(n) filter (where tag = {tag})").alias(f"n{tag}") for tag in tags.values()], F.sum("n").alias("n"))
+    # What each key adds to a check: (position, failures, failing rows).
+    adds = lambda pos, hit, failures, rows: f"case when {hit} then named_struct('position', {pos}, 'failures', cast({failures} as bigint), 'failing_rows', cast({rows} as bigint)) end"
+    cells = [adds("cast(key as int)", f"domain = '{_ROWS}'", "n", "n")]
     for pos, check in numbered:
-        failures = rows = f"r{pos}"
-        if check.kind in ROW_KINDS:
-            totals.append(f"coalesce(sum(r{pos}), 0) as r{pos}")
-        else:
-            failures, rows = f"k{pos}", f"s{pos}"
-            if check.kind == ACCEPTED:
-                hit, n = f"domain = '#bad{pos}'", "n"
-            else:
-                n = f"n{tags[check.model, check.column]}"
-                hit = f"key is not null and {n} > 1" if check.kind == UNIQUE else f"key is not null and n{tags[check.to_model, check.to_field]} is null"
-            counted = f"coalesce(sum({n}) filter (where {hit}), 0)"
-            totals += [f"{counted if check.kind == RELATIONSHIPS else f'count_if({hit})'} as {failures}", f"{counted} as {rows}"]
-        cells.append(_result(pos, check, failures, rows))
-    return _explode_results(by_key.selectExpr(*totals), cells)
+        n = f"n{tags.get((check.model, check.column))}"
+        if check.kind == ACCEPTED:
+            cells.append(adds(pos, f"domain = '#bad{pos}'", "1", "n"))
+        elif check.kind == UNIQUE:
+            cells.append(adds(pos, f"key is not null and {n} > 1", "1", n))
+        elif check.kind == RELATIONSHIPS:
+            cells.append(adds(pos, f"key is not null and {n} is not null and n{tags[check.to_model, check.to_field]} is null", n, n))
+    found = by_key.selectExpr(f"inline(array_compact(array({', '.join(cells)})))").selectExpr("position", *[f"cast(null as string) as {c}" for c in ("model", "column_name", "test_name", "check_id")], "failures", "failing_rows")
+    # One row of each check, so that those that nothing violates are there.
+    spark = by_key.sparkSession
+    listed = spark.createDataFrame([(i, c.model, c.column, c.kind, c.check_id, 0, 0) for i, c in numbered], RESULT_SCHEMA.rsplit(", status", 1)[0])
+    names = [F.max(c).alias(c) for c in ("model", "column_name", "test_name", "check_id")]
+    return listed.unionByName(found).groupBy("position").agg(*names, F.sum("failures").alias("failures"), F.sum("failing_rows").alias("failing_rows")).withColumn(
+        "status", F.when(F.col("failures") > 0, "fail").otherwise("pass")
+    )
 
 
 def run_checks(
