@@ -297,7 +297,8 @@ def _one_pass(tables: dict[str, DataFrame], numbered: list[tuple[int, Check]]) -
             cells.append(adds(pos, f"key is not null and {n} > 1", "1", n))
         elif check.kind == RELATIONSHIPS:
             cells.append(adds(pos, f"key is not null and {n} is not null and n{tags[check.to_model, check.to_field]} is null", n, n))
-    found = by_key.selectExpr(f"inline(array_compact(array({', '.join(cells)})))").selectExpr("position", *[f"cast(null as string) as {c}" for c in ("model", "column_name", "test_name", "check_id")], "failures", "failing_rows")
+    found = by_key.selectExpr(f"inline(array_compact(array({', '.join(cells)})))").groupBy("position").agg(F.sum("failures").alias("failures"), F.sum("failing_rows").alias("failing_rows"))
+    found = found.selectExpr("position", *[f"cast(null as string) as {c}" for c in ("model", "column_name", "test_name", "check_id")], "failures", "failing_rows")
     # One row of each check, so that those that nothing violates are there.
     spark = by_key.sparkSession
     listed = spark.createDataFrame([(i, c.model, c.column, c.kind, c.check_id, 0, 0) for i, c in numbered], RESULT_SCHEMA.rsplit(", status", 1)[0])
