@@ -15,10 +15,12 @@ are counted first; only sets with a repeated key are looked at again.
 * A key of a few sets gives their pairs.
 * A key of more than SMALL sets gives its sets' pairs with one of them. When
   those are verified, its sets are in few components, and only sets of different
-  components can still miss a link: those outside the key's main component meet
-  all others, block by block, and registers decide. First each set's most similar
-  others are verified, then what still lies between components. So a
-  group of copies costs its size, not its square, and no link is lost.
+  components can still miss a link. Those outside the key's main component meet
+  all others, block by block, and registers say which could be linked; of these
+  a spanning forest is handed on, and its components are cohorts. The members of
+  a cohort meet again, block by block with their texts, and a block's links are
+  found on whole sets, again as a forest over the components there were. So a
+  group of copies gives rows by its size, not its square, and no link is lost.
 
 Estimate. Of the buckets filled in either set, those with equal registers less the
 expected number of collisions (sets of these sizes by chance) give the similarity;
@@ -37,6 +39,7 @@ rows. Other columns are ignored. A text is held whole in its task.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +57,8 @@ ROWS = 5
 BANDS = BUCKETS // ROWS
 #: Sets up to which a band key gives all its pairs.
 SMALL = 8
-#: Sets of a block in the comparison of a crowded key; most similar others that are verified first.
-BLOCK, BEST = 1024, 2
+#: Sets of a block, by registers and by texts.
+BLOCK, TEXT_BLOCK = 1024, 512
 #: Partners of a text that one task verifies at once.
 PARTNERS = 256
 #: Standard deviations under the threshold from which an estimate rules a pair out.
@@ -177,15 +180,22 @@ def _small_pairs(percent: int):
     return read
 
 
+@cache
+def _cell_chances() -> tuple[np.ndarray, np.ndarray]:
+    """Over the binary logarithm of the elements a bucket has of both sets, the chance, by element of either, of one cell."""
+    place = np.linspace(-40, 40, 8001)
+    both, total = 2.0**place, np.zeros(8001)
+    for zeros in range(40):
+        low = 2.0 ** -(zeros + 1)
+        total += low / (1 << MANTISSA) * (np.exp(-both * low) - np.exp(-both * 2 * low))
+    return place, total
+
+
 def expected_collisions(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Expected number of equal registers of sets of n and m elements that share none: within each power of two of the hash
     range, smallest hashes at exponential places fall into the same of 2**MANTISSA cells."""
     n, m = np.maximum(n / BUCKETS, 1e-9), np.maximum(m / BUCKETS, 1e-9)
-    total = np.zeros(np.broadcast(n, m).shape)
-    for zeros in range(40):
-        low, high = 2.0 ** -(zeros + 1), 2.0**-zeros
-        total += n * m / (n + m) * low / (1 << MANTISSA) * (np.exp(-(n + m) * low) - np.exp(-(n + m) * high))
-    return BUCKETS * total
+    return BUCKETS * n * m / (n + m) * np.interp(np.log2(n + m), *_cell_chances())
 
 
 def similar(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -193,9 +203,26 @@ def similar(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, percent:
     equal = ((a == b) & (a != 0)).sum(axis=-1)
     filled = np.maximum(((a != 0) | (b != 0)).sum(axis=-1), 1)
     estimate = (equal - expected_collisions(n, m)) / filled
-    s = percent / 100
     possible = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
-    return estimate, possible & (estimate >= s - SIGMAS * np.sqrt(s * (1 - s) / filled) - 1 / filled)
+    return estimate, possible & (estimate >= _least(filled, percent))
+
+
+def _least(filled: np.ndarray, percent: int) -> np.ndarray:
+    s = percent / 100
+    return s - SIGMAS * np.sqrt(s * (1 - s) / filled) - 1 / filled
+
+
+def like(one: np.ndarray, n: int, others: np.ndarray, m: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, estimates) of the others that ``similar`` finds possible beside one. Most are ruled out by their sizes and
+    by their equal registers alone, as collisions only lower an estimate."""
+    at = np.flatnonzero(100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+    # No register has the value that stands for an empty bucket here; counted as bits, 64 at once.
+    same = np.packbits(others[at] == np.where(one == 0, np.uint16(0xFFFF), one), axis=1)
+    equal = np.bitwise_count(same.view(np.uint64)).sum(axis=1)
+    filled = np.count_nonzero(one)  # at least
+    at = at[equal >= _least(np.maximum(filled, 1), percent) * filled]
+    estimate, ok = similar(one[None], others[at], np.full(len(at), n), m[at], percent)
+    return at[ok], estimate[ok]
 
 
 def _estimated(percent: int):
@@ -263,75 +290,139 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return stored(dealt.mapInArrow(_verified(percent), _PAIR), "minhash-links")
 
 
-def _between(percent: int, best: int | None):
-    """Pairs of sets of different components from rows sorted by (key, i, j): those outside the main component against a block of all."""
-
-    def compare(rows: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        side = rows["outside"]
-        x, y = np.flatnonzero(side), np.flatnonzero(~side)
-        for i in x.tolist():
-            estimate, ok = similar(rows["registers"][i], rows["registers"][y], rows["n"][i], rows["n"][y], percent)
-            ok &= rows["root"][y] != rows["root"][i]
-            hit = np.flatnonzero(ok)
-            if best is not None and len(hit) > best:
-                hit = hit[np.argsort(-estimate[hit], kind="stable")[:best]]
-            other = rows["set"][y[hit]]
-            yield np.maximum(other, rows["set"][i]), np.minimum(other, rows["set"][i])
-
-    def out(held: list[dict]) -> pa.RecordBatch:
-        rows = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
-        block = np.stack([rows["key"], rows["i"], rows["j"]], axis=1)
-        cuts = np.concatenate(([0], np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1, [len(block)]))
-        found = [np.zeros((2, 0), np.int64)]
-        for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            found += [np.stack(p) for p in compare({c: v[s:e] for c, v in rows.items()})]
-        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+_SPOT = ["key", "i", "j"]
+
+
+def _by_block(find, more: list[str]):
+    """Pairs (a > b) that ``find`` has for each block of rows sorted by (key, i, j), a block at a time; find gets the block's
+    columns, with ``more`` as Arrow arrays."""
+    plain = [*_SPOT, "set", "n", "root", "outside"]
+
+    def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = pa.Table.from_batches(held).combine_chunks()
+        rows = {c: whole.column(c).to_numpy() for c in plain} | {c: whole.column(c).chunk(0) for c in more}
+        a, b = find(rows)
+        pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        held, spot = [], None
         for batch in batches:
             if not len(batch):
                 continue
-            rows = {c: column(batch, c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "set", "n", "root", "outside")}
-            rows["registers"] = _matrix(batch)
-            if held:
-                same = np.ones(len(batch), bool)
-                for c in ("key", "i", "j"):
-                    same &= rows[c] == held[-1][c][-1]
-                n = len(same) if same.all() else int(np.argmin(same))
-                held.append({c: v[:n] for c, v in rows.items()})
-                rows = {c: v[n:] for c, v in rows.items()}
-                if not len(rows["key"]):
-                    continue
-                yield out(held)
-            # All blocks but the last are whole.
-            fresh = (rows["key"] != rows["key"][-1]) | (rows["i"] != rows["i"][-1]) | (rows["j"] != rows["j"][-1])
-            n = int(fresh.nonzero()[0][-1]) + 1 if fresh.any() else 0
-            if n:
-                yield out([{c: v[:n] for c, v in rows.items()}])
-            held = [{c: v[n:] for c, v in rows.items()}]
+            at = np.stack([column(batch, c).to_numpy() for c in _SPOT], axis=1)
+            cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
+            for s, e in zip(cuts[:-1], cuts[1:]):
+                if spot is not None and tuple(at[s]) != spot:
+                    yield out(held)
+                    held = []
+                spot = tuple(at[s])
+                held.append(batch.slice(s, e - s))
         if held:
             yield out(held)
 
     return read
 
 
-def between(crowded: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, best: int | None) -> DataFrame:
-    """Likely pairs (a, b) of sets that share a crowded key, and are in different components; each set's ``best`` of a block, or all."""
-    labelled = crowded.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    labelled = stored(labelled, "minhash-crowd")
-    main = labelled.groupBy("key", "root").agg(F.count(F.lit(1)).alias("many")).groupBy("key")
+def _joined(label: np.ndarray, own: int, others: np.ndarray) -> np.ndarray:
+    """One of the places ``others`` for each label among them that is not ``own``; those labels become ``own``."""
+    found, first = np.unique(label[others], return_index=True)
+    first = first[found != own]
+    label[np.isin(label, found)] = own
+    return others[first]
+
+
+def _possible(percent: int):
+    """A spanning forest of the pairs of different components that the registers allow, those outside the main one against all."""
+
+    def find(rows: dict) -> tuple[np.ndarray, np.ndarray]:
+        raw, _ = flat(rows["registers"])
+        registers, n, root = raw.view(np.uint16).reshape(-1, BUCKETS), rows["n"], rows["root"]
+        label = np.unique(rows["set"], return_inverse=True)[1]
+        y = np.flatnonzero(~rows["outside"])
+        a, b = [], []
+        for i in np.flatnonzero(rows["outside"]).tolist():
+            apart = y[root[y] != root[i]]
+            hit, _ = like(registers[i], n[i], registers[apart], n[apart], percent)
+            if len(hit):
+                found = rows["set"][_joined(label, label[i], apart[hit])]
+                a.append(np.full(len(found), rows["set"][i]))
+                b.append(found)
+        empty = np.zeros(0, np.int64)
+        return np.concatenate([empty, *a]), np.concatenate([empty, *b])
+
+    return _by_block(find, ["registers"])
+
+
+def _linked(percent: int):
+    """Links on whole sets that connect the components of a block, those outside the main one against all."""
+
+    def find(rows: dict) -> tuple[np.ndarray, np.ndarray]:
+        sets = []
+        for cut in slices(pa.RecordBatch.from_arrays([rows["text"]], ["text"]), "text"):
+            raw, offsets = flat(column(cut, "text"))
+            sets += _shingles(LOWER[raw], offsets)
+        size = np.array([len(s) for s in sets])
+        code = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        cut = np.concatenate(([0], np.cumsum(size)))
+        y = np.flatnonzero(~rows["outside"])
+        theirs = np.concatenate([code[cut[k] : cut[k + 1]] for k in y.tolist()]) if len(y) else code[:0]
+        starts = np.concatenate(([0], np.cumsum(size[y])[:-1])) if len(y) else cut[:0]
+        label, mark = np.unique(rows["root"], return_inverse=True)[1], np.zeros(int(code.max(initial=0)) + 1, np.int32)
+        text = lambda k: rows["text"][int(k)].as_py()
+        a, b = [], []
+        for i in np.flatnonzero(rows["outside"]).tolist():
+            if not len(y) or not (label[y] != label[i]).any():
+                continue
+            own = code[cut[i] : cut[i + 1]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[theirs], starts)
+            mark[own] = 0
+            hit = y[(100 * both >= percent * (size[i] + size[y] - both)) & (label[y] != label[i])]
+            while len(hit):
+                # Hashes said so; the words themselves decide.
+                k = int(hit[0])
+                one, other = _text_set(text(i)), _text_set(text(k))
+                if 100 * len(one & other) >= percent * len(one | other):
+                    a.append(rows["set"][i])
+                    b.append(rows["set"][k])
+                    label[label == label[k]] = label[i]
+                    hit = hit[label[hit] != label[i]]
+                else:
+                    hit = hit[1:]
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+    return _by_block(find, ["text"])
+
+
+def _dealt(members: DataFrame, size: int) -> DataFrame:
+    """(key, i, j, set, root, outside): the members (key, set, root) of each key in blocks of about ``size``, so that each one
+    outside the key's main component meets every one. Keys of one component are left out."""
+    main = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("many")).groupBy("key")
     main = main.agg(F.max_by("root", F.struct("many", "root")).alias("main"), F.sum("many").alias("all"), F.max("many").alias("most"))
-    main = stored(main.filter("most < all").select("key", "main", F.ceil(F.col("all") / BLOCK).alias("blocks"), F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("others")), "minhash-main")
-    rows = labelled.join(main, "key")
+    main = stored(main.filter("most < all").select("key", "main", F.ceil(F.col("all") / size).alias("blocks"), F.ceil((F.col("all") - F.col("most")) / size).alias("others")), "minhash-main")
+    rows = members.join(main, "key")
     place = lambda blocks: F.pmod(F.xxhash64("set"), F.col(blocks))
     every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(blocks) - 1))
     outside = rows.filter("root != main").select("key", "set", "root", place("others").alias("i"), every("blocks").alias("j"), F.lit(True).alias("outside"))
     inside = rows.select("key", "set", "root", every("others").alias("i"), place("blocks").alias("j"), F.lit(False).alias("outside"))
-    dealt = outside.unionByName(inside).join(sets.select("set", "n", "registers"), "set")
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.select("key", "i", "j", "set", "n", "root", "outside", "registers").mapInArrow(_between(percent, best), _PAIR).distinct()
+    return outside.unionByName(inside)
+
+
+def crowd_links(docs: DataFrame, crowded: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that the components of ``found`` miss among sets that share a crowded key (key, set)."""
+    star = lambda pairs: components(pairs.select(F.col("a").alias("hi"), F.col("b").alias("lo")))
+    roots = stored(star(found).withColumnRenamed("node", "set"), "minhash-roots")
+    labelled = lambda members: members.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    met = _dealt(stored(labelled(crowded), "minhash-crowd"), BLOCK).join(sets.select("set", "n", "registers"), "set")
+    met = met.repartition(*_SPOT).sortWithinPartitions(*_SPOT).select(*_SPOT, "set", "n", "root", "outside", "registers")
+    possible = stored(met.mapInArrow(_possible(percent), _PAIR).distinct(), "minhash-possible")
+    if possible.isEmpty():
+        return possible
+    cohorts = star(possible).select(F.col("node").alias("set"), F.col("root").alias("key"))
+    met = _dealt(stored(labelled(cohorts), "minhash-cohorts"), TEXT_BLOCK).join(_texts(docs, sets, possible), "set").withColumn("n", F.lit(0).cast("bigint"))
+    met = met.repartition(*_SPOT).sortWithinPartitions(*_SPOT).select(*_SPOT, "set", "n", "root", "outside", "text")
+    return stored(met.mapInArrow(_linked(percent), _PAIR), "minhash-links")
 
 
 def _texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -370,13 +461,7 @@ def links(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     crowded = crowded.select("key", "set")
     if crowded.isEmpty():
         return found
-    for best in (BEST, None):
-        roots = stored(components(found.select(F.col("a").alias("hi"), F.col("b").alias("lo"))).withColumnRenamed("node", "set"), "minhash-roots")
-        more = stored(between(crowded, roots, sets, percent, best), "minhash-between")
-        if more.isEmpty():
-            break
-        found = found.unionByName(verified(more, _texts(docs, sets, more), percent))
-    return found
+    return found.unionByName(crowd_links(docs, crowded, found, sets, percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
