@@ -41,50 +41,48 @@ from pyspark.sql.types import LongType, StructField, StructType
 from partwise.llm.common import column, fresh, key_filter, mix, passes, slices, stored, utf8
 
 _ID = ["doc_id", "text_hash"]
-_SLICE = 1 << 22
+_SLICE = 1 << 20
 #: Lines that the rolling hash of each chunking spans.
 WINDOWS = (1, 1, 1, 1, 1, 1, 2, 3)
 
 
-def _lines(text: bytes) -> tuple[list[bytes], np.ndarray]:
-    """The lines with a word, and their hashes."""
-    lines = [line for line in text.split(b"\n") if line.strip()]
-    return lines, np.fromiter(map(xxhash.xxh64_intdigest, lines), np.uint64, len(lines))
-
-
-def chunks(h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(first line, line after the last) of the chunks of each chunking of line hashes.
+def chunks(h: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(first line, line after the last) of the chunks of each chunking, from the line hashes of texts one after the other, and
+    the place of each line in its text.
 
     A chunk ends behind a line whose rolling hash has its lowest bit set, and begins at one whose next bit is set; so either
-    end of a chunk is decided by the lines in it, or by those beside it.
+    end of a chunk is decided by the lines in it, or by those beside it. It ends with its text.
     """
     for number, window in enumerate(WINDOWS):
         roll = np.full(len(h), number + 1, np.uint64)
         for k in range(window):  # of the lines up to this one
-            roll[k:] = mix(roll[k:] + h[: len(h) - k])
+            at = np.flatnonzero(place >= k) if k else slice(None)
+            roll[at] = mix(roll[at] + (h[at - k] if k else h))
         ends, begins = (roll & np.uint64(1)) == 1, (roll >> np.uint64(1) & np.uint64(1)) == 1
-        cut = np.flatnonzero(ends[:-1] | begins[1:]) + 1
+        cut = np.flatnonzero(ends[:-1] | begins[1:] | (place[1:] == 0)) + 1
         yield np.concatenate(([0], cut)), np.concatenate((cut, [len(h)]))
 
 
-def chunk_keys(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first, end) of the distinct chunks of a text, all chunkings together."""
-    first, end = (np.concatenate(x) for x in zip(*chunks(h)))
+def chunk_keys(h: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first, end) of the distinct chunks of texts of more than one line, all chunkings together."""
+    first, end = (np.concatenate(x) for x in zip(*chunks(h, place)))
     span = np.unique(first * (len(h) + 1) + end)
     first, end = np.divmod(span, len(h) + 1)
+    alone = (end - first == 1) & (place[first] == 0) & (np.append(place[1:], 0)[first] == 0)
+    first, end = first[~alone], end[~alone]
     # The hash of a chunk from prefix sums: a polynomial of its line hashes, by place.
-    place = np.full(len(h) + 1, 0x9E3779B97F4A7C15, np.uint64)
-    place[0] = 1
+    power = np.full(len(h) + 1, 0x9E3779B97F4A7C15, np.uint64)
+    power[0] = 1
     inverse = np.full(len(h) + 1, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64)
     inverse[0] = 1
-    place, inverse = np.multiply.accumulate(place), np.multiply.accumulate(inverse)
-    total = np.concatenate(([np.uint64(0)], np.cumsum(mix(h) * place[:-1], dtype=np.uint64)))
+    power, inverse = np.multiply.accumulate(power), np.multiply.accumulate(inverse)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(h) * power[:-1], dtype=np.uint64)))
     return mix((total[end] - total[first]) * inverse[first] + (end - first).astype(np.uint64)), first, end
 
 
-def seeded_pairs(h: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Places of the pairs of neighbouring lines of which one is in a chunk that passes the key filter."""
-    key, first, end = chunk_keys(h)
+def seeded_pairs(h: np.ndarray, place: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The first lines of the pairs of neighbouring lines of which one is in a chunk that passes the key filter."""
+    key, first, end = chunk_keys(h, place)
     hit = passes(wanted, key)
     if not hit.any():
         return np.zeros(0, np.int64)
@@ -92,35 +90,38 @@ def seeded_pairs(h: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     np.add.at(change, first[hit], 1)
     np.add.at(change, end[hit], -1)
     seed = np.cumsum(change[:-1]) > 0
-    return np.flatnonzero(seed[:-1] | seed[1:])
+    return np.flatnonzero((seed[:-1] | seed[1:]) & (place[1:] > 0))
 
 
-def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple[list[bytes], np.ndarray]]]]:
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
+    """A slice, the lines with a word of all its texts, their hashes, their texts' rows and their places there; slices without lines are left out."""
     for big in batches:
         for batch in slices(big, "text", _SLICE):
-            yield batch, [_lines(text) for text in column(batch, "text").to_pylist()]
+            texts = [[line for line in text.split(b"\n") if line.strip()] for text in column(batch, "text").to_pylist()]
+            many = np.array([len(lines) for lines in texts], np.int64)
+            if not many.any():
+                continue
+            lines = [line for some in texts for line in some]
+            row = np.repeat(np.arange(len(texts)), many)
+            place = np.arange(len(lines)) - np.repeat(np.cumsum(many) - many, many)
+            yield batch, lines, np.fromiter(map(xxhash.xxh64_intdigest, lines), np.uint64, len(lines)), row, place
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunk keys and how often a slice has them; those of texts of one line are none."""
-    for _, texts in _texts(batches):
-        keys = [chunk_keys(h)[0] for _, h in texts if len(h) > 1]
-        if keys:
-            key, n = np.unique(np.concatenate(keys), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+    """Chunk keys and how often a slice has them."""
+    for _, _, h, _, place in _texts(batches):
+        key, n = np.unique(chunk_keys(h, place)[0], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
 
 def _bodies(wanted):
     """(h, body) of the lines of pairs with a seed, each once a slice."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in _texts(batches):
-            found = set()
-            for lines, h in texts:
-                if len(h) > 1:
-                    hit = seeded_pairs(h, wanted.value)
-                    at = np.union1d(hit, hit + 1).tolist()
-                    found.update(zip(h[at].view(np.int64).tolist(), (lines[i] for i in at)))
+        for _, lines, h, _, place in _texts(batches):
+            hit = seeded_pairs(h, place, wanted.value)
+            at = np.union1d(hit, hit + 1).tolist()
+            found = set(zip(h[at].view(np.int64).tolist(), (lines[i] for i in at)))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), (pa.int64(), pa.binary()))], ["h", "body"])
 
@@ -136,22 +137,13 @@ def _places(wanted, shared):
     """(doc_id, text_hash, at, a, b) of pairs with a seed; a and b stand for the bytes of their lines."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in _texts(batches):
-            rows, ats, a, b = [], [], [], []
-            for row, (lines, h) in enumerate(texts):
-                if len(h) < 2:
-                    continue
-                hit = seeded_pairs(h, wanted.value)
-                for i in np.flatnonzero(passes(shared.value, h)).tolist():
-                    h[i] = xxhash.xxh64_intdigest(lines[i], 7)
-                rows.append(np.full(len(hit), row))
-                ats.append(hit)
-                a.append(h[hit])
-                b.append(h[hit + 1])
-            if rows:
-                row = pa.array(np.concatenate(rows))
-                sides = [pa.array(np.concatenate(x).view(np.int64)) for x in (a, b)]
-                yield pa.RecordBatch.from_arrays([*(column(batch, c).take(row) for c in _ID), pa.array(np.concatenate(ats).astype(np.int32)), *sides], [*_ID, "at", "a", "b"])
+        for batch, lines, h, row, place in _texts(batches):
+            hit = seeded_pairs(h, place, wanted.value)
+            for i in np.flatnonzero(passes(shared.value, h)).tolist():
+                h[i] = xxhash.xxh64_intdigest(lines[i], 7)
+            sides = [pa.array(x.view(np.int64)) for x in (h[hit], h[hit + 1])]
+            of = pa.array(row[hit])
+            yield pa.RecordBatch.from_arrays([*(column(batch, c).take(of) for c in _ID), pa.array(place[hit].astype(np.int32)), *sides], [*_ID, "at", "a", "b"])
 
     return read
 
