@@ -86,17 +86,19 @@ def statistics(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, x): the statistics of every row."""
+def described(docs: DataFrame, wanted=None) -> DataFrame:
+    """(doc_id, text_hash, x): the statistics of every row, or of those whose doc_id's hash passes a key filter."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
+            if wanted is not None:
+                big = big.filter(pa.array(passes(wanted.value, column(big, "id_hash").to_numpy().view(np.uint64))))
             for batch in slices(big, "text"):
                 x = statistics(column(batch, "text")).astype(np.float32)
                 values = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, STATISTICS, dtype=np.int32)), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "text_hash"), values], ["doc_id", "text_hash", "x"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), utf8().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.xxhash64(F.col("doc_id").cast("bigint")).alias("id_hash"), utf8().alias("text"))
     return rows.mapInArrow(read, "doc_id bigint, text_hash bigint, x array<float>")
 
 
@@ -208,14 +210,8 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     """
     ids = F.xxhash64(F.col("doc_id").cast("bigint"))
     wanted = docs.sparkSession.sparkContext.broadcast(key_filter(labels.select(ids.alias("key")), "key"))
-    text, key = fresh(docs, "text_bytes", "id_hash")
-
-    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(passes(wanted.value, column(batch, key).to_numpy().view(np.uint64))))
-
-    some = docs.select("doc_id", "text", ids.alias(key))
-    model = fit(stored(described(some.mapInArrow(labelled, some.schema)), "quality-statistics"), labels)
+    (text,) = fresh(docs, "text_bytes")
+    model = fit(stored(described(docs, wanted), "quality-statistics"), labels)
     names = docs.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
