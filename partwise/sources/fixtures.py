@@ -22,6 +22,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from partwise.operators.joins import estimated_bytes
+from partwise.session import size_tasks
+
 # (source table, SELECT template). ``{src}`` is the table, ``{string}`` and
 # ``{timestamp}`` the engine's names for text and zone-less timestamps.
 FIXTURES: dict[str, tuple[str, str]] = {
@@ -111,6 +114,7 @@ def raw_source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
 
 
 def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    size_tasks(spark, sum(estimated_bytes(read_table(spark, sf_dir, table)) or 0 for table, _ in FIXTURES.values()))
     return {source: raw_source(spark, sf_dir, source) for source in FIXTURES}
 
 
