@@ -10,6 +10,7 @@ if the build fails, ``published`` reads those of the build before.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -43,12 +44,20 @@ class Layers:
     torque_quality: DataFrame
     material_quality: DataFrame
     scored: DataFrame
+    #: ``scored`` over given population and rollups, where it is made of this model's own.
+    rescored: Callable[[DataFrame, DataFrame, DataFrame], DataFrame] | None = None
     flags: DataFrame = field(init=False)
     gold: DataFrame = field(init=False)
 
     def __post_init__(self) -> None:
         self.flags = mart.quality_flags(self.scored)
-        self.gold = mart.part_quality_summary(self.scored)
+        self.gold = self._made = mart.part_quality_summary(self.scored)
+
+    def gold_over(self, population: DataFrame, cmm_quality: DataFrame, torque_quality: DataFrame) -> DataFrame:
+        """Gold over written tables of the same rows, so that nothing is computed again; one put in its place stays."""
+        if self.rescored is None or self.gold is not self._made:
+            return self.gold
+        return mart.part_quality_summary(self.rescored(population, cmm_quality, torque_quality))
 
     def tables(self) -> dict[str, DataFrame]:
         """Every model by its layer name."""
@@ -81,6 +90,7 @@ def build_layers(typed_sources: dict[str, DataFrame], broadcast_limit: int | Non
         torque_quality=torque_q,
         material_quality=material.material_quality(population, certs, broadcast_limit),
         scored=mart.scored_parts(population, cmm_q, torque_q, certs, broadcast_limit),
+        rescored=lambda *written: mart.scored_parts(*written, certs, broadcast_limit),
     )
 
 
@@ -156,6 +166,24 @@ def _file_order(df: DataFrame) -> list[dict] | None:
     return [r["file"].rsplit("/", 1)[1] for r in rows]
 
 
+def _written(
+    write: Callable[..., DataFrame],
+    silver: tuple[DataFrame, DataFrame, DataFrame],
+    material_over: Callable[[DataFrame], DataFrame],
+    gold_over: Callable[[DataFrame, DataFrame, DataFrame], DataFrame],
+    flags_of: Callable[[DataFrame], DataFrame] = mart.quality_flags,
+) -> tuple[DataFrame, ...]:
+    """Silver, Gold and flags, each computed once: Gold from written Silver tables, the flags from written Gold."""
+    # The first three read disjoint sources, and the next two written tables: jobs
+    # are submitted together so small stages share the executors instead of queueing.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        population, cmm_q, torque_q = pool.map(write, BUCKETED_MODELS, silver)
+        material_q = pool.submit(write, "silver_material_quality", material_over(population))
+        gold = write(GOLD_MODELS[0], gold_over(population, cmm_q, torque_q), GOLD_OPTIONS)
+        flags = write("silver_part_quality_flags", flags_of(gold))
+        return population, cmm_q, torque_q, material_q.result(), gold, flags
+
+
 def materialize(
     spark: SparkSession,
     typed: dict[str, DataFrame],
@@ -199,29 +227,20 @@ def materialize(
 
     certs = typed["supplier_material_certs"]
     rolled = rolled or {}
-    # The three Silver tables read disjoint sources: submit their jobs
-    # together so small stages share the executors instead of queueing.
-    independent = {
-        "silver_part_population": rollups.part_population(typed["process_parameters"]),
-        "silver_cmm_quality": rolled.get("silver_cmm_quality", rollups.cmm_rollup(typed["cmm_inspection"])),
-        "silver_torque_quality": rolled.get("silver_torque_quality", rollups.torque_rollup(typed["torque_audit"])),
-    }
-    with ThreadPoolExecutor(max_workers=len(independent)) as pool:
-        done = dict(zip(independent, pool.map(lambda item: write(*item), independent.items())))
-    population = done["silver_part_population"]
-    cmm_q = done["silver_cmm_quality"]
-    torque_q = done["silver_torque_quality"]
-    material_q = write("silver_material_quality", material.material_quality(population, certs, broadcast_limit))
     order = [F.asc_nulls_last(c) for c in GOLD_ORDER]
-    gold = write(
-        "mart_part_quality_summary",
-        mart.part_quality_summary(mart.scored_parts(population, cmm_q, torque_q, certs, broadcast_limit))
+    population, cmm_q, torque_q, material_q, gold, flags = _written(
+        write,
+        (
+            rollups.part_population(typed["process_parameters"]),
+            rolled.get("silver_cmm_quality", rollups.cmm_rollup(typed["cmm_inspection"])),
+            rolled.get("silver_torque_quality", rollups.torque_rollup(typed["torque_audit"])),
+        ),
+        lambda parts: material.material_quality(parts, certs, broadcast_limit),
+        lambda *written: mart.part_quality_summary(mart.scored_parts(*written, certs, broadcast_limit))
         # Files hold ranges of days, so date filters skip files and row groups.
         .repartitionByRange(*order)
         .sortWithinPartitions(*order),
-        GOLD_OPTIONS,
     )
-    flags = write("silver_part_quality_flags", mart.quality_flags(gold))
     records: dict[str, dict] = {entry_of(name): {"path": folder} for name, folder in folders.items()}
     if (files := _file_order(gold)) is not None:
         records[entry_of("mart_part_quality_summary")]["files"] = files
@@ -288,12 +307,23 @@ def save_tables(spark: SparkSession, layers: Layers, location: str, keep: int =
     Tables are switched to fresh folders when all are written; a build that fails
     leaves them as they were.
     """
-    model, tables, records = Store(spark, location), layers.tables(), {}
+    model, records = Store(spark, location), {}
     names = SILVER_MODELS + GOLD_MODELS
-    for name in names:
+
+    def write(name: str, df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
         folder = model.fresh(entry_of(name))
-        tables[name].write.options(**(GOLD_OPTIONS if name in GOLD_MODELS else {})).parquet(f"{model.base}/{folder}")
+        df.write.options(**(options or {})).parquet(f"{model.base}/{folder}")
         records[entry_of(name)] = {"path": folder}
+        return spark.read.schema(df.schema).parquet(f"{model.base}/{folder}")
+
+    tables, own = layers.tables(), layers.gold is layers._made
+    _written(
+        write,
+        (layers.population, layers.cmm_quality, layers.torque_quality),
+        lambda _: layers.material_quality,
+        layers.gold_over,
+        mart.quality_flags if own and layers.rescored else lambda _: layers.flags,
+    )
     model.commit(records)
     for name in names:
         spark.sql(f"create database if not exists {layer_of(name)}")

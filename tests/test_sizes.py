@@ -34,3 +34,23 @@ def test_key_checks_start_from_many_partitions(spark, monkeypatch):
         for kind in (C.UNIQUE, C.RELATIONSHIPS):
             checks = C.run_checks(queries_checks.from_testdata(spark, SF_SMALL).tables(), kinds=(kind,))
             assert "hashpartitioning(domain#" in (plan := checks._jdf.queryExecution().executedPlan().toString()) and ", 50)" in plan
+
+
+def _small(spark):
+    return layers_of(
+        spark,
+        process=[process_row("P1"), process_row("P1"), process_row("P2", batch="none"), process_row(None)],
+        cmm=[cmm_row("P1", verdict="FAIL"), cmm_row("P2"), cmm_row(None)],
+        torque=[torque_row("P1"), torque_row("P2", verdict="FAIL")],
+        certs=[cert_row(), cert_row("B2")],
+    )
+
+
+def test_saved_gold_is_made_of_saved_silver(spark, scratch, monkeypatch):
+    layers, read = _small(spark), []
+    want = {n: sorted(map(str, df.collect())) for n, df in layers.tables().items() if not n.startswith("bronze")}
+    scored = L.mart.scored_parts
+    monkeypatch.setattr(L.mart, "scored_parts", lambda *a: read.extend(f for df in a[:3] for f in df.inputFiles()) or scored(*a))
+    names = L.save_tables(spark, layers, scratch)
+    assert read and all(scratch in f for f in read)
+    assert {n.split(".")[1]: sorted(map(str, spark.table(n).collect())) for n in names} == want
