@@ -10,6 +10,7 @@ writers), the rows themselves are aggregated, so the result never lags behind.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,11 +34,17 @@ def land(spark: SparkSession, frames: dict[str, DataFrame], root: str | None, lo
     """Publish the extracts and the state of their measurements as the load of ``load_day``; returns the manifest."""
     lake, day = bronze.store(spark, root), sinks.iso(load_day)
     records = sinks.written(frames, lake.base, day)
-    for source, measure in measures().items():
-        if source in frames:
-            of, folder = records[bronze.load_entry(source, day)]["path"], lake.fresh(state_entry(source, day))
-            partial(_rows(spark, [f"{lake.base}/{of}"], source), measure).write.parquet(f"{lake.base}/{folder}")
-            records[state_entry(source, day)] = {"path": folder, "of": of}
+
+    def summed(source: str) -> dict[str, dict]:
+        of, folder = records[bronze.load_entry(source, day)]["path"], lake.fresh(state_entry(source, day))
+        partial(_rows(spark, [f"{lake.base}/{of}"], source), measures()[source]).write.parquet(f"{lake.base}/{folder}")
+        return {state_entry(source, day): {"path": folder, "of": of}}
+
+    measured = [source for source in measures() if source in frames]
+    with ThreadPoolExecutor(max_workers=max(1, len(measured))) as pool:
+        states = list(pool.map(summed, measured))
+    for state in states:
+        records |= state
     lake.commit(records)
     return sinks.manifest(spark, lake.base, list(frames), day)
 

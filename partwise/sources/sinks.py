@@ -19,6 +19,7 @@ are part of the commit, so the manifest reads no data.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -76,9 +77,11 @@ def manifest(spark: SparkSession, root: str | None, sources: list[str] | None =
 
 def written(frames: dict[str, DataFrame], root: str | None, day: str) -> dict[str, dict]:
     """Write extracts to fresh folders; the records that make them current."""
-    records = {}
-    for source, frame in frames.items():
-        records |= _write(frame, source, root, day)
+    records: dict[str, dict] = {}
+    # Sources are independent: submitted together, the last tasks of one leave no executor idle.
+    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+        for record in pool.map(lambda item: _write(item[1], item[0], root, day), frames.items()):
+            records |= record
     return records
 
 

@@ -54,3 +54,12 @@ def test_saved_gold_is_made_of_saved_silver(spark, scratch, monkeypatch):
     names = L.save_tables(spark, layers, scratch)
     assert read and all(scratch in f for f in read)
     assert {n.split(".")[1]: sorted(map(str, spark.table(n).collect())) for n in names} == want
+
+
+def test_sources_and_states_are_written_together(spark, scratch, monkeypatch):
+    meet = threading.Barrier(2, timeout=20)
+    write, partial = sinks._write, incremental.partial
+    monkeypatch.setattr(sinks, "_write", lambda *a: meet.wait() is None or write(*a))
+    monkeypatch.setattr(incremental, "partial", lambda *a: meet.wait() is None or partial(*a))
+    raw = {s: df.limit(3) for s, df in fixtures.raw_sources(spark, SF_SMALL).items() if s in ("cmm_inspection", "torque_audit")}
+    assert {r.source: r.rows for r in incremental.land(spark, raw, scratch, "2026-06-11").collect()} == dict.fromkeys(raw, 3)
