@@ -15,7 +15,8 @@ offset from the index and decompressing its own frame only (``lookup``).
 Cases: NULL text is the empty text and holds the end id alone. Rows that share
 a doc_id are all kept, ordered by (token count, frame); a NULL doc_id comes first.
 An empty table gives an empty store. Extra columns are ignored. Memory per task
-is one Arrow batch and one block (about 1 MB, or one document if larger).
+is one Arrow batch, the ids of ENCODED_BYTES of its texts and one block (about
+1 MB); of each, one document if larger.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm.common import column, utf8
+from partwise.llm.common import column, slices, utf8
 from partwise.llm.wordbpe import encoder
 from partwise.session import shared_dir
 
@@ -40,6 +41,8 @@ DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 BLOCK_BYTES = 1 << 20
 BLOCK_DOCS = 4096
+#: Bytes of text whose distinct chunks are found together.
+ENCODED_BYTES = 16 << 20
 
 _BLOCKS = (
     "file int, block int, first_id bigint, last_id bigint, dict_hash bigint, width int, "
@@ -105,19 +108,18 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, files:
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width, end = _width(tokenizer), np.array([end_id], "<u4").tobytes()
         squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(body)).compress
-        encode, edges = encoder(tokenizer).ids, np.array(bounds, np.int64)
+        end, encode, edges = _pack(end, width), encoder(tokenizer).batch, np.array(bounds, np.int64)
         for batch in batches:
-            counts, out = [], []
-            for text in column(batch, "text").to_pylist():
-                ids = encode(text) + end
-                counts.append(len(ids) // 4)
-                out.append(squeeze(_pack(ids, width)))
-            doc_ids = column(batch, "doc_id")
-            keys = np.array([np.iinfo(np.int64).min if x is None else x for x in doc_ids.to_pylist()], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.searchsorted(edges, keys, side="left").astype(np.int32)), doc_ids, pa.array(counts, pa.int64()), pa.array(out, pa.binary())],
-                ["file", "doc_id", "n_tokens", "frame"],
-            )
+            for cut in slices(batch, "text", ENCODED_BYTES):
+                ids, offsets = encode(column(cut, "text"))
+                packed, places = memoryview(_pack(ids.tobytes(), width)), (offsets * width).tolist()
+                out = [squeeze(b"".join((packed[s:e], end))) for s, e in zip(places[:-1], places[1:])]
+                doc_ids = column(cut, "doc_id")
+                keys = np.array([np.iinfo(np.int64).min if x is None else x for x in doc_ids.to_pylist()], np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.searchsorted(edges, keys, side="left").astype(np.int32)), doc_ids, pa.array(np.diff(offsets) + 1), pa.array(out, pa.binary())],
+                    ["file", "doc_id", "n_tokens", "frame"],
+                )
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width, held, file, number, before = _width(tokenizer), [], None, 0, 0

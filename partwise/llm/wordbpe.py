@@ -6,7 +6,9 @@ then apply BPE inside each run. ASCII white space is never part of a special
 token either, and no character composes with it. So the ids of a text are the
 ids of its chunks between ASCII white space, one after the other, and a chunk
 met before need not be encoded again. ``Encoder`` checks that the file is of
-this kind; other files are encoded text by text.
+this kind; other files are encoded text by text. ``Encoder.batch`` has Arrow find
+the distinct chunks of many texts, and of those the distinct runs of letters and of
+marks in lower case, so that the memo is asked once for each of these.
 """
 
 from __future__ import annotations
@@ -15,6 +17,9 @@ import array
 import json
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
@@ -27,6 +32,8 @@ NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _PLAIN = re.compile("[!-~¡-įı-ɏ]+")
 #: Letters, then marks that hold no apostrophe: exactly one or two runs.
 _WORD = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\\[-`{-~]*)")
+#: The same for Arrow.
+_WORD_GROUPS = "^(?P<letters>[A-Za-zÀ-ÖØ-öø-įı-ɏ]+)(?P<marks>[!-&(-/:-@\\[-`{-~]*)$"
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -80,6 +87,39 @@ class Encoder:
             self.chunks.clear()
         return b"".join(map(self.chunks.__getitem__, text.split()))
 
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (an array of UTF-8 bytes without nulls), one after the other, and the n+1 offsets of the texts in them."""
+        if not self.by_chunk:
+            return _laid_out(pa.array(map(self.ids, texts.to_pylist()), pa.large_binary()))
+        # Looked at as they are: bytes that aren't UTF-8 match no pattern. Chunks before or after all others may be empty and have no ids.
+        split = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), offset=texts.offset))
+        chunks = split.flatten().dictionary_encode()
+        known = chunks.dictionary
+        words = pc.extract_regex(known, _WORD_GROUPS)
+        words = pc.if_else(pc.match_substring(known, "<|"), pa.scalar(None, words.type), words)
+        letters, marks = pc.utf8_lower(pc.struct_field(words, "letters")), pc.struct_field(words, "marks")
+        ids = pc.binary_join_element_wise(self._runs(letters), self._runs(marks), pa.scalar(b"", pa.large_binary()))
+        others = pc.indices_nonzero(ids.is_null())
+        found = [self.chunk(c.decode("utf-8", "replace")) for c in known.take(others).cast(pa.binary()).to_pylist()]
+        ids = pc.replace_with_mask(ids, ids.is_null(), pa.array(found, pa.large_binary()))
+        ids, places = _laid_out(ids.take(chunks.indices))
+        starts = np.asarray(split.offsets, np.int64)
+        return ids, places[starts - starts[0]]
+
+    def _runs(self, runs: pa.Array) -> pa.Array:
+        """Ids of lower-case runs; the memo is asked once for each distinct one. Null stays null."""
+        runs = runs.dictionary_encode()
+        found = map(self.unit, runs.dictionary.to_numpy(zero_copy_only=False).tolist())
+        return pa.array(found, pa.large_binary()).take(runs.indices)
+
+
+def _laid_out(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows and the offsets of the rows in them."""
+    offsets = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset : ids.offset + len(ids) + 1] // 4
+    data = ids.buffers()[2]
+    flat = np.frombuffer(data, "<u4", count=data.size // 4) if data is not None else np.zeros(0, "<u4")
+    return flat[offsets[0] : offsets[-1]], offsets - offsets[0]
+
 
 class _Chunks(dict):
     def __init__(self, encoder: Encoder):

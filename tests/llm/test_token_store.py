@@ -6,11 +6,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from partwise.llm import token_store
-from partwise.llm.wordbpe import encoder
+from partwise.llm.wordbpe import Encoder, encoder
 from partwise.session import shared_dir
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -30,6 +31,25 @@ def test_memo_equals_library(text):
     assert encoder(PATH).ids(text.encode()) == brute(text)[:-4]
 
 
+def test_batch_equals_library():
+    each = [f"{chr(c)} a{chr(c)} {chr(c)}B. {chr(c)}<|" for c in range(1, 0x260)]
+    texts = [t.encode() for t in [*(x or "" for x in ODD), *each]] + [b"\xff\xfe x", b"abc\xff. abc\xc3 x", b"  two  spaces  "]
+    for first in (0, 3):  # an array that is a slice of another
+        ids, offsets = encoder(PATH).batch(pa.array(texts, pa.binary())[first:])
+        assert [ids[s:e].tobytes() for s, e in zip(offsets[:-1], offsets[1:])] == [brute(t.decode("utf-8", "replace"))[:-4] for t in texts[first:]]
+    assert [len(x) for x in encoder(PATH).batch(pa.array([], pa.binary()))] == [0, 1]
+
+
+def test_batch_looks_a_run_up_once(monkeypatch):
+    """However often, and in however many spellings, a run stands in the texts."""
+    fresh, asked = Encoder(PATH), []
+    unit = Encoder.unit
+    monkeypatch.setattr(Encoder, "unit", lambda self, run: asked.append(run) or unit(self, run))
+    ids, offsets = fresh.batch(pa.array([f"Word word. WORD, other{'!' * (i % 3)} wOrd!".encode() for i in range(500)], pa.binary()))
+    assert len(asked) == len(set(asked)) == 7  # word, other, no marks and . , ! !!
+    assert ids[: offsets[1]].tobytes() == brute("Word word. WORD, other wOrd!")[:-4]
+
+
 def test_round_trip(spark):
     rows = [(i * 7 % 15, t, "x", i) for i, t in enumerate(ODD)] + [(3, "tie one", "x", 1), (3, "tie one", "x", 1), (None, "no id", "x", 1), (99, "long " * 70000, "x", 1)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, file string, n_tokens int")
