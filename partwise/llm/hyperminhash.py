@@ -12,10 +12,12 @@ Bands. Every ROWS registers are a band key (51 of them). Sets of Jaccard similar
 s share one with probability 1 - (1 - s**5)**51, which is 1 - 2e-9 at 0.8. Keys
 are counted first; only sets with a repeated key are looked at again.
 
-* A key of a few sets gives their pairs.
-* A key of more than SMALL sets gives its sets' pairs with one of them. When
-  those are verified, its sets are in few components, and only sets of different
-  components can still miss a link. Those outside the key's main component meet
+* A key of more than SMALL sets has a hub, the set whose own keys are the most
+  crowded, and each set of such keys is paired with one hub: that of the most keys.
+* A key of a few sets gives those of their pairs that these links leave in
+  different components.
+* When both are verified, the sets of a crowded key are in few components, and
+  only sets of different ones can still miss a link. Those outside the key's main component meet
   all others, block by block, and registers say which could be linked; of these
   a spanning forest is handed on, and its components are cohorts. The members of
   a cohort meet again, block by block with their texts, and a block's links are
@@ -269,10 +271,11 @@ def _verified(percent: int):
     return read
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose texts' whole sets have ``percent`` of their union in common; ``texts`` (set, text) holds them all."""
+def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose texts' whole sets have ``percent`` of their union in common."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("set")).groupBy("set").agg(F.count(F.lit(1)).alias("links"))
     ends = stored(ends, "minhash-ends")
+    texts = _texts(docs, sets, ends)
     links = lambda x: ends.select(F.col("set").alias(x), F.col("links").alias(f"links_{x}"))
     sided = pairs.join(links("a"), "a").join(links("b"), "b")
     first = F.col("links_a") >= F.col("links_b")
@@ -409,25 +412,45 @@ def _dealt(members: DataFrame, size: int) -> DataFrame:
     return outside.unionByName(inside)
 
 
+def _roots(found: DataFrame) -> DataFrame:
+    """(set, root) of every set in a link (a, b)."""
+    return stored(components(found.select(F.col("a").alias("hi"), F.col("b").alias("lo"))).withColumnRenamed("node", "set"), "minhash-roots")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose sets are in different components."""
+    for end in ("a", "b"):
+        pairs = pairs.join(roots.select(F.col("set").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    return pairs.filter("coalesce(root_a, a) != coalesce(root_b, b)").select("a", "b")
+
+
+def _with_hubs(crowded: DataFrame) -> DataFrame:
+    """A pair (a > b) for each set of crowded keys (key, set, many): with the hub of most of its keys. One pair a set, however
+    many keys it has and however large they are."""
+    rank = crowded.groupBy("set").agg(F.sum("many").alias("rank"))
+    hubs = crowded.join(rank, "set").groupBy("key").agg(F.max_by("set", F.struct("rank", "set")).alias("hub"))
+    shared = crowded.join(hubs, "key").filter("set != hub").groupBy("set", "hub").agg(F.count(F.lit(1)).alias("keys"))
+    best = shared.groupBy("set").agg(F.max_by("hub", F.struct("keys", "hub")).alias("hub"))
+    return best.select(F.greatest("set", "hub").alias("a"), F.least("set", "hub").alias("b")).distinct()
+
+
 def crowd_links(docs: DataFrame, crowded: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that the components of ``found`` miss among sets that share a crowded key (key, set)."""
-    star = lambda pairs: components(pairs.select(F.col("a").alias("hi"), F.col("b").alias("lo")))
-    roots = stored(star(found).withColumnRenamed("node", "set"), "minhash-roots")
+    roots = _roots(found)
     labelled = lambda members: members.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
     met = _dealt(stored(labelled(crowded), "minhash-crowd"), BLOCK).join(sets.select("set", "n", "registers"), "set")
     met = met.repartition(*_SPOT).sortWithinPartitions(*_SPOT).select(*_SPOT, "set", "n", "root", "outside", "registers")
     possible = stored(met.mapInArrow(_possible(percent), _PAIR).distinct(), "minhash-possible")
     if possible.isEmpty():
         return possible
-    cohorts = star(possible).select(F.col("node").alias("set"), F.col("root").alias("key"))
-    met = _dealt(stored(labelled(cohorts), "minhash-cohorts"), TEXT_BLOCK).join(_texts(docs, sets, possible), "set").withColumn("n", F.lit(0).cast("bigint"))
+    cohorts = _roots(possible).withColumnRenamed("root", "key")
+    met = _dealt(stored(labelled(cohorts), "minhash-cohorts"), TEXT_BLOCK).join(_texts(docs, sets, cohorts), "set").withColumn("n", F.lit(0).cast("bigint"))
     met = met.repartition(*_SPOT).sortWithinPartitions(*_SPOT).select(*_SPOT, "set", "n", "root", "outside", "text")
     return stored(met.mapInArrow(_linked(percent), _PAIR), "minhash-links")
 
 
-def _texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(set, text) of the sets named in pairs: the text of one of its documents."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+def _texts(docs: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(set, text) of the sets named in nodes: the text of one of its documents."""
     places = stored(sets.join(nodes, "set", "left_semi").select("set", "place.doc_id", "place.text_hash"), "minhash-places")
     wanted = docs.sparkSession.sparkContext.broadcast(key_filter(places, "text_hash"))
 
@@ -442,26 +465,23 @@ def _texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Verified links (a, b) that connect all sets of similarity ``percent``: every link of a band key's few sets, and as many as
-    connect the sets of a crowded key."""
+    """Verified links (a, b) that connect all sets of similarity ``percent`` that share a band key."""
     spark = docs.sparkSession
     bands = sets.select("set", "n", "registers")
     schema = "key bigint, set bigint, n bigint"
-    keys = bands.mapInArrow(_read_bands(), schema).groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min("set").alias("hub"))
+    keys = bands.mapInArrow(_read_bands(), schema).groupBy("key").agg(F.count(F.lit(1)).alias("many"))
     keys = stored(keys.filter("many > 1"), "minhash-keys")
     wanted = spark.sparkContext.broadcast(key_filter(keys, "key"))
     rows = stored(bands.mapInArrow(_read_bands(wanted), schema).join(keys, "key"), "minhash-bands")
     few = rows.filter(F.col("many") <= SMALL).select("key", "set", "n")
-    pairs = few.repartition("key").sortWithinPartitions("key").mapInArrow(_small_pairs(percent), _PAIR)
-    crowded = rows.filter(F.col("many") > SMALL).select("key", "set", "hub")
-    star = crowded.filter("set != hub").select(F.col("set").alias("a"), F.col("hub").alias("b"))
-    pairs = stored(likely(pairs.unionByName(star).distinct(), sets, percent), "minhash-pairs")
-    texts = _texts(docs, sets, pairs)
-    found = verified(pairs, texts, percent)
-    crowded = crowded.select("key", "set")
+    pairs = few.repartition("key").sortWithinPartitions("key").mapInArrow(_small_pairs(percent), _PAIR).distinct()
+    confirmed = lambda pairs: verified(stored(likely(pairs, sets, percent), "minhash-pairs"), docs, sets, percent)
+    crowded = rows.filter(F.col("many") > SMALL).select("key", "set", "many")
     if crowded.isEmpty():
-        return found
-    return found.unionByName(crowd_links(docs, crowded, found, sets, percent))
+        return confirmed(pairs)
+    found = confirmed(_with_hubs(crowded))
+    found = found.unionByName(confirmed(_apart(pairs, _roots(found))))
+    return found.unionByName(crowd_links(docs, crowded.select("key", "set"), found, sets, percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:

@@ -88,6 +88,16 @@ def test_crowded_keys(spark):
     assert result(hyperminhash.near_duplicates(spark.createDataFrame(rows, DDL))) == brute(rows)
 
 
+def test_crowd_pairs(spark, monkeypatch):
+    """Near copies of one text: sets that are one component already are not compared again for each key that they share."""
+    rng, base = random.Random(8), [f"c{i}" for i in range(150)]
+    rows = list(enumerate({" ".join(changed(rng, base, 0.03)) for _ in range(300)}))
+    compared, verified = [], hyperminhash.verified
+    monkeypatch.setattr(hyperminhash, "verified", lambda pairs, *more: compared.append(pairs.count()) or verified(pairs, *more))
+    assert result(hyperminhash.near_duplicates(spark.createDataFrame(rows, DDL))) == brute(rows)
+    assert sum(compared) <= 2 * len(rows)
+
+
 def test_odd_rows(spark):
     long = " ".join(f"w{i % 900}x{i // 7}" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One"), (5, "one"), (6, "one one"), (7, "one one one"), (8, "É b"), (9, "é b"), (9, "other text"), (9, "other text"), (None, "other text"), (None, "alone here now"), (10, long), (11, long + " end")]
