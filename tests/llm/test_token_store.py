@@ -34,9 +34,11 @@ def test_memo_equals_library(text):
 def test_batch_equals_library():
     each = [f"{chr(c)} a{chr(c)} {chr(c)}B. {chr(c)}<|" for c in range(1, 0x260)]
     texts = [t.encode() for t in [*(x or "" for x in ODD), *each]] + [b"\xff\xfe x", b"abc\xff. abc\xc3 x", b"  two  spaces  "]
+    library = Tokenizer.from_file(PATH)
+    wanted = [library.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids for t in texts]
     for first in (0, 3):  # an array that is a slice of another
         ids, offsets = encoder(PATH).batch(pa.array(texts, pa.binary())[first:])
-        assert [ids[s:e].tobytes() for s, e in zip(offsets[:-1], offsets[1:])] == [brute(t.decode("utf-8", "replace"))[:-4] for t in texts[first:]]
+        assert [ids[s:e].tolist() for s, e in zip(offsets[:-1], offsets[1:])] == wanted[first:]
     assert [len(x) for x in encoder(PATH).batch(pa.array([], pa.binary()))] == [0, 1]
 
 
